@@ -21,7 +21,10 @@ def scalar_only(text: Column) -> Column:
 
 
 def json_scalar(document: Column, path: str) -> Column:
-    """The scalar at ``path`` as text; objects, arrays, JSON null and missing paths give NULL."""
+    """The scalar at ``path`` as text; objects, arrays, JSON null and missing paths give NULL.
+
+    Numbers come in the parser's shortest form, so 2.50 reads as '2.5'.
+    """
     return scalar_only(F.get_json_object(document, path))
 
 
@@ -31,7 +34,7 @@ def scalar_array(items: Column) -> Column:
 
 
 def compact(document: Column) -> Column:
-    """Drop white space between JSON tokens, keeping key order, unknown keys and number text."""
+    """Drop white space between JSON tokens, keeping key order and unknown keys."""
     return F.regexp_replace(document, _STRING_OR_SPACE, "$1")
 
 

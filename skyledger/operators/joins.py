@@ -50,15 +50,10 @@ def _split_join(
     has_null = reduce(or_, [F.col(key).isNull() for key in on])
     if how in ("left_anti", "left"):
         # A NULL key matches nothing. Such rows skip the join, where they would share one task.
-        unmatched = rows.filter(has_null)
-        if how == "left":
-            extra = [f for f in lookup.schema.fields if f.name not in on]
-            unmatched = unmatched.select(
-                *on,
-                *[F.col(c) for c in rows.columns if c not in on],
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra],
-            )
-        parts.append(unmatched)
+        columns = [*on, *[name for name in rows.columns if name not in on]]
+        extra = [field for field in lookup.schema.fields if field.name not in on and how == "left"]
+        empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in extra]
+        parts.append(rows.filter(has_null).select(*columns, *empty))
     rows = rows.filter(~has_null)
 
     hot = keep(rows.groupBy(*on).count().filter(F.col("count") > hot_rows).select(*on))

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.labels import city_key, season_en
+from skyledger.functions.numeric import round2
 from skyledger.operators.envelope import build_envelopes
 from skyledger.operators.quality import PAYLOAD_SOURCE
 from skyledger.sources.bronze import landing_path
-from skyledger.sources.schemas import DAILY_VARIABLES
+from skyledger.sources.schemas import DAILY_VARIABLES, DOUBLE_VARIABLES, LONG_VARIABLES
 
 OBS_SQL = """
 SELECT k AS obs_id,
@@ -67,8 +68,12 @@ def typed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One API response per chunk, city and source. ``doc_id`` is its first observation."""
-    day = F.struct("obs_id", "date", *DAILY_VARIABLES)
+    """One API response per chunk, city and source. ``doc_id`` is its first observation.
+
+    Measures are printed with two decimals, as an API does; engines print longer doubles apart.
+    """
+    measures = [round2(F.col(name)).alias(name) for name in DOUBLE_VARIABLES]
+    day = F.struct("obs_id", "date", *measures, *LONG_VARIABLES)
     days = F.sort_array(F.collect_list(day))
     grouped = observations(spark, sf_dir).groupBy(*DOCUMENT_KEY).agg(days.alias("days"))
 

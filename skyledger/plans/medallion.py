@@ -150,12 +150,8 @@ def refresh_gold(spark: SparkSession, layers: Layers = Layers(), *, run_at: date
     moment = _moment(run_at)
     replace(daily_risk(clean, cities, dim_rows=len(CITIES)), layers.risk)
     replace(climate_monthly(clean, cities, generated_at=moment), layers.climate)
-    replace(
-        extreme_events(clean, generated_at=moment),
-        layers.events,
-        partition_by=("year",),
-        sort_by=("date", "city_name", "event_type"),
-    )
+    events = extreme_events(clean, generated_at=moment)
+    replace(events, layers.events, sort_by=("date", "city_name", "event_type"))
 
 
 def run_all(

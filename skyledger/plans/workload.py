@@ -31,6 +31,7 @@ from skyledger.operators.joins import lookup_join
 from skyledger.operators.quality import accept, quarantine
 from skyledger.operators.risk import daily_risk, risk_base, risk_level_counts, temp_baseline
 from skyledger.plans import fixture
+from skyledger.session import keep
 from skyledger.sources.bronze import bronze_path
 from skyledger.sources.dimensions import CITIES, WEATHER_CODES, cities_dim, weathercode_dim
 from skyledger.sources.schemas import DAILY_VARIABLES
@@ -235,8 +236,11 @@ def q_raw_stage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_raw_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Staging of all documents where the second day's extraction is staged already."""
-    batch = _staged(spark, sf)
+    """Staging of all documents where the second day's extraction is staged already.
+
+    The batch is read several times, so it is computed once, as the staging refresh does.
+    """
+    batch = keep(_staged(spark, sf))
     existing = batch.filter(F.col("extraction_date") == F.lit("2024-01-02").cast("date"))
     kept = dedup_staging(batch, existing)
     return kept.select("city_id", "source_type", _iso("extraction_date"), "gcs_uri", "record_count")

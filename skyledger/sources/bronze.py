@@ -10,6 +10,7 @@ from skyledger.functions.jsontext import without_bom
 from skyledger.sources.schemas import REQUIRED_CITY
 
 FILE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.json"}
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def require_directory(spark: SparkSession, root: str) -> None:

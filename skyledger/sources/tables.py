@@ -32,27 +32,19 @@ def append(rows: DataFrame, name: str, rebalance_by: tuple[str, ...] = ()) -> No
     rows.select(*columns).write.insertInto(name)
 
 
-def replace(
-    rows: DataFrame,
-    name: str,
-    partition_by: tuple[str, ...] = (),
-    sort_by: tuple[str, ...] = (),
-) -> None:
+def replace(rows: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
     """Create or replace a table. The old one stays readable until the new one is complete.
 
     An overwrite in place would delete the old files first and lose them if the job then failed.
+    ``sort_by`` orders rows within each file, so that readers can skip row groups. The table has
+    no partition folders: a rename would leave their registered locations behind.
     """
     spark = rows.sparkSession
     successor = f"{name}__next"
     spark.sql(f"DROP TABLE IF EXISTS {successor}")
-    if partition_by:
-        rows = rows.hint("rebalance", *partition_by)
     if sort_by:
-        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
-    writer = rows.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(successor)
+        rows = rows.sortWithinPartitions(*sort_by)
+    rows.write.format("parquet").saveAsTable(successor)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {successor} RENAME TO {name}")
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skyledger.operators.daily import parse_daily, typed_daily
 from skyledger.operators.envelope import dedup_staging, envelope_fields, require_valid, staging_rows
 from skyledger.plans.medallion import Layers, create_silver, insert_parsed
-from skyledger.sources.bronze import FILE_OPTIONS, file_columns, require_directory
+from skyledger.sources.bronze import FILE_OPTIONS, FILE_SCHEMA, file_columns, require_directory
 from skyledger.sources.tables import append, written_once
 
 
@@ -26,10 +26,13 @@ def landing_stream(
     *,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Start a query that stages and inserts all new files, then stops."""
+    """Start a query that stages and inserts all new files, then stops.
+
+    It writes in a session of its own: refresh the tables before reading them in yours.
+    """
     require_directory(spark, root)
     create_silver(spark, layers)
-    reader = spark.readStream.format("binaryFile").options(**FILE_OPTIONS)
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**FILE_OPTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = staging_rows(require_valid(envelope_fields(file_columns(reader.load(root)))), store_uri)

@@ -1,0 +1,52 @@
+"""Small helpers for literal tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+DAILY_SCHEMA = (
+    "city_id string, city_name string, date date, temperature_2m_max double, temperature_2m_min double, "
+    "temperature_2m_mean double, precipitation_sum double, windspeed_10m_max double, weathercode bigint, "
+    "et0_fao_evapotranspiration double, payload_source string, extraction_timestamp_utc timestamp"
+)
+RUN_AT = dt.datetime(2024, 5, 1, 12, 0, 0)
+
+
+def day(**changes) -> tuple:
+    """One acceptable, uneventful daily row; keyword arguments replace columns."""
+    row = {
+        "city_id": "la_paz",
+        "city_name": "La Paz",
+        "date": dt.date(2024, 1, 1),
+        "temperature_2m_max": 20.0,
+        "temperature_2m_min": 10.0,
+        "temperature_2m_mean": 15.0,
+        "precipitation_sum": 1.0,
+        "windspeed_10m_max": 6.0,
+        "weathercode": 3,
+        "et0_fao_evapotranspiration": 2.0,
+        "payload_source": "$.data.daily",
+        "extraction_timestamp_utc": RUN_AT,
+    }
+    assert set(changes) <= set(row)
+    return tuple({**row, **changes}.values())
+
+
+def days(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, DAILY_SCHEMA)
+
+
+def evaluate(spark: SparkSession, values: list, kind: str, expression: Callable[[Column], Column]) -> list:
+    """Apply an expression to a column of each value, in order."""
+    data = [(i, v) for i, v in enumerate(values)]
+    rows = spark.createDataFrame(data, f"i int, x {kind}").select("i", expression(F.col("x")).alias("y")).collect()
+    return [row.y for row in sorted(rows, key=lambda r: r.i)]
+
+
+def plan_of(df: DataFrame) -> str:
+    """The physical plan as text, before execution."""
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from skyledger.operators.incremental import incremental_insert, new_rejects
+from skyledger.operators.invariants import climate_violations, risk_violations, silver_violations
+from skyledger.operators.quality import CLIMATE_RULES, EVENT_RULES, accept, quarantine
+from support import RUN_AT, day, days
+
+NAN = float("nan")
+
+
+def issues(spark, **changes):
+    return [r.quality_issue for r in quarantine(days(spark, [day(**changes)])).collect()]
+
+
+def test_each_reason(spark):
+    assert issues(spark) == []
+    assert issues(spark, city_id=None) == ["CITY_ID_NULL"]
+    assert issues(spark, date=None) == ["DATE_NULL"]
+    assert issues(spark, temperature_2m_max=None) == ["TEMP_MAX_NULL"]
+    assert issues(spark, temperature_2m_min=None) == ["TEMP_MIN_NULL"]
+    assert issues(spark, precipitation_sum=None) == ["PRECIPITATION_NULL"]
+    assert issues(spark, temperature_2m_max=9.9) == ["TEMP_MAX_LT_TEMP_MIN"]
+    assert issues(spark, precipitation_sum=-0.1) == ["PRECIPITATION_NEGATIVE"]
+    assert issues(spark, windspeed_10m_max=-0.1) == ["WINDSPEED_NEGATIVE"]
+
+
+def test_reasons_come_in_rule_order(spark):
+    got = issues(spark, city_id=None, date=None, temperature_2m_max=1.0, precipitation_sum=-1.0, windspeed_10m_max=-1.0)
+    assert got == ["CITY_ID_NULL|DATE_NULL|TEMP_MAX_LT_TEMP_MIN|PRECIPITATION_NEGATIVE|WINDSPEED_NEGATIVE"]
+
+
+def test_equal_temperatures_and_zeros_are_accepted(spark):
+    rows = [day(temperature_2m_max=10.0, precipitation_sum=0.0, windspeed_10m_max=0.0), day(windspeed_10m_max=None)]
+    assert accept(days(spark, rows)).count() == 2
+
+
+def test_accept_and_quarantine_split_all_rows_without_nan(spark):
+    choices = {
+        "city_id": [None, "a"],
+        "date": [None, dt.date(2024, 1, 1)],
+        "temperature_2m_max": [None, 5.0, 10.0],
+        "temperature_2m_min": [None, 7.0],
+        "precipitation_sum": [None, -1.0, 0.0],
+        "windspeed_10m_max": [None, -1.0, 3.0],
+    }
+    rows = [{}]
+    for name, values in choices.items():
+        rows = [{**row, name: value} for row in rows for value in values]
+    table = days(spark, [day(**row) for row in rows])
+    kept, rejected = accept(table).count(), quarantine(table).count()
+    assert kept + rejected == len(rows) and kept == 2
+
+
+def test_nan_rows_are_neither(spark):
+    table = days(
+        spark,
+        [day(temperature_2m_max=NAN), day(temperature_2m_min=NAN), day(precipitation_sum=NAN), day(windspeed_10m_max=NAN)],
+    )
+    assert accept(table).count() == 0
+    assert quarantine(table).count() == 0
+    counts = {r.rule: r.violations for r in silver_violations(table).collect()}
+    assert counts["NOT_COMPARABLE"] == 4 and sum(counts.values()) == 4
+
+
+def test_gold_rule_sets_differ(spark):
+    table = days(spark, [day(), day(windspeed_10m_max=None), day(weathercode=None), day(city_name=None)])
+    assert [accept(table, rules).count() for rules in (CLIMATE_RULES, EVENT_RULES)] == [3, 1]
+    assert accept(table).count() == 4
+
+
+def test_insert_skips_known_keys_and_keeps_copies_in_the_batch(spark):
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    existing = days(spark, [day(date=first)])
+    batch = days(spark, [day(date=first, precipitation_sum=9.0), day(date=second), day(date=second), day(date=None)])
+    new = incremental_insert(batch, existing)
+    assert [r.date for r in new.collect()] == [second, second]
+    again = incremental_insert(batch, existing.unionByName(new))
+    assert again.count() == 0
+
+
+def test_insert_is_the_same_by_shuffle(spark):
+    batch = days(spark, [day(city_id=f"c{i % 7}", date=dt.date(2024, 1, 1 + i % 20)) for i in range(300)])
+    existing = batch.filter(F.col("city_id") < "c3")
+    plain = sorted(map(str, incremental_insert(batch, existing).collect()))
+    split = sorted(map(str, incremental_insert(batch, existing, broadcast_rows=100, hot_rows=2).collect()))
+    assert plain == split and len(plain) > 0
+
+
+def test_rejects_are_logged_once_even_with_null_keys(spark):
+    table = days(spark, [day(city_id=None), day(date=None), day(temperature_2m_max=None)])
+    rejects = quarantine(table, rejected_at=F.lit(RUN_AT))
+    assert new_rejects(rejects, rejects).count() == 0
+    assert new_rejects(rejects, rejects.filter("city_id IS NULL")).count() == 2
+    assert new_rejects(rejects, rejects.limit(0)).count() == 3
+
+
+def test_invariants_find_planted_violations(spark):
+    risk = spark.createDataFrame(
+        [(101.0, 1.0, 1.0, 50.0, "LOW"), (1.0, 1.0, None, None, "CRITICAL"), (1.0, 1.0, 1.0, 1.0, "ODD")],
+        "temp_risk_score double, precip_risk_score double, wind_risk_score double, composite_risk_score double, "
+        "risk_level string",
+    )
+    found = {r.rule: r.violations for r in risk_violations(risk).collect() if r.violations}
+    assert found == {"TEMP_RISK_SCORE_RANGE": 1, "COMPOSITE_MISSING": 1, "RISK_LEVEL_KNOWN": 1}
+    climate = spark.createDataFrame(
+        [("a", 1, 1.0, 2.0, 3, 1.0), ("a", 2, 3.0, 2.0, 3, -1.0), ("a", 3, None, None, 0, None), ("a", 3, 3.0, 2.0, 3, 1.0)],
+        "city_id string, month_number bigint, avg_temp_max double, avg_temp_min double, observed_days bigint, "
+        "climate_variability_index double",
+    )
+    found = {r.rule: r.violations for r in climate_violations(climate).collect()}
+    assert found == {
+        "ONE_ROW_PER_MONTH": 1,
+        "AVG_MAX_AT_LEAST_AVG_MIN": 1,
+        "VARIABILITY_NOT_NEGATIVE": 1,
+        "MONTH_WITHOUT_OBSERVATIONS": 1,
+    }
