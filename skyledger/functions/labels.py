@@ -31,11 +31,19 @@ def first_match(cases: Iterable[tuple[Column, Column]]) -> Column:
     return result
 
 
+def _snake(name: str) -> str:
+    return name.lower().replace(" ", "_")
+
+
 def city_key(name: Column) -> Column:
-    """City id: the dimension's id for a known name in any case, else lower snake case."""
+    """City id: the dimension's id for a known name in any case, else lower snake case.
+
+    Only a name whose id is not its snake case needs a lookup.
+    """
     lowered = F.lower(name)
-    known = first_match((lowered == city.city_name.lower(), F.lit(city.city_id)) for city in CITIES)
-    return known.otherwise(F.replace(lowered, F.lit(" "), F.lit("_")))
+    snake = F.replace(lowered, F.lit(" "), F.lit("_"))
+    named = [city for city in CITIES if city.city_id != _snake(city.city_name)]
+    return first_match((lowered == city.city_name.lower(), F.lit(city.city_id)) for city in named).otherwise(snake)
 
 
 def _season(month: Column, names: tuple[str, ...]) -> Column:

@@ -21,9 +21,8 @@ def round2(value: Column) -> Column:
     Adding 0.0 turns a possible -0.0 into 0.0.
     """
     size = F.abs(value)
-    rounded = F.floor(size * 100.0 + 0.5) / 100.0
-    signed = F.when(value < 0, -rounded).otherwise(rounded) + 0.0
-    return F.when(size < _NO_CENTS_LEFT, signed).otherwise(value)
+    rounded = F.signum(value) * (F.floor(size * 100.0 + 0.5) / 100.0) + 0.0
+    return F.when(size < _NO_CENTS_LEFT, rounded).otherwise(value)
 
 
 def clamp(value: Column, low: float = 0.0, high: float = 100.0) -> Column:

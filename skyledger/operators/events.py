@@ -77,8 +77,11 @@ def extreme_events(
     the name that Silver holds.
     """
     hits = accept(clean, EVENT_RULES).filter(reduce(or_, [d.hit() for d in detectors]))
-    raised = F.array_compact(F.array(*[F.when(d.hit(), d.event()) for d in detectors]))
-    return hits.select("city_id", "city_name", "date", F.explode(raised).alias("event")).select(
+    # Slots of detectors that do not hit are dropped after the explode: compacting the array
+    # first would run a lambda per row, outside generated code.
+    slots = F.array(*[F.when(d.hit(), d.event()) for d in detectors])
+    raised = hits.select("city_id", "city_name", "date", F.explode(slots).alias("event"))
+    return raised.filter(F.col("event").isNotNull()).select(
         "city_id",
         "city_name",
         "date",

@@ -40,7 +40,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _iso(column: str) -> Column:
-    return F.date_format(column, "yyyy-MM-dd").alias(column)
+    return F.col(column).cast("string").alias(column)
 
 
 def _with_iso_date(rows: DataFrame) -> DataFrame:

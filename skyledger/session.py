@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "skyledger", cores: int | str = "*", **settings: str) -> SparkSession:
-    """A local session for tests and benchmarks. On a cluster pass your own session instead."""
+    """A local session for tests and benchmarks. On a cluster pass your own session instead.
+
+    Methods over 8000 bytes of bytecode are never compiled by the JVM, so wide generated stages
+    above that size run faster split into operators.
+    """
     threads = 8 if cores == "*" else int(cores)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -19,6 +23,7 @@ def build_session(app: str = "skyledger", cores: int | str = "*", **settings: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in settings.items():
