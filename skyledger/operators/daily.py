@@ -27,7 +27,8 @@ def parse_daily(raw: DataFrame) -> DataFrame:
         F.col("doc.data.daily.time").alias("time"),
         *[scalar_array(F.col(f"doc.data.daily.{name}")).alias(name) for name in DAILY_VARIABLES],
     )
-    days = parsed.select("*", F.posexplode("time").alias("position", "day"))
+    # An inner explode makes the optimizer filter on the array below the parse, which parses again.
+    days = parsed.select("*", F.posexplode_outer("time").alias("position", "day")).filter("position IS NOT NULL")
     return days.select(
         city_key(F.col("city_name")).alias("city_id"),
         "city_name",

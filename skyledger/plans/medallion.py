@@ -140,7 +140,7 @@ def insert_parsed(
         rejects = quarantine(batch, rejected_at=moment)
         if log_once:
             rejects = new_rejects(rejects, spark.table(layers.rejects))
-        append(rejects, layers.rejects)
+        append(rejects, layers.rejects, rebalance_by=())
 
 
 def refresh_gold(spark: SparkSession, layers: Layers = Layers(), *, run_at: datetime | None = None) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,18 +53,28 @@ WEATHER_CODES = (
     (99, "Thunderstorm with heavy hail"),
 )
 
-CITY_SCHEMA = (
-    "city_id string, city_name string, latitude double, longitude double, "
-    "elevation_m bigint, department string, region string"
-)
-WEATHER_CODE_SCHEMA = "weathercode bigint, weather_description string"
+CITY_COLUMNS = ("city_id", "city_name", "latitude", "longitude", "elevation_m", "department", "region")
+WEATHER_CODE_COLUMNS = ("weathercode", "weather_description")
+
+
+def _literal(value: str | int | float) -> str:
+    """SQL literal of type string, bigint or double."""
+    if isinstance(value, str):
+        return "'" + value.replace("'", "\\'") + "'"
+    return f"{value}D" if isinstance(value, float) else f"{value}L"
+
+
+def _inline_table(spark: SparkSession, rows: Iterable[tuple], columns: tuple[str, ...]) -> DataFrame:
+    """Literal rows as an inline table, whose size the planner knows without running a job."""
+    values = ", ".join("(" + ", ".join(_literal(value) for value in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
 
 
 def cities_dim(spark: SparkSession) -> DataFrame:
     """One row per city. ``len(CITIES)`` is its proven size, so it can always be broadcast."""
-    return spark.createDataFrame([tuple(city) for city in CITIES], CITY_SCHEMA)
+    return _inline_table(spark, CITIES, CITY_COLUMNS)
 
 
 def weathercode_dim(spark: SparkSession) -> DataFrame:
     """One row per weather code. ``len(WEATHER_CODES)`` is its proven size."""
-    return spark.createDataFrame(list(WEATHER_CODES), WEATHER_CODE_SCHEMA)
+    return _inline_table(spark, WEATHER_CODES, WEATHER_CODE_COLUMNS)

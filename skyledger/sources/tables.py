@@ -24,9 +24,13 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(columns)}) USING parquet{clause}")
 
 
-def append(rows: DataFrame, name: str, rebalance_by: tuple[str, ...] = ()) -> None:
-    """Insert by column name. ``rebalance_by`` packs rows into few files per partition folder."""
-    if rebalance_by:
+def append(rows: DataFrame, name: str, rebalance_by: tuple[str, ...] | None = None) -> None:
+    """Insert by column name.
+
+    ``rebalance_by`` packs rows into few files per partition folder, and splits a folder that is
+    too large for one task; empty, it packs the rows of all tasks.
+    """
+    if rebalance_by is not None:
         rows = rows.hint("rebalance", *rebalance_by)
     columns = rows.sparkSession.table(name).columns
     rows.select(*columns).write.insertInto(name)

@@ -48,5 +48,6 @@ def evaluate(spark: SparkSession, values: list, kind: str, expression: Callable[
 
 
 def plan_of(df: DataFrame) -> str:
-    """The physical plan as text, before execution."""
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The formatted physical plan, before execution."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
