@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,14 @@ from pyspark.sql import functions as F
 _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]+'
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once however often ``use`` mentions it.
+
+    For parses: an expression that appears in several CASE branches is computed in each of them.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def is_container(text: Column) -> Column:
     """True where the text of a JSON value, as a parser returns it, is an object or an array."""
     return text.startswith("{") | text.startswith("[")
@@ -24,7 +34,7 @@ def json_scalar(document: Column, path: str) -> Column:
 
     Numbers come in the parser's shortest form, so 2.50 reads as '2.5'.
     """
-    return scalar_only(F.get_json_object(document, path))
+    return once(F.get_json_object(document, path), scalar_only)
 
 
 def scalar_array(items: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.casts import safe_date, safe_long, safe_timestamp
-from skyledger.functions.jsontext import compact
+from skyledger.functions.jsontext import compact, once
 from skyledger.operators.incremental import unseen
 from skyledger.operators.joins import BROADCAST_ROWS
 from skyledger.session import keep
@@ -43,14 +43,16 @@ def record_count(response: Column) -> Column:
 
 def response_error(response: Column) -> Column:
     """First problem of an API response, NULL if it is usable."""
-    parts = _response_parts(response)
+    return once(_response_parts(response), _parts_error)
+
+
+def _parts_error(parts: Column) -> Column:
     daily = parts["daily"]
-    time = _daily_time(daily)
     return F.coalesce(
         F.when(parts.isNull(), "response is not an object"),
         _missing_text("missing root fields", parts, REQUIRED_RESPONSE),
-        F.when(F.coalesce(~daily.rlike(r"^\s*\{"), F.lit(True)), "daily is not an object"),
-        F.when(F.coalesce(F.size(time), F.lit(0)) <= 0, "daily.time is not a non-empty array"),
+        F.when(F.coalesce(~daily.startswith("{"), F.lit(True)), "daily is not an object"),
+        F.when(F.coalesce(F.size(_daily_time(daily)), F.lit(0)) <= 0, "daily.time is not a non-empty array"),
     )
 
 

@@ -43,6 +43,11 @@ def _iso(column: str) -> Column:
     return F.col(column).cast("string").alias(column)
 
 
+def _iso_utc(column: str) -> Column:
+    in_utc = F.to_utc_timestamp(column, F.current_timezone())
+    return F.date_format(in_utc, "yyyy-MM-dd HH:mm:ss")
+
+
 def _with_iso_date(rows: DataFrame) -> DataFrame:
     return rows.withColumn("date", _iso("date"))
 
@@ -179,7 +184,7 @@ def q_parse_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_typed_daily(spark: SparkSession, sf: str) -> DataFrame:
     typed = typed_daily(parse_daily(_staged(spark, sf)))
-    stamp = F.date_format("extraction_timestamp_utc", "yyyy-MM-dd HH:mm:ss").alias("extracted_at")
+    stamp = _iso_utc("extraction_timestamp_utc").alias("extracted_at")
     return typed.select("city_id", _iso("date"), "year", "month", "season", "temperature_2m_max", stamp)
 
 
@@ -226,7 +231,7 @@ def q_raw_stage(spark: SparkSession, sf: str) -> DataFrame:
         "city_id",
         "city_name",
         _iso("extraction_date"),
-        F.date_format("extraction_timestamp_utc", "yyyy-MM-dd HH:mm:ss").alias("extracted_at"),
+        _iso_utc("extraction_timestamp_utc").alias("extracted_at"),
         "record_count",
         "gcs_uri",
         "source_file_name",
