@@ -14,7 +14,7 @@ _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]+'
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once however often ``use`` mentions it.
 
-    For parses: an expression that appears in several CASE branches is computed in each of them.
+    For parses of whole documents. It leaves generated code, so cheap values are better repeated.
     """
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -34,7 +34,7 @@ def json_scalar(document: Column, path: str) -> Column:
 
     Numbers come in the parser's shortest form, so 2.50 reads as '2.5'.
     """
-    return once(F.get_json_object(document, path), scalar_only)
+    return scalar_only(F.get_json_object(document, path))
 
 
 def scalar_array(items: Column) -> Column:
