@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger.session import shared_dir
 
@@ -19,6 +22,10 @@ SLICE = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Python workers of a local session find this package as well."""
+    paths = spark.sparkContext.environment.setdefault("PYTHONPATH", "").split(os.pathsep)
+    if (root := str(Path(__file__).parents[2])) not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -66,7 +73,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_slices(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str
 ) -> DataFrame:
     """Apply ``work`` to every slice of at most ``SLICE`` rows of the Arrow batches."""
 
