@@ -33,4 +33,51 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": DECONTAMINATION}
+_RULES = {
+    "few_words": "n_words < 10",
+    "repeats": "100 * n_repeat_words > 20 * n_words",
+    "symbols": "10 * n_symbols > word_chars",
+    "dup_lines": "10 * n_dup_lines > 3 * n_lines",
+}
+_SUMS = ", ".join(f"sum(({c})::INT)::DOUBLE AS {n}" for n, c in _RULES.items())
+_MEANS = ", ".join(
+    f"sum({n}) / sum(n) AS {n}_m, sum({n} * {n} / n) / sum(n) - (sum({n}) / sum(n)) ** 2 AS {n}_v"
+    for n in _RULES
+)
+_WEIGHT = "CASE WHEN {0}_v > 0 THEN least(1000, greatest(2, {0}_m * (1 - {0}_m) / {0}_v - 1)) ELSE 1000 END"
+_ABOVE = " OR ".join(
+    f"({n} + {n}_m * ({_WEIGHT.format(n)})) / (n + ({_WEIGHT.format(n)})) > 0.5" for n in _RULES
+)
+QUALITY_RULES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM documents
+),
+runs AS (
+  SELECT r, i, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (FROM d WHERE len(w) >= 5), LATERAL (SELECT unnest(range(1, len(w) - 3)) AS i)
+),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM runs) WHERE c > 1),
+repeats AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r
+),
+m AS (
+  SELECT r, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(l) AS n_lines,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN repeats USING (r)
+),
+hosts AS (SELECT source, count(*) AS n, {_SUMS} FROM m WHERE source IS NOT NULL GROUP BY source),
+bad AS (SELECT source, true AS bad FROM hosts, (SELECT {_MEANS} FROM hosts) WHERE {_ABOVE})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  {_RULES["few_words"]} OR {_RULES["repeats"]} AS base_failed,
+  NOT ({_RULES["few_words"]} OR {_RULES["repeats"]}) AND bad IS NULL AS kept
+FROM m LEFT JOIN bad USING (source)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": DECONTAMINATION,
+    "op10_quality_rules": QUALITY_RULES,
+}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import table
 from skyledger.llm.decontaminate import contamination, is_contaminated
 from skyledger.llm.oracles import ORACLES as ORACLES
+from skyledger.llm.quality_rules import quality_verdicts
 from skyledger.llm.simhash import simhash_groups
 
 
@@ -33,7 +34,17 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
+    return verdicts.select(
+        "doc_id",
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        *("base_failed", "kept"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
