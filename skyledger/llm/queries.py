@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import table
 from skyledger.llm.decontaminate import contamination, is_contaminated
 from skyledger.llm.oracles import ORACLES as ORACLES
 from skyledger.llm.quality_rules import quality_verdicts
+from skyledger.llm.secrets import KINDS, secret_spans
 from skyledger.llm.simhash import simhash_groups
 
 
@@ -27,6 +28,29 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spelled(spans) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    def of(*wanted: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*wanted))
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds),
+        F.sha2(_spelled(of(*kinds)), 256).alias("base_sha256"),
+        _spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secret_spans(table(spark, sf_dir, "documents")), KINDS)
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -45,6 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_secret_scan": op2_secret_scan,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
