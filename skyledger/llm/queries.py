@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import table
+from skyledger.llm.common import scratch_path, table
 from skyledger.llm.decontaminate import contamination, is_contaminated
 from skyledger.llm.oracles import ORACLES as ORACLES
+from skyledger.llm.packing import pack
 from skyledger.llm.quality_rules import quality_verdicts
 from skyledger.llm.secrets import KINDS, secret_spans
 from skyledger.llm.simhash import simhash_groups
+from skyledger.llm.token_files import read_token_files, write_token_files
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +53,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_spans(table(spark, sf_dir, "documents")), KINDS)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -58,6 +64,13 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), path)
+    read = read_token_files(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
     return verdicts.select(
@@ -70,6 +83,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_secret_scan": op2_secret_scan,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op8_token_files": op8_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
