@@ -14,6 +14,7 @@ from skyledger.llm.packing import pack
 from skyledger.llm.quality_rules import quality_verdicts
 from skyledger.llm.secrets import KINDS, secret_spans
 from skyledger.llm.simhash import simhash_groups
+from skyledger.llm.substring_dedup import dedup_substrings
 from skyledger.llm.token_files import read_token_files, write_token_files
 
 
@@ -53,6 +54,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_spans(table(spark, sf_dir, "documents")), KINDS)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = dedup_substrings(table(spark, sf_dir, "documents"))
+    return result.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -83,6 +89,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_secret_scan": op2_secret_scan,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op8_token_files": op8_token_files,
