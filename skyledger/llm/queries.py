@@ -11,6 +11,7 @@ from skyledger.llm.common import scratch_path, table
 from skyledger.llm.decontaminate import contamination, is_contaminated
 from skyledger.llm.oracles import ORACLES as ORACLES
 from skyledger.llm.packing import pack
+from skyledger.llm.quality_model import quality_scores
 from skyledger.llm.quality_rules import quality_verdicts
 from skyledger.llm.secrets import KINDS, secret_spans
 from skyledger.llm.simhash import simhash_groups
@@ -77,6 +78,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
     return verdicts.select(
@@ -93,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op8_token_files": op8_token_files,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
