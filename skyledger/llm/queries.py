@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm.brown import class_scores
 from skyledger.llm.common import scratch_path, table
 from skyledger.llm.decontaminate import contamination, is_contaminated
 from skyledger.llm.oracles import ORACLES as ORACLES
@@ -71,6 +72,10 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_class_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_token_files(table(spark, sf_dir, "documents"), path)
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op7_class_bigrams": op7_class_bigrams,
     "op8_token_files": op8_token_files,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
