@@ -12,9 +12,12 @@ from skyledger.llm.common import scratch_path, table
 from skyledger.llm.decontaminate import contamination, is_contaminated
 from skyledger.llm.oracles import ORACLES as ORACLES
 from skyledger.llm.packing import pack
+from skyledger.llm.pii import KINDS as PII_KINDS
+from skyledger.llm.pii import pii_spans
 from skyledger.llm.quality_model import quality_scores
 from skyledger.llm.quality_rules import quality_verdicts
-from skyledger.llm.secrets import KINDS, secret_spans
+from skyledger.llm.secrets import KINDS as SECRET_KINDS
+from skyledger.llm.secrets import secret_spans
 from skyledger.llm.simhash import simhash_groups
 from skyledger.llm.substring_dedup import dedup_substrings
 from skyledger.llm.token_files import read_token_files, write_token_files
@@ -53,7 +56,7 @@ def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _span_digest(secret_spans(table(spark, sf_dir, "documents")), KINDS)
+    return _span_digest(secret_spans(table(spark, sf_dir, "documents")), SECRET_KINDS)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +75,10 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(pii_spans(table(spark, sf_dir, "documents")), PII_KINDS)
+
+
 def op7_class_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_scores(table(spark, sf_dir, "documents"))
 
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_pii": op6_pii,
     "op7_class_bigrams": op7_class_bigrams,
     "op8_token_files": op8_token_files,
     "op9_quality_classifier": op9_quality_classifier,
