@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: one stage after another, each a written table.
 
-Every stage takes (spark, docs, sf_dir) and returns the rows it keeps, with the columns of
-documents; the last returns the placement of every piece.
+Every stage takes (spark, docs, sf_dir) and works on all rows of the stage before it. All but the
+last return the rows they keep with the columns of documents; the last returns the place of every
+piece of every document that is left.
 """
 
 from __future__ import annotations
@@ -9,16 +10,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.common import table, written
+from skyledger.llm.decontaminate import decontaminate
+from skyledger.llm.packing import pack
+from skyledger.llm.quality_rules import drop_low_quality
+from skyledger.llm.secrets import redact_secrets
 from skyledger.llm.simhash import one_per_group
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules or their host's rates reject go."""
+    return drop_low_quality(docs)
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
     return one_per_group(docs, shingle=3, distance=3)
 
 
-STAGES = [("simhash_dedup", simhash_dedup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go; the others lose the words that test items share."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; no document goes."""
+    return redact_secrets(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece in sequences of 4096 tokens."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_dedup", simhash_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
+]
 
-#: SQL has no XXH64, tokenizer or trained model; the stages are tested against brute force.
+#: SQL has no XXH64, trained network or tokenizer; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
