@@ -45,6 +45,25 @@ def row_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull())
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``row_key`` and the whole ``row`` as a struct, so that no column of it can clash."""
+    return docs.select(
+        row_key().alias("row_key"), F.struct(*(quoted(c) for c in docs.columns)).alias("row")
+    )
+
+
+def with_text(rows: DataFrame, columns: list[str], text: Column, changed: Column) -> DataFrame:
+    """The columns of ``row`` with ``text`` where it changed; ``n_chars``, if there, follows it."""
+    fresh = {"text": text, "n_chars": F.length(text).cast("long")}
+    old = F.col("row")
+    return rows.select(
+        *(
+            (F.when(changed, fresh[c]).otherwise(old[c]) if c in fresh else old[c]).alias(c)
+            for c in columns
+        )
+    )
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one, grouped by application so that it can be dropped."""
     app = spark.sparkContext.applicationId

@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import map_slices, narrow, quoted, utf8, written
+from skyledger.llm.common import map_slices, narrow, quoted, utf8, with_text, written
 
 #: Words are runs of 0-9, a-z and everything above 0x7F, after A-Z became a-z.
 WORD_BYTES = bytes(
@@ -221,12 +221,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     state = contamination(docs, benchmark, window=window).filter(~is_contaminated())
     state = map_slices(state.select("text", "hit", "row"), cut, state.select("text", "hit", "row").schema)
-    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return state.select(
-        *(
-            F.when(F.size("hit") > 0, changed[c]).otherwise(F.col("row")[c]).alias(c)
-            if c in changed
-            else F.col("row")[c].alias(c)
-            for c in docs.columns
-        )
-    )
+    return with_text(state, docs.columns, F.col("text"), F.size("hit") > 0)

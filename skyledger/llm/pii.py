@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import narrow, quoted, row_key, written
+from skyledger.llm.common import keyed_rows, narrow, row_key, with_text, written
 from skyledger.llm.quality_rules import _let
 
 KINDS = ("email", "ip", "card", "phone")
@@ -333,20 +333,19 @@ def redact_pii(docs: DataFrame, precision: float = 0.95, mark: str = "[PII]") ->
     """
     found = pii_spans(docs, precision=precision).filter(F.size("spans") > 0)
     found = found.select("row_key", "spans").dropDuplicates(["row_key"])
-    joined = docs.withColumn("row_key", row_key()).join(found, "row_key", "left")
+    joined = keyed_rows(docs).join(found, "row_key", "left")
+    text = F.col("row.text")
 
     def step(state: Column, s: Column) -> Column:
         fresh = s["start"] >= state["at"]
-        gap = F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"])
+        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
         return F.struct(
             F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"),
             F.greatest(state["at"], s["end"]).alias("at"),
         )
 
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    rest = lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text")))
-    clean = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
-        F.aggregate("spans", begin, step, rest)
+    clean = F.aggregate(
+        "spans", begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
     )
-    changed = {"text": clean, "n_chars": F.when(F.col("spans").isNull(), quoted("n_chars") if "n_chars" in docs.columns else F.lit(0)).otherwise(F.length(clean).cast("long"))}
-    return joined.select(*((changed[c] if c in changed else quoted(c)).alias(c) for c in docs.columns))
+    return with_text(joined, docs.columns, clean, F.col("spans").isNotNull())

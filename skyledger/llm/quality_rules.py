@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import quoted, row_key, written
+from skyledger.llm.common import keyed_rows, quoted, row_key, written
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -171,7 +171,5 @@ def quality_verdicts(
 def drop_low_quality(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     verdicts = quality_verdicts(docs, max_rate=max_rate)
-    gone = verdicts.filter(~F.col("kept")).select(F.col("row_key").alias("gone_key")).distinct()
-    columns = docs.columns
-    keyed = docs.withColumn("gone_key", row_key())
-    return keyed.join(gone, "gone_key", "left_anti").select(*columns)
+    gone = verdicts.filter(~F.col("kept")).select("row_key").distinct()
+    return keyed_rows(docs).join(gone, "row_key", "left_anti").select("row.*")

@@ -10,7 +10,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import LOWER_ASCII, batch_of, map_slices, narrow, row_key, utf8, written
+from skyledger.llm.common import (
+    LOWER_ASCII,
+    batch_of,
+    keyed_rows,
+    map_slices,
+    narrow,
+    row_key,
+    utf8,
+    written,
+)
 from skyledger.llm.components import components
 
 #: Buckets above this size are split once more by the bits that their key leaves open.
@@ -143,6 +152,5 @@ def one_per_group(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataF
     """
     groups = simhash_groups(docs, shingle=shingle, distance=distance)
     kept = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    kept = kept.select(F.col("row_key").alias("kept_key")).distinct()
-    columns = docs.columns
-    return docs.withColumn("kept_key", row_key()).join(kept, "kept_key", "left_semi").select(*columns)
+    kept = kept.select("row_key").distinct()
+    return keyed_rows(docs).join(kept, "row_key", "left_semi").select("row.*")
