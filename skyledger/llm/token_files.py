@@ -33,19 +33,22 @@ def pack_words(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """(words, place of each document's first word). ``ends``: exclusive ends of the documents."""
     total = len(ids)
     ids = ids.astype(np.uint64)
-    where = np.arange(total)
-    limit = np.repeat(ends, np.diff(ends, prepend=0))  # the end of the document at each place
-    choice = np.full(total, ESCAPE)
-    step = np.ones(total, np.int64)
-    for selector in range(len(COUNTS) - 1, -1, -1):
-        count, width = int(COUNTS[selector]), int(WIDTHS[selector])
-        wide = ids >> np.uint64(width) != 0
-        if wide.all():
-            continue
-        stop = np.minimum.accumulate(np.where(wide, where, total)[::-1])[::-1]  # next wide id
-        fits = stop >= np.minimum(where + count, limit)
-        choice[fits] = selector
-        step[fits] = np.minimum(count, (limit - where)[fits])
+    left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(total)  # ids to the document's end
+    room = np.minimum(left, COUNTS[0]).astype(np.uint8)
+    bits = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+    # The widest of the next ids, by how many; past the document's end nothing is wide.
+    widest = {1: bits}
+    choice = np.where(bits <= WIDTHS[-1], len(COUNTS) - 1, ESCAPE).astype(np.uint8)
+    for selector in range(len(COUNTS) - 2, -1, -1):
+        count = int(COUNTS[selector])
+        head = max(c for c in widest if count - c in widest)
+        both = widest[head].copy()
+        if total > head:
+            inside = (room[:-head] > head).view(np.uint8) * np.uint8(255)
+            np.maximum(both[:-head], widest[count - head][head:] & inside, out=both[:-head])
+        widest[count] = both
+        choice[both <= WIDTHS[selector]] = selector
+    step = np.minimum(np.append(COUNTS, [1, 1])[choice], room)
     starts, at, hops = [], 0, step.tolist()
     while at < total:
         starts.append(at)

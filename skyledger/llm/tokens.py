@@ -1,110 +1,105 @@
-"""Token ids by the tokenizers library, with what it returned for frequent pieces remembered.
+"""Token ids by the tokenizers library, with what it returned for frequent words remembered.
 
 Text is cut only where the tokenizer cuts in any case, so that the ids of a text are those of its
-units one after another. Units that are not remembered are cut once more into the tokenizer's own
-words, of which there are fewer, and the unknown ones go to the library in one batch.
+units one after another. In Latin text the units are the tokenizer's own words; elsewhere they are
+what stands between blanks. Units that are not remembered go to the library in one batch.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from unicodedata import normalize
 
 import numpy as np
-import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Remembered units and words; beyond that nothing more is remembered.
-UNITS, WORDS = 200_000, 400_000
+#: Remembered units; beyond that nothing more is remembered.
+UNITS = 600_000
+#: Below U+0250 Unicode's classes have not changed for long and nothing composes or decomposes.
+_PLAIN = re.compile(r"[\x00-ɏ]*")
 #: White space other than blank and line feed: such texts are not cut.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-#: Letters that every Unicode version classes alike.
-_PLAIN = re.compile(r"[\x00-ɏ]*")
+_LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 
 
-def _read(path: str):
-    from tokenizers import Tokenizer
+def _read(path: str, words_only: bool):
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    if words_only:  # a word needs no cutting, only its bytes spelled as the vocabulary does
+        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     return tokenizer
 
 
 class ByteLevel:
-    """A byte-level BPE: a unit is a run of white space with the run of other characters after it."""
+    """A byte-level BPE that keeps white space: a word takes one blank before it along."""
 
+    word = re.compile(
+        rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^ \n{_LETTERS}{_NUMBERS}]+"
+        r"|[ \n]+(?![^ \n])|[ \n]+"
+    )
     unit = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-    word = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-    def units(self, text: str) -> list[str]:
-        return [text] if _OTHER_SPACE.search(text) else self.unit.findall(text)
 
-    def words(self, unit: str) -> list[str]:
-        return self.word.findall(unit)
+    def units(self, text: str) -> tuple[list[str], bool]:
+        """The units, and whether they are words."""
+        if _OTHER_SPACE.search(text):
+            return [text], False
+        plain = bool(_PLAIN.fullmatch(text))
+        return (self.word if plain else self.unit).findall(text), plain
 
 
-class WordLevel(ByteLevel):
-    """A BPE that drops white space and case: a unit is what stands between blanks."""
+class WordLevel:
+    """A BPE that drops white space and case, and takes digits one by one."""
 
-    word = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    word = re.compile(
+        rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^ \n{_LETTERS}{_NUMBERS}]+"
+    )
 
-    def units(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
-
-    def words(self, unit: str) -> list[str]:
-        return self.word.findall(normalize("NFC", unit).lower())
+    def units(self, text: str) -> tuple[list[str], bool]:
+        """The units, and whether they are words."""
+        if _PLAIN.fullmatch(text) and not _OTHER_SPACE.search(text):
+            return self.word.findall(text.lower()), True
+        return text.replace("\n", " ").split(" "), False
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, style: ByteLevel) -> None:
-        self.tokenizer, self.style = _read(path), style
-        self.known_units: dict[str, bytes] = {"": b""}
-        self.known_words: dict[str, bytes] = {"": b""}
-
-    def _words(self, words: set[str]) -> dict[str, bytes]:
-        fresh = [w for w in words if w not in self.known_words]
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        new = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(fresh, found, strict=True)}
-        if len(self.known_words) < WORDS:
-            self.known_words |= new
-        return new
+    def __init__(self, path: str, style: ByteLevel | WordLevel) -> None:
+        self.style = style
+        self.libraries = {words_only: _read(path, words_only) for words_only in (True, False)}
+        self.known: dict[str, bytes] = {"": b""}
 
-    def _units(self, units: set[str]) -> dict[str, bytes]:
-        plain = _PLAIN.fullmatch
-        cut = {u: self.style.words(u) if plain(u) and len(u) < 200 else [u] for u in units}
-        new = self._words({w for words in cut.values() for w in words})
-        known = self.known_words
-        ids = {u: b"".join(new[w] if w in new else known[w] for w in ws) for u, ws in cut.items()}
-        if len(self.known_units) < UNITS:
-            self.known_units |= ids
-        return ids
+    def _new(self, units: list[str], words: bool) -> dict[str, bytes]:
+        found = self.libraries[words].encode_batch_fast(units, add_special_tokens=False)
+        new = {u: np.array(e.ids, "<u4").tobytes() for u, e in zip(units, found, strict=True)}
+        if len(self.known) < UNITS:
+            self.known |= {u: ids for u, ids in new.items() if len(u) < 100}
+        return new
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, without end ids; null is an empty text."""
-        known = self.known_units.get
-        rows, missing = [], set()
+        known = self.known.get
+        rows, missing = [], {True: set(), False: set()}
         for text in texts:
-            units = self.style.units(text) if text else []
+            units, words = self.style.units(text) if text else ([], True)
             parts = list(map(known, units))
             holes = [i for i, p in enumerate(parts) if p is None] if None in parts else []
-            missing.update(units[i] for i in holes)
-            rows.append((parts, [(i, units[i]) for i in holes]))
-        if missing:
-            new = self._units(missing)
-            for parts, holes in rows:
-                for i, unit in holes:
-                    parts[i] = new[unit]
-        return [b"".join(parts) for parts, _ in rows]
+            missing[words].update([units[i] for i in holes])
+            rows.append((units, parts, holes))
+        new = self._new(list(missing[False]), False) | self._new(list(missing[True]), True)
+        for units, parts, holes in rows:
+            for i in holes:
+                parts[i] = new[units[i]]
+        return [b"".join(parts) for _, parts, _ in rows]
 
 
 _ENCODERS: dict[tuple[str, type], Encoder] = {}
 
 
-def encoder(path: str, style: type[ByteLevel]) -> Encoder:
+def encoder(path: str, style: type[ByteLevel] | type[WordLevel]) -> Encoder:
     """The encoder of this worker process, with what it remembers."""
     if (path, style) not in _ENCODERS:
         _ENCODERS[path, style] = Encoder(path, style())

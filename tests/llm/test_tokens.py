@@ -48,7 +48,7 @@ def test_units_give_the_ids_of_the_whole_text(style):
 @pytest.mark.parametrize("style", [ByteLevel, WordLevel])
 def test_full_memory_changes_nothing(style, monkeypatch):
     monkeypatch.setattr(tokens, "UNITS", 5)
-    monkeypatch.setattr(tokens, "WORDS", 5)
+
     encoder = Encoder(vocabulary(NAMES[style]), style())
     for seed in range(4):
         text = prose(200, seed)
