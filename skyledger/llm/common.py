@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -91,6 +92,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now, not at some later collection.
+
+    Spark drops a shuffle once nothing in the driver refers to it any more.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_slices(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str
 ) -> DataFrame:

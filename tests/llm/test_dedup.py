@@ -156,8 +156,9 @@ def test_substring_dedup_of_shared_passages_at_all_offsets(spark):
 
 def test_every_full_window_holds_an_anchor():
     words = (prose(300, 1) + "a b " * 100).encode().split()
-    at = anchors(Rolling(words), 50)
-    assert all(((at >= s) & (at <= s + 50 - 12)).any() for s in range(len(words) - 49))
+    at, first, n = anchors(Rolling(words), 50)
+    assert first[0] == 0 and (first[1:] == first[:-1] + n[:-1]).all() and first[-1] + n[-1] == len(words) - 49
+    assert (at >= first + n - 1).all() and (at <= first + 50 - 12).all()
 
 
 def test_windows_hash_alike_wherever_they_stand():
