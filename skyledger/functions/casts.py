@@ -15,6 +15,10 @@ _DECIMAL_CHARACTERS = r"^[0-9.eE+\-\s]+$"
 _INFINITY_TEXT = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 _NAN_TEXT = r"(?i)^\s*[+-]?nan\s*$"
 _INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+_DAY_ONLY = r"^\d{4}-\d{2}-\d{2}$"
+_NO_SECONDS = r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])"
+_OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
+_STAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 _DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
@@ -39,5 +43,9 @@ def safe_date(text: Column) -> Column:
 
 
 def safe_timestamp(text: Column) -> Column:
-    """ISO text to timestamp, NULL when it does not parse."""
-    return F.when(text.rlike(r"^\d{4}-"), text.try_cast("timestamp"))
+    """ISO text to timestamp, NULL when it does not parse. Without an offset it is in UTC."""
+    stamp = F.when(text.rlike(_DAY_ONLY), F.concat(text, F.lit("T00:00:00"))).otherwise(
+        F.regexp_replace(text, _NO_SECONDS, "$1:00")
+    )
+    zoned = F.when(stamp.rlike(_OFFSET), stamp).otherwise(F.concat(stamp, F.lit("Z")))
+    return F.when(text.rlike(_STAMP_TEXT), zoned.try_cast("timestamp"))

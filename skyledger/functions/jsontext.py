@@ -19,14 +19,45 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def is_container(text: Column) -> Column:
-    """True where the text of a JSON value, as a parser returns it, is an object or an array."""
+STRICT = {"allowSingleQuotes": "false"}
+_CONTAINER_TYPE = "^(ARRAY|OBJECT)"
+
+
+def whole_value(document: Column) -> Column:
+    """True where a text is one JSON value and nothing else, read strictly.
+
+    The parser alone stops after the first value. Inside a list, text after it or a second value
+    shows; inside an object, a text that closes the list early does.
+    """
+    listed = F.from_json(F.concat(F.lit("["), document, F.lit("]")), "array<string>", STRICT)
+    held = F.from_json(F.concat(F.lit('{"d":'), document, F.lit("}")), "map<string, string>", STRICT)
+    alone = (F.size(listed) == 1) & (F.array_join(F.map_keys(held), "|") == "d")
+    return F.coalesce(alone, F.lit(False))
+
+
+def member(fields: Column, name: str) -> Column:
+    """Value of a key in a map read from JSON; of a repeated key the last one."""
+    found = F.filter(F.map_entries(fields), lambda entry: entry["key"] == name)
+    return F.try_element_at(found, F.lit(-1))["value"]
+
+
+def _looks_nested(text: Column) -> Column:
     return text.startswith("{") | text.startswith("[")
 
 
-def scalar_only(text: Column) -> Column:
-    """NULL out text that is an object or an array; scalar extraction yields scalars only."""
-    return F.when(~is_container(text), text)
+def _typed_as_container(value: Column) -> Column:
+    return F.schema_of_variant(value).rlike(_CONTAINER_TYPE)
+
+
+def scalar_only(text: Column, document: Column, path: str) -> Column:
+    """NULL out ``text``, read at ``path``, if the value there is an object or an array.
+
+    Text that begins like one may still be a string; then the value's type in the document
+    decides. A document that has no type tree (a repeated key) is judged by its text.
+    """
+    value = F.try_variant_get(F.try_parse_json(document), path, "variant")
+    nested = F.coalesce(_typed_as_container(value), F.lit(True))
+    return F.when(~_looks_nested(text), text).when(~nested, text)
 
 
 def json_scalar(document: Column, path: str) -> Column:
@@ -34,12 +65,21 @@ def json_scalar(document: Column, path: str) -> Column:
 
     Numbers come in the parser's shortest form, so 2.50 reads as '2.5'.
     """
-    return scalar_only(F.get_json_object(document, path))
+    return scalar_only(F.get_json_object(document, path), document, path)
+
+
+def nested_elements(items: Column, document: Column, path: str) -> Column:
+    """For each element of the array at ``path``, read as text, whether it is an object or array."""
+    values = F.try_variant_get(F.try_parse_json(document), path, "array<variant>")
+    typed = F.transform(values, _typed_as_container)
+    looks = F.transform(items, lambda x: F.coalesce(_looks_nested(x), F.lit(False)))
+    return F.when(F.exists(looks, lambda x: x), F.coalesce(typed, looks)).otherwise(looks)
 
 
-def scalar_array(items: Column) -> Column:
-    """An ``array<string>`` read from JSON, NULL as a whole if any element is not a scalar."""
-    return F.when(~F.coalesce(F.exists(items, is_container), F.lit(False)), items)
+def scalar_array(items: Column, document: Column, path: str) -> Column:
+    """An ``array<string>`` read at ``path``, NULL as a whole if any element is not a scalar."""
+    nested = nested_elements(items, document, path)
+    return F.when(~F.coalesce(F.exists(nested, lambda x: x), F.lit(False)), items)
 
 
 def compact(document: Column) -> Column:

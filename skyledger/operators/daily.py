@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.casts import safe_date, safe_double, safe_long
-from skyledger.functions.jsontext import scalar_array, scalar_only
+from skyledger.functions.jsontext import nested_elements, scalar_array, scalar_only
 from skyledger.functions.labels import city_key, season_en
 from skyledger.operators.quality import PAYLOAD_SOURCE
 from skyledger.sources.schemas import DAILY_VARIABLES, LONG_VARIABLES, PAYLOAD_JSON
@@ -19,20 +19,29 @@ def parse_daily(raw: DataFrame) -> DataFrame:
     NULL; a document without a ``time`` array gives no rows. The city key comes from
     ``meta.city_name``, not from the staged ``city_id``.
     """
+    payload = F.col("payload")
+    time = F.col("doc.data.daily.time")
     parsed = raw.select(
-        "extraction_timestamp_utc", F.from_json("payload", PAYLOAD_JSON).alias("doc")
+        "extraction_timestamp_utc", "payload", F.from_json("payload", PAYLOAD_JSON).alias("doc")
     ).select(
         "extraction_timestamp_utc",
-        scalar_only(F.col("doc.meta.city_name")).alias("city_name"),
-        F.col("doc.data.daily.time").alias("time"),
-        *[scalar_array(F.col(f"doc.data.daily.{name}")).alias(name) for name in DAILY_VARIABLES],
+        scalar_only(F.col("doc.meta.city_name"), payload, "$.meta.city_name").alias("city_name"),
+        F.zip_with(
+            time,
+            nested_elements(time, payload, "$.data.daily.time"),
+            lambda day, nested: F.when(~F.coalesce(nested, F.lit(False)), day),
+        ).alias("time"),
+        *[
+            scalar_array(F.col(f"doc.data.daily.{name}"), payload, f"$.data.daily.{name}").alias(name)
+            for name in DAILY_VARIABLES
+        ],
     )
     # An inner explode makes the optimizer filter on the array below the parse, which parses again.
     days = parsed.select("*", F.posexplode_outer("time").alias("position", "day")).filter("position IS NOT NULL")
     return days.select(
         city_key(F.col("city_name")).alias("city_id"),
         "city_name",
-        safe_date(scalar_only(F.col("day"))).alias("date"),
+        safe_date(F.col("day")).alias("date"),
         *[_value(name).alias(name) for name in DAILY_VARIABLES],
         "extraction_timestamp_utc",
         F.lit(PAYLOAD_SOURCE).alias("payload_source"),

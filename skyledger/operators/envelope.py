@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.casts import safe_date, safe_long, safe_timestamp
-from skyledger.functions.jsontext import compact, once
+from skyledger.functions.jsontext import compact, member, once, whole_value
 from skyledger.operators.incremental import unseen
-from skyledger.operators.joins import BROADCAST_ROWS
-from skyledger.session import keep
 from skyledger.sources.bronze import bronze_path
 from skyledger.sources.schemas import ENVELOPE_JSON, REQUIRED_META, REQUIRED_RESPONSE
 
@@ -18,7 +16,7 @@ INSERT_ID = ("city_id", "source_type", "extraction_date")
 
 def _response_parts(response: Column) -> Column:
     """Top-level keys of a response with the JSON text of their values; NULL if not an object."""
-    return F.from_json(response, "map<string, string>")
+    return F.when(whole_value(response), F.from_json(response, "map<string, string>"))
 
 
 def _daily_time(daily: Column) -> Column:
@@ -37,7 +35,7 @@ def _missing_text(label: str, fields: Column, required: tuple[str, ...]) -> Colu
 
 def record_count(response: Column) -> Column:
     """Length of ``daily.time``; 0 if it is absent or not an array."""
-    time = _daily_time(_response_parts(response)["daily"])
+    time = _daily_time(member(_response_parts(response), "daily"))
     return F.greatest(F.coalesce(F.size(time), F.lit(0)), F.lit(0)).cast("bigint")
 
 
@@ -47,7 +45,7 @@ def response_error(response: Column) -> Column:
 
 
 def _parts_error(parts: Column) -> Column:
-    daily = parts["daily"]
+    daily = member(parts, "daily")
     return F.coalesce(
         F.when(parts.isNull(), "response is not an object"),
         _missing_text("missing root fields", parts, REQUIRED_RESPONSE),
@@ -65,6 +63,9 @@ def build_envelopes(
 ) -> DataFrame:
     """Wrap each response text with its metadata, leaving the response as it came.
 
+    Adds ``document`` and ``response_error``. A response that cannot be used has an error and no
+    document.
+
     Input columns: city_id, city_name, latitude, longitude, elevation_m, source_type, source_url,
     extraction_date (date), extraction_timestamp_utc (text), response (JSON text).
     """
@@ -90,44 +91,70 @@ def build_envelopes(
         F.col("response"),
         F.lit("}"),
     )
-    return responses.withColumn("document", document)
+    checked = responses.withColumn("response_error", response_error(F.col("response")))
+    return checked.withColumn("document", F.when(F.col("response_error").isNull(), document))
 
 
 def envelope_fields(files: DataFrame) -> DataFrame:
     """Add ``meta`` (key to text) and the first ``error`` of each document, NULL if it is valid."""
-    envelope = F.from_json("document", ENVELOPE_JSON)
-    return files.withColumn("envelope", envelope).select(
+    whole = F.when(whole_value(F.col("document")), F.col("document"))
+    envelope = F.from_json(whole, ENVELOPE_JSON)
+    counted = F.from_json(whole, "meta struct<record_count: double>")["meta"]["record_count"]
+    read = files.withColumn("envelope", envelope).withColumn("whole", whole.isNotNull())
+    return read.select(
         *files.columns,
         F.col("envelope.meta").alias("meta"),
-        envelope_error(F.col("document"), F.col("envelope")).alias("error"),
-    )
+        F.coalesce(safe_long(member(F.col("envelope.meta"), "record_count")), F.floor(counted)).alias("records"),
+        F.col("whole"),
+        F.col("envelope.data").isNotNull().alias("has_data"),
+    ).select(*files.columns, "meta", "records", envelope_error().alias("error"))
 
 
-def envelope_error(document: Column, envelope: Column) -> Column:
-    """First problem of a document that was read with ``ENVELOPE_JSON``."""
-    meta, data = envelope["meta"], envelope["data"]
+def envelope_error() -> Column:
+    """First problem of a document from what was read of it."""
+    meta = F.col("meta")
     return F.coalesce(
-        F.when(F.coalesce(~document.rlike(r"^\s*\{"), F.lit(True)), "document is not an object"),
-        F.when(meta.isNull(), "missing object field meta"),
-        F.when(data.isNull(), "missing object field data"),
-        _missing_text("missing meta fields", meta, REQUIRED_META),
-        F.when(safe_long(meta["record_count"]).isNull(), "record_count is not an integer"),
-        F.when(safe_date(meta["extraction_date"]).isNull(), "extraction_date is not a date"),
+        F.when(~F.col("whole") | ~F.coalesce(F.col("document").rlike(r"^\s*\{"), F.lit(False)), "document is not an object"),
+        F.when(meta.isNull(), "no object under meta"),
+        F.when(~F.col("has_data"), "no object under data"),
+        _missing_text("absent from meta", meta, REQUIRED_META),
+        F.when(F.col("records").isNull(), "record_count is not an integer"),
+        F.when(safe_date(member(meta, "extraction_date")).isNull(), "extraction_date is not a date"),
         F.when(
-            safe_timestamp(meta["extraction_timestamp_utc"]).isNull(),
+            safe_timestamp(member(meta, "extraction_timestamp_utc")).isNull(),
             "extraction_timestamp_utc is not a timestamp",
         ),
     )
 
 
+def valid(checked: DataFrame) -> DataFrame:
+    """The valid documents."""
+    return checked.filter("error IS NULL")
+
+
+def rejected(checked: DataFrame, rejected_at: Column | None = None) -> DataFrame:
+    """One log row per invalid document."""
+    moment = F.current_timestamp() if rejected_at is None else rejected_at
+    return checked.filter("error IS NOT NULL").select(
+        "path", "source_file_name", "payload_sha256", "error", moment.alias("rejected_at_utc")
+    )
+
+
 def require_valid(checked: DataFrame) -> DataFrame:
-    """Fail the job on the first invalid document. Its write then commits nothing."""
-    stop = F.raise_error(F.concat_ws(": ", F.col("path"), F.col("error")))
-    return checked.withColumn("meta", F.when(F.col("error").isNull(), F.col("meta")).otherwise(stop))
+    """Fail the job on the first invalid document, whatever columns the job needs.
+
+    The check is a filter: no projection can prune it away.
+    """
+    stop = F.raise_error(F.concat_ws(": ", F.col("path"), F.col("error"))).cast("boolean")
+    return checked.filter(F.when(F.col("error").isNull(), F.lit(True)).otherwise(stop))
 
 
 def staging_rows(
-    checked: DataFrame, store_uri: str, prefix: str = "", uploaded_at: Column | None = None
+    checked: DataFrame,
+    store_uri: str,
+    prefix: str = "",
+    uploaded_at: Column | None = None,
+    with_path: bool = False,
 ) -> DataFrame:
     """Rows of the raw staging table from valid documents.
 
@@ -137,7 +164,7 @@ def staging_rows(
     meta = F.col("meta")
 
     def text(name: str) -> Column:
-        return F.coalesce(meta[name], F.lit("None"))
+        return F.coalesce(member(meta, name), F.lit("None"))
 
     path = bronze_path(
         text("source_type"), text("city_id"), text("extraction_date"), F.col("source_file_name"), prefix
@@ -146,34 +173,56 @@ def staging_rows(
         text("source_type").alias("source_type"),
         text("city_id").alias("city_id"),
         text("city_name").alias("city_name"),
-        safe_date(meta["extraction_date"]).alias("extraction_date"),
-        safe_timestamp(meta["extraction_timestamp_utc"]).alias("extraction_timestamp_utc"),
-        safe_long(meta["record_count"]).alias("record_count"),
+        safe_date(member(meta, "extraction_date")).alias("extraction_date"),
+        safe_timestamp(member(meta, "extraction_timestamp_utc")).alias("extraction_timestamp_utc"),
+        F.col("records").alias("record_count"),
         F.concat_ws("/", F.lit(store_uri.rstrip("/")), path).alias("gcs_uri"),
         "source_file_name",
         "payload_sha256",
         compact(F.col("document")).alias("payload"),
         (F.current_timestamp() if uploaded_at is None else uploaded_at).alias("uploaded_at_utc"),
+        *(["path"] if with_path else []),
     )
 
 
-def dedup_staging(
-    batch: DataFrame, existing: DataFrame | None = None, *, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def dedup_staging(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per insert id (city, source type, extraction date), and none already staged.
 
-    The first document by Bronze path wins. Ids with several documents are found from the narrow
-    columns alone; while they are few, only their documents are shuffled and ranked. Spark
-    applies the rank filter before the shuffle too, so copies of one id do not pile up.
+    The first document by Bronze path wins. That is decided from the id, path and checksum alone;
+    the documents are then taken by their path, so a payload moves once at most, and not at all
+    while Spark finds the decisions small enough to broadcast. Ids with nulls are never equal to
+    staged ones, like any keys. Give a written batch: it is read twice.
     """
+    kept = _first_by_path(batch.select(*_DECIDES))
     if existing is not None:
-        batch = unseen(batch, existing, INSERT_ID, broadcast_rows=broadcast_rows)
-    shared = keep(batch.groupBy(*INSERT_ID).count().filter("count > 1").select(*INSERT_ID))
-    if shared.count() > broadcast_rows:
-        return _first_by_path(batch)
-    shared = F.broadcast(shared)
-    alone = batch.join(shared, list(INSERT_ID), "left_anti")
-    return alone.unionByName(_first_by_path(batch.join(shared, list(INSERT_ID), "left_semi")))
+        kept = unseen(kept, existing, INSERT_ID)
+    taken = _matching(batch, kept.select(*_DECIDES), "left_semi")
+    # A listing gives each path once. A document that came twice all the same is taken once.
+    again = batch.groupBy(*_DECIDES).count().filter("count > 1").select(*_DECIDES)
+    return _matching(taken, again, "left_anti").unionByName(_first_by_path(_matching(taken, again, "left_semi")))
+
+
+_DECIDES = (*INSERT_ID, "gcs_uri", "payload_sha256")
+
+
+def _matching(documents: DataFrame, decided: DataFrame, how: str) -> DataFrame:
+    left, right = documents.alias("documents"), decided.alias("decided")
+    same = [F.col(f"documents.{c}").eqNullSafe(F.col(f"decided.{c}")) for c in _DECIDES]
+    return left.join(right, same, how)
+
+
+def dropped_documents(batch: DataFrame, logged_at: Column | None = None) -> DataFrame:
+    """Documents that share an insert id with the one that is kept, with both checksums."""
+    narrow = batch.select(*_DECIDES).distinct()
+    order = Window.partitionBy(*INSERT_ID).orderBy("gcs_uri", "payload_sha256")
+    ranked = narrow.select(
+        *narrow.columns,
+        F.row_number().over(order).alias("rank"),
+        F.first("gcs_uri").over(order).alias("kept_uri"),
+        F.first("payload_sha256").over(order).alias("kept_sha256"),
+    )
+    moment = F.current_timestamp() if logged_at is None else logged_at
+    return ranked.filter("rank > 1").drop("rank").withColumn("logged_at_utc", moment)
 
 
 def _first_by_path(documents: DataFrame) -> DataFrame:

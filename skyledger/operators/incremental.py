@@ -7,22 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.joins import lookup_join
 from skyledger.operators.quality import SILVER_RULES, Rule, accept
-from skyledger.session import keep
 
 SILVER_KEYS = ("city_id", "date")
 REJECT_KEYS = ("city_id", "date", "quality_issue", "extraction_timestamp_utc")
 
 
-def unseen(batch: DataFrame, existing: DataFrame, keys: Sequence[str], **join_options: int) -> DataFrame:
+def unseen(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing``.
 
-    Rows that share a key within the batch all pass: only the target is consulted. The existing
-    keys are reduced to distinct ones before they move, kept, and counted to choose the join.
+    Rows that share a key within the batch all pass: only the target is consulted, by its keys
+    alone. Spark broadcasts them or splits a hot key of the batch at run time. A NULL key is equal
+    to none. Give a target that is filtered to the batch's range (``within``) where it has folders.
     """
-    known = keep(existing.select(*keys).distinct())
-    return lookup_join(batch, known, keys, "left_anti", **join_options)
+    return batch.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def within(existing: DataFrame, batch: DataFrame, folder: str, column: str) -> DataFrame:
+    """The rows of ``existing`` in the range of ``column`` in a written ``batch``.
+
+    The range is read from the batch, and so is that of ``folder``, by which the target is
+    partitioned: files of other folders are not opened, however long the history is.
+    """
+    ends = batch.agg(*(f(c).alias(f"{n}_{c}") for c in (folder, column) for n, f in (("lo", F.min), ("hi", F.max))))
+    row = ends.first()
+    if row[f"lo_{column}"] is None or row[f"lo_{folder}"] is None:
+        return existing.filter(F.lit(False))
+    for c in (folder, column):
+        existing = existing.filter(F.col(c).between(F.lit(row[f"lo_{c}"]), F.lit(row[f"hi_{c}"])))
+    return existing
 
 
 def incremental_insert(
@@ -30,14 +43,13 @@ def incremental_insert(
     existing: DataFrame,
     keys: Sequence[str] = SILVER_KEYS,
     rules: Sequence[Rule] = SILVER_RULES,
-    **join_options: int,
 ) -> DataFrame:
     """Accepted rows of the batch that the target does not hold yet."""
-    return unseen(accept(batch, rules), existing, keys, **join_options)
+    return unseen(accept(batch, rules), existing, keys)
 
 
 def new_rejects(
-    rejects: DataFrame, log: DataFrame, keys: Sequence[str] = REJECT_KEYS, **join_options: int
+    rejects: DataFrame, log: DataFrame, keys: Sequence[str] = REJECT_KEYS
 ) -> DataFrame:
     """Rejects that the log does not hold yet, so that a replayed batch adds nothing.
 
@@ -45,5 +57,5 @@ def new_rejects(
     """
     as_key = F.struct(*keys).alias("reject_key")
     return unseen(
-        rejects.withColumn("reject_key", as_key), log.select(as_key), ["reject_key"], **join_options
+        rejects.withColumn("reject_key", as_key), log.select(as_key), ["reject_key"]
     ).drop("reject_key")

@@ -170,3 +170,19 @@ def spoiled_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     return envelopes(spark, sf_dir).withColumn("document", spoiled)
+
+
+def loosely_written_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes that a lenient reader takes for something else, by document id."""
+    text, defect = F.col("document"), F.col("doc_id") % 8
+    spoiled = (
+        F.when(defect == 0, F.concat(text, F.lit(" oops")))
+        .when(defect == 1, F.concat(text, text))
+        .when(defect == 2, F.replace(text, F.lit('"meta":'), F.lit("'meta':")))
+        .when(defect == 3, F.regexp_replace(text, '"record_count":(\\d+)', '"record_count":$1.0'))
+        .when(defect == 4, F.regexp_replace(text, '"extraction_timestamp_utc":"[^"]*"', '"extraction_timestamp_utc":"2024-05"'))
+        .when(defect == 5, F.replace(text, F.lit('"meta":{'), F.lit('"meta":{"city_id":"x",')))
+        .when(defect == 6, F.concat(text, F.lit("]")))
+        .otherwise(F.concat(F.lit(" \n"), F.replace(text, F.lit('":'), F.lit('" : ')), F.lit("\t ")))
+    )
+    return envelopes(spark, sf_dir).withColumn("document", spoiled)

@@ -10,14 +10,28 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.climate import climate_monthly
 from skyledger.operators.daily import parse_daily, typed_daily
-from skyledger.operators.envelope import dedup_staging, envelope_fields, require_valid, staging_rows
+from skyledger.operators.envelope import (
+    dedup_staging,
+    dropped_documents,
+    envelope_fields,
+    rejected,
+    require_valid,
+    staging_rows,
+    valid,
+)
 from skyledger.operators.events import extreme_events
-from skyledger.operators.incremental import incremental_insert, new_rejects
+from skyledger.operators.incremental import incremental_insert, new_rejects, unseen, within
 from skyledger.operators.quality import quarantine
 from skyledger.operators.risk import daily_risk
-from skyledger.sources.bronze import read_landing, write_bronze
-from skyledger.sources.dimensions import CITIES, cities_dim, weathercode_dim
-from skyledger.sources.schemas import DAILY_CLEAN_COLUMNS, QUARANTINE_COLUMNS, RAW_WEATHER_COLUMNS
+from skyledger.sources.bronze import landed_bytes, read_landing, write_bronze
+from skyledger.sources.dimensions import cities_dim, weathercode_dim
+from skyledger.sources.schemas import (
+    DAILY_CLEAN_COLUMNS,
+    DUPLICATE_COLUMNS,
+    LANDING_REJECT_COLUMNS,
+    QUARANTINE_COLUMNS,
+    RAW_WEATHER_COLUMNS,
+)
 from skyledger.sources.tables import append, ensure_database, ensure_table, replace, written_once
 
 
@@ -40,6 +54,14 @@ class Layers:
     def rejects(self) -> str:
         return f"{self.silver}.quarantine_log"
 
+    @property
+    def landing_rejects(self) -> str:
+        return f"{self.silver}.landing_reject_log"
+
+    @property
+    def duplicates(self) -> str:
+        return f"{self.silver}.duplicate_log"
+
     @property
     def cities(self) -> str:
         return f"{self.silver}.cities_dim"
@@ -68,7 +90,9 @@ def _moment(run_at: datetime | None) -> Column:
 def create_silver(spark: SparkSession, layers: Layers = Layers()) -> None:
     """Create the Silver tables that do not exist. The clean table is foldered by year."""
     ensure_database(spark, layers.silver)
-    ensure_table(spark, layers.raw, RAW_WEATHER_COLUMNS)
+    ensure_table(spark, layers.raw, RAW_WEATHER_COLUMNS, ("extraction_date",))
+    ensure_table(spark, layers.landing_rejects, LANDING_REJECT_COLUMNS)
+    ensure_table(spark, layers.duplicates, DUPLICATE_COLUMNS)
     ensure_table(spark, layers.clean, DAILY_CLEAN_COLUMNS, ("year",))
     ensure_table(spark, layers.rejects, QUARANTINE_COLUMNS)
 
@@ -84,28 +108,44 @@ def stage_landing(
     allow_empty: bool = False,
     dry_run: bool = False,
     bronze_root: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Validate all landed files and append the new ones to staging; returns the staged rows.
 
-    Any invalid file fails the run before a row is written. A dry run returns the plan unwritten.
-    ``bronze_root`` also keeps the documents in the Bronze folder layout.
+    Invalid files are logged and left out; with ``strict`` the first one fails the run before a
+    row is written. A dry run validates as it is read and returns its rows unwritten. Documents
+    that share an insert id with the kept one are logged with both checksums. ``bronze_root``
+    keeps the landed bytes of all valid files, dropped ones included; it is written after staging,
+    and a rerun that stores a document again is read once.
     """
     files = read_landing(spark, root)
     if not allow_empty and files.select("path").isEmpty():
-        raise FileNotFoundError(f"no JSON files below {root}")
-    rows = staging_rows(require_valid(envelope_fields(files)), store_uri, prefix, _moment(run_at))
+        raise FileNotFoundError(f"nothing landed below {root}")
+    checked, moment = envelope_fields(files), _moment(run_at)
+    good = require_valid(checked) if strict else valid(checked)
     if dry_run:
-        return rows
+        return staging_rows(good, store_uri, prefix, moment)
     create_silver(spark, layers)
-    with written_once(rows) as batch:
-        new = dedup_staging(batch, spark.table(layers.raw))
-        with written_once(new) as staged:
-            if bronze_root is not None:
-                write_bronze(staged, bronze_root)
-            append(staged, layers.raw)
+    with written_once(staging_rows(good, store_uri, prefix, moment, with_path=True)) as batch:
+        staged = within(spark.table(layers.raw), batch, "extraction_date", "extraction_date")
+        with written_once(dedup_staging(batch.drop("path"), staged)) as new:
+            append(new, layers.raw, rebalance_by=("extraction_date",))
+        log_new(dropped_documents(batch, moment), layers.duplicates, ("gcs_uri", "payload_sha256"))
+        if not strict:
+            log_new(rejected(checked, moment), layers.landing_rejects, ("path", "payload_sha256"))
+        if bronze_root is not None:
+            named = batch.select("path", "gcs_uri", "payload_sha256", "source_type", "city_id", "extraction_date")
+            write_bronze(named.join(landed_bytes(spark, root), "path"), bronze_root)
     return spark.table(layers.raw)
 
 
+def log_new(rows: DataFrame, name: str, keys: tuple[str, ...]) -> None:
+    """Append log rows whose keys the log does not hold yet."""
+    log = rows.sparkSession.table(name)
+    with written_once(unseen(rows, log, keys)) as new:
+        append(new, name, rebalance_by=())
+
+
 def refresh_silver(
     spark: SparkSession,
     layers: Layers = Layers(),
@@ -135,7 +175,8 @@ def insert_parsed(
     spark = parsed.sparkSession
     moment = _moment(run_at)
     with written_once(parsed) as batch:
-        new = incremental_insert(batch, spark.table(layers.clean)).withColumn("loaded_at_utc", moment)
+        target = within(spark.table(layers.clean), batch, "year", "date")
+        new = incremental_insert(batch, target).withColumn("loaded_at_utc", moment)
         append(new, layers.clean, rebalance_by=("year",))
         rejects = quarantine(batch, rejected_at=moment)
         if log_once:
@@ -148,10 +189,12 @@ def refresh_gold(spark: SparkSession, layers: Layers = Layers(), *, run_at: date
     ensure_database(spark, layers.gold)
     clean, cities = spark.table(layers.clean), spark.table(layers.cities)
     moment = _moment(run_at)
-    replace(daily_risk(clean, cities, dim_rows=len(CITIES)), layers.risk)
+    risk = daily_risk(clean, cities).withColumn("year", F.year("date"))
+    replace(risk.hint("rebalance", "year"), layers.risk, sort_by=("date",), partition_by=("year",))
     replace(climate_monthly(clean, cities, generated_at=moment), layers.climate)
     events = extreme_events(clean, generated_at=moment)
-    replace(events, layers.events, sort_by=("date", "city_name", "event_type"))
+    events = events.withColumn("year", F.year("date")).hint("rebalance", "year")
+    replace(events, layers.events, sort_by=("date", "city_name", "event_type"), partition_by=("year",))
 
 
 def run_all(

@@ -271,6 +271,31 @@ staged AS (
   FROM documents_built
 )"""
 
+
+
+def _scalar(document: str, path: str) -> str:
+    kind = f"json_type(json_extract({document}, '{path}'))"
+    return f"CASE WHEN {kind} NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN json_extract_string({document}, '{path}') END"
+
+
+_LOOSE = f"""{_DOCS},
+loose AS (
+  SELECT doc_id, days, coalesce(city_id, 'None') AS city_id, CASE doc_id % 8
+    WHEN 0 THEN document || ' oops' WHEN 1 THEN document || document
+    WHEN 2 THEN replace(document, '"meta":', chr(39) || 'meta' || chr(39) || ':')
+    WHEN 3 THEN regexp_replace(document, '"record_count":([0-9]+)', '"record_count":\\1.0')
+    WHEN 4 THEN regexp_replace(document, '"extraction_timestamp_utc":"[^"]*"', '"extraction_timestamp_utc":"2024-05"')
+    WHEN 5 THEN replace(document, '"meta":{{', '"meta":{{"city_id":"x",')
+    WHEN 6 THEN document || ']' ELSE chr(32) || chr(10) || replace(document, '":', '" : ') || chr(9) || ' ' END AS document
+  FROM documents_built
+),
+judged AS (
+  SELECT *, CASE WHEN NOT json_valid(document) THEN 'document is not an object'
+    WHEN NOT regexp_full_match(json_extract_string(document, '$.meta.extraction_timestamp_utc'), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T.*')
+    THEN 'extraction_timestamp_utc is not a timestamp' END AS error
+  FROM loose
+)"""
+
 ORACLES: dict[str, str] = {
     "daily_risk": f"{_risk('city_id')} SELECT city_id, city_name, {_DAY}, {_SCORES} FROM risk",
     "risk_base": f"""{_risk("city_id")}
@@ -318,14 +343,19 @@ SELECT city_id, {_DAY}, year, month, season, {_r2("temperature_2m_max")} AS temp
   strftime(DATE '2024-01-01' + CAST(chunk % 7 AS INTEGER), '%Y-%m-%d') || ' 06:00:00' AS extracted_at FROM typed""",
     "parse_daily": f"""{_TYPED}
 SELECT city_id, city_name, {_DAY}, weathercode, {_PRINTED}, '$.data.daily' AS payload_source FROM typed""",
-    "json_scalar": """
-SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.k') AS outer_k,
-  CAST(NULL AS VARCHAR) AS object_value, CAST(NULL AS VARCHAR) AS array_value, CAST(NULL AS VARCHAR) AS null_value
-FROM events""",
+    "json_scalar": f"""
+WITH e AS (
+  SELECT event_id, props, '{{"outer":' || props || ',"tags":["a"],"none":null,"draft":"[' || event_id || '] x","brace":"{{z}}"}}' AS nested
+  FROM events
+)
+SELECT event_id, {_scalar("props", "$.k")} AS k, {_scalar("nested", "$.outer.k")} AS outer_k,
+  {_scalar("nested", "$.outer")} AS object_value, {_scalar("nested", "$.tags")} AS array_value,
+  {_scalar("nested", "$.none")} AS null_value, {_scalar("nested", "$.draft")} AS draft, {_scalar("nested", "$.brace")} AS brace
+FROM e""",
     "envelope_build": f"{_DOCS} SELECT doc_id, city_id, source_type, document FROM documents_built",
     "envelope_validate": f"""{_DOCS}
-SELECT doc_id, list_extract(['document is not an object', 'missing object field meta', 'missing object field data',
-  'missing meta fields: city_id', 'record_count is not an integer', 'extraction_date is not a date',
+SELECT doc_id, list_extract(['document is not an object', 'no object under meta', 'no object under data',
+  'absent from meta: city_id', 'record_count is not an integer', 'extraction_date is not a date',
   'extraction_timestamp_utc is not a timestamp'], doc_id % 11 + 1) AS error FROM responses""",
     "payload_validate": f"""{_DOCS}
 SELECT doc_id, list_extract(['response is not an object', 'missing root fields: latitude', 'daily is not an object',
@@ -343,5 +373,15 @@ SELECT source_type, staged_city AS city_id, coalesce(city_name, 'None') AS city_
     "raw_dedup": f"""{_DOCS}
 SELECT staged_city AS city_id, source_type, extraction_date, min(uri) AS gcs_uri, arg_min(days, uri) AS record_count
 FROM staged WHERE extraction_date <> '2024-01-02' GROUP BY staged_city, source_type, extraction_date""",
+    "envelope_strict": f"""{_LOOSE}
+SELECT doc_id, error, CASE WHEN error IS NULL THEN city_id END AS city_id,
+  CASE WHEN json_valid(document) THEN CAST(trunc(CAST(json_extract(document, '$.meta.record_count') AS DOUBLE)) AS BIGINT) END AS records
+FROM judged""",
+    "envelope_rejects": f"""{_LOOSE}
+SELECT sha256(document) AS payload_sha256, error FROM judged WHERE error IS NOT NULL""",
+    "landing_roundtrip": f"""{_DOCS}
+SELECT sha256(document) AS payload_sha256, length(document) AS chars, CAST(NULL AS VARCHAR) AS error FROM documents_built""",
+    "bronze_roundtrip": f"""{_DOCS}
+SELECT uri AS gcs_uri, sha256(document) AS payload_sha256, strlen(document) AS bytes, TRUE AS intact FROM staged""",
     "payload_sha": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
 }

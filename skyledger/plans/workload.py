@@ -6,12 +6,13 @@ left out.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.jsontext import json_scalar
+from skyledger.functions.jsontext import json_scalar, member
 from skyledger.functions.labels import city_key
 from skyledger.functions.numeric import clamp, round2
 from skyledger.operators.climate import climate_monthly, month_calendar
@@ -20,6 +21,7 @@ from skyledger.operators.envelope import (
     dedup_staging,
     envelope_fields,
     record_count,
+    rejected,
     require_valid,
     response_error,
     staging_rows,
@@ -31,8 +33,8 @@ from skyledger.operators.joins import lookup_join
 from skyledger.operators.quality import accept, quarantine
 from skyledger.operators.risk import daily_risk, risk_base, risk_level_counts, temp_baseline
 from skyledger.plans import fixture
-from skyledger.session import keep
-from skyledger.sources.bronze import bronze_path
+from skyledger.session import keep, shared_dir
+from skyledger.sources.bronze import bronze_path, read_bronze, read_landing, write_bronze, write_landing
 from skyledger.sources.dimensions import CITIES, WEATHER_CODES, cities_dim, weathercode_dim
 from skyledger.sources.schemas import DAILY_VARIABLES
 
@@ -190,7 +192,8 @@ def q_typed_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_json_scalar(spark: SparkSession, sf: str) -> DataFrame:
     props = F.col("props")
-    nested = F.concat(F.lit('{"outer":'), props, F.lit(',"tags":["a"],"none":null}'))
+    draft = F.concat(F.lit(',"tags":["a"],"none":null,"draft":"['), F.col("event_id").cast("string"))
+    nested = F.concat(F.lit('{"outer":'), props, draft, F.lit('] x","brace":"{z}"}'))
     return fixture.table(spark, sf, "events").select(
         "event_id",
         json_scalar(props, "$.k").alias("k"),
@@ -198,6 +201,8 @@ def q_json_scalar(spark: SparkSession, sf: str) -> DataFrame:
         json_scalar(nested, "$.outer").alias("object_value"),
         json_scalar(nested, "$.tags").alias("array_value"),
         json_scalar(nested, "$.none").alias("null_value"),
+        json_scalar(nested, "$.draft").alias("draft"),
+        json_scalar(nested, "$.brace").alias("brace"),
     )
 
 
@@ -209,6 +214,50 @@ def q_envelope_validate(spark: SparkSession, sf: str) -> DataFrame:
     return envelope_fields(fixture.spoiled_envelopes(spark, sf)).select("doc_id", "error")
 
 
+def _loose(spark: SparkSession, sf: str) -> DataFrame:
+    files = fixture.loosely_written_envelopes(spark, sf).select(
+        "doc_id",
+        F.col("doc_id").cast("string").alias("path"),
+        F.col("doc_id").cast("string").alias("source_file_name"),
+        F.sha2(F.col("document").cast("binary"), 256).alias("payload_sha256"),
+        "document",
+    )
+    return envelope_fields(files)
+
+
+def q_envelope_strict(spark: SparkSession, sf: str) -> DataFrame:
+    """What a strict reader makes of documents that a lenient one takes for something else."""
+    city = F.when(F.col("error").isNull(), F.coalesce(member(F.col("meta"), "city_id"), F.lit("None")))
+    return _loose(spark, sf).select("doc_id", "error", city.alias("city_id"), "records")
+
+
+def q_envelope_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return rejected(_loose(spark, sf)).select("payload_sha256", "error")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """All envelopes landed as files and read back."""
+    root = _folder(spark, "landing")
+    write_landing(fixture.envelopes(spark, sf), root)
+    read = envelope_fields(read_landing(spark, root))
+    return read.select("payload_sha256", F.length("document").cast("bigint").alias("chars"), "error")
+
+
+def q_bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The bytes of all staged documents stored twice, as a rerun does, and read back by uri."""
+    root = _folder(spark, "bronze")
+    files = _staged(spark, sf).withColumn("content", F.col("payload").cast("binary"))
+    for _ in range(2):
+        write_bronze(files, root)
+    stored = read_bronze(spark, root)
+    intact = F.sha2("content", 256) == F.col("payload_sha256")
+    return stored.select("gcs_uri", "payload_sha256", F.octet_length("content").cast("bigint").alias("bytes"), intact.alias("intact"))
+
+
 def q_payload_validate(spark: SparkSession, sf: str) -> DataFrame:
     return fixture.spoiled_responses(spark, sf).select("doc_id", response_error(F.col("response")).alias("error"))
 
@@ -284,6 +333,10 @@ QUERIES: dict[str, Query] = {
     "json_scalar": q_json_scalar,
     "envelope_build": q_envelope_build,
     "envelope_validate": q_envelope_validate,
+    "envelope_strict": q_envelope_strict,
+    "envelope_rejects": q_envelope_rejects,
+    "landing_roundtrip": q_landing_roundtrip,
+    "bronze_roundtrip": q_bronze_roundtrip,
     "payload_validate": q_payload_validate,
     "record_count": q_record_count,
     "bronze_path": q_bronze_path,

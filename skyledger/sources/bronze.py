@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.casts import safe_double
-from skyledger.functions.jsontext import without_bom
+from skyledger.functions.jsontext import compact, without_bom
 from skyledger.sources.schemas import REQUIRED_CITY
 
 FILE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.json"}
@@ -18,9 +18,9 @@ def require_directory(spark: SparkSession, root: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(path):
-        raise FileNotFoundError(f"input root does not exist: {root}")
+        raise FileNotFoundError(f"no folder to read: {root}")
     if not system.getFileStatus(path).isDirectory():
-        raise NotADirectoryError(f"input root is not a directory: {root}")
+        raise NotADirectoryError(f"a folder is needed, this is a file: {root}")
 
 
 def file_columns(files: DataFrame) -> DataFrame:
@@ -37,10 +37,33 @@ def file_columns(files: DataFrame) -> DataFrame:
     )
 
 
+def landed_bytes(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` and ``content`` of every landed document, as ``read_landing`` names them."""
+    files = spark.read.format("binaryFile").options(**FILE_OPTIONS).load(root).select("path", "content")
+    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter="part-*.txt").text(root)
+    content = F.col("value").cast("binary")
+    path = F.concat_ws("#", "_metadata.file_path", F.sha2(content, 256))
+    return files.unionByName(lines.select(path.alias("path"), content.alias("content")))
+
+
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
-    """All ``*.json`` files below ``root``, one row and one document per file."""
+    """All documents below ``root``: whole ``*.json`` files, and lines of ``part-*.txt`` files.
+
+    The latter are what ``write_landing`` makes. A line's path is that of its file and its
+    checksum; blank lines hold no document.
+    """
     require_directory(spark, root)
-    return file_columns(spark.read.format("binaryFile").options(**FILE_OPTIONS).load(root))
+    files = file_columns(spark.read.format("binaryFile").options(**FILE_OPTIONS).load(root))
+    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter="part-*.txt").text(root)
+    sha = F.sha2(F.col("value").cast("binary"), 256)
+    return files.unionByName(
+        lines.filter(F.trim("value") != "").select(
+            F.concat_ws("#", "_metadata.file_path", sha).alias("path"),
+            F.concat(F.substring(sha, 1, 16), F.lit(".json")).alias("source_file_name"),
+            sha.alias("payload_sha256"),
+            without_bom(F.try_validate_utf8("value")).alias("document"),
+        )
+    )
 
 
 def load_cities(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +76,7 @@ def load_cities(spark: SparkSession, path: str) -> DataFrame:
         F.from_json(text, "cities array<string>").getField("cities").alias("cities")
     )
     if config.filter(F.size("cities") > 0).isEmpty():
-        raise ValueError(f"{path} must contain a cities list")
+        raise ValueError(f"{path} has no list of cities")
     records = config.select(F.posexplode("cities").alias("position", "record")).select(
         (F.col("position") + 1).alias("position"),
         F.from_json("record", "map<string, string>").alias("city"),
@@ -108,20 +131,35 @@ def write_partitioned(documents: DataFrame, root: str, columns: tuple[str, ...],
 
 
 def write_landing(envelopes: DataFrame, root: str, mode: str = "append") -> None:
-    """Envelopes under city, year, month and day of extraction."""
-    dated = envelopes.select("*", *_date_parts())
-    write_partitioned(dated, root, ("city_id", "extraction_year", "extraction_month", "extraction_day"), mode)
-
-
-def write_bronze(staged: DataFrame, root: str, mode: str = "append") -> None:
-    """Staged documents under source type, city, year, month and day of extraction."""
-    dated = staged.select("*", *_date_parts())
-    write_partitioned(
-        dated,
-        root,
-        ("source_type", "city_id", "extraction_year", "extraction_month", "extraction_day"),
-        mode,
+    """Usable envelopes as text under city, year, month and day of extraction, one a line.
+
+    JSON text has no line ends outside white space, so a document is compacted to fit its line.
+    """
+    lines = envelopes.filter("document IS NOT NULL").select(
+        compact(F.col("document")).alias("value"), "city_id", *_date_parts()
     )
+    folders = ("city_id", "extraction_year", "extraction_month", "extraction_day")
+    lines.hint("rebalance", *folders).write.mode(mode).partitionBy(*folders).text(root)
+
+
+def write_bronze(files: DataFrame, root: str) -> None:
+    """Landed bytes with their checksum under source type, city, year, month and day.
+
+    ``files`` has gcs_uri, payload_sha256, content, source_type, city_id and extraction_date. The
+    files of a folder hold many documents; ``read_bronze`` finds one by its uri, once.
+    """
+    dated = files.select("gcs_uri", "payload_sha256", "content", "source_type", "city_id", *_date_parts())
+    folders = ("source_type", "city_id", "extraction_year", "extraction_month", "extraction_day")
+    write_partitioned(dated, root, folders)
+
+
+def read_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """Stored documents, one per uri and checksum however often a rerun stored them."""
+    stored = spark.read.option("recursiveFileLookup", "true").schema(BRONZE_SCHEMA).parquet(root)
+    return stored.dropDuplicates(["gcs_uri", "payload_sha256"])
+
+
+BRONZE_SCHEMA = "gcs_uri string, payload_sha256 string, content binary"
 
 
 def _date_parts() -> list[Column]:

@@ -82,6 +82,26 @@ QUARANTINE_COLUMNS = {
 }
 
 
+LANDING_REJECT_COLUMNS = {
+    "path": "string",
+    "source_file_name": "string",
+    "payload_sha256": "string",
+    "error": "string",
+    "rejected_at_utc": "timestamp",
+}
+
+DUPLICATE_COLUMNS = {
+    "city_id": "string",
+    "source_type": "string",
+    "extraction_date": "date",
+    "gcs_uri": "string",
+    "payload_sha256": "string",
+    "kept_uri": "string",
+    "kept_sha256": "string",
+    "logged_at_utc": "timestamp",
+}
+
+
 def ddl(columns: dict[str, str]) -> str:
     """Column list for CREATE TABLE or an explicit read schema."""
     return ", ".join(f"{name} {kind}" for name, kind in columns.items())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -36,21 +37,53 @@ def append(rows: DataFrame, name: str, rebalance_by: tuple[str, ...] | None = No
     rows.select(*columns).write.insertInto(name)
 
 
-def replace(rows: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> None:
-    """Create or replace a table. The old one stays readable until the new one is complete.
-
-    An overwrite in place would delete the old files first and lose them if the job then failed.
-    ``sort_by`` orders rows within each file, so that readers can skip row groups. The table has
-    no partition folders: a rename would leave their registered locations behind.
+def replace(
+    rows: DataFrame, name: str, sort_by: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()
+) -> None:
+    """Create or replace a table in one step, whatever happens on the way.
+
+    ``name`` is a view of the newest version. A build goes to a version of its own, which nobody
+    reads; then the view is switched, which the catalog does in one step; then versions older than
+    the one before are dropped, as a running reader may still need that one. A crash before the
+    switch leaves the old rows, one after it the new rows; what it left lying is dropped by the
+    next run that comes through. ``sort_by`` orders rows within each file, so that readers can
+    skip row groups; ``partition_by`` names folders.
     """
     spark = rows.sparkSession
-    successor = f"{name}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {successor}")
+    version = f"{name}__v{time.time_ns()}"
     if sort_by:
-        rows = rows.sortWithinPartitions(*sort_by)
-    rows.write.format("parquet").saveAsTable(successor)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {successor} RENAME TO {name}")
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+    writer = rows.write.format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(version)
+    previous = current_version(spark, name)
+    _adopt(spark, name)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    keep = {version, previous}
+    for old in versions(spark, name):
+        if old not in keep:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """Versions of a replaced table that exist, oldest first."""
+    database, _, table = name.rpartition(".")
+    found = [t.name for t in spark.catalog.listTables(database or None)]
+    numbers = sorted(int(t.removeprefix(f"{table.lower()}__v")) for t in found if t.startswith(f"{table.lower()}__v"))
+    return [f"{name}__v{n}" for n in numbers]
+
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The version that the view shows; None if there is no view yet."""
+    if not spark.catalog.tableExists(name):
+        return None
+    shown = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name == "View Text"]
+    return shown[0].split(" FROM ")[-1].strip() if shown else None
+
+
+def _adopt(spark: SparkSession, name: str) -> None:
+    """A plain table of this name, as earlier releases made them, becomes the oldest version."""
+    if spark.catalog.tableExists(name) and current_version(spark, name) is None:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v0")
 
 
 @contextmanager

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators.daily import parse_daily, typed_daily
-from skyledger.operators.envelope import dedup_staging, envelope_fields, require_valid, staging_rows
-from skyledger.plans.medallion import Layers, create_silver, insert_parsed
+from skyledger.operators.envelope import dedup_staging, envelope_fields, rejected, staging_rows, valid
+from skyledger.operators.incremental import within
+from skyledger.plans.medallion import Layers, create_silver, insert_parsed, log_new
 from skyledger.sources.bronze import FILE_OPTIONS, FILE_SCHEMA, file_columns, require_directory
 from skyledger.sources.tables import append, written_once
 
@@ -35,20 +36,22 @@ def landing_stream(
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**FILE_OPTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = staging_rows(require_valid(envelope_fields(file_columns(reader.load(root)))), store_uri)
+    checked = envelope_fields(file_columns(reader.load(root)))
 
     def insert(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        with (
-            written_once(batch) as documents,
-            written_once(dedup_staging(documents, session.table(layers.raw))) as new,
-        ):
-            # Staging comes last: it is what makes a replay skip a document.
-            insert_parsed(typed_daily(parse_daily(new)), layers, log_once=True)
-            append(new, layers.raw)
+        with written_once(batch) as files:
+            # A bad file is logged, and those behind it go on.
+            log_new(rejected(files), layers.landing_rejects, ("path", "payload_sha256"))
+            documents = staging_rows(valid(files), store_uri)
+            staged = within(session.table(layers.raw), documents, "extraction_date", "extraction_date")
+            with written_once(dedup_staging(documents, staged)) as new:
+                # Staging comes last: it is what makes a replay skip a document.
+                insert_parsed(typed_daily(parse_daily(new)), layers, log_once=True)
+                append(new, layers.raw, rebalance_by=("extraction_date",))
 
     return (
-        rows.writeStream.foreachBatch(insert)
+        checked.writeStream.foreachBatch(insert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -11,16 +11,19 @@ from pyspark.sql import functions as F
 from skyledger.operators.envelope import (
     build_envelopes,
     dedup_staging,
+    dropped_documents,
     envelope_fields,
     record_count,
     require_valid,
     response_error,
     staging_rows,
 )
+from skyledger.functions.casts import safe_timestamp
 from skyledger.sources.bronze import (
     bronze_path,
     landing_path,
     load_cities,
+    read_bronze,
     read_landing,
     require_directory,
     write_bronze,
@@ -115,14 +118,14 @@ def test_envelope_errors(spark):
         "document is not an object",
         "document is not an object",
         "document is not an object",
-        "missing object field meta",
-        "missing object field meta",
-        "missing object field data",
-        "missing object field data",
+        "no object under meta",
+        "no object under meta",
+        "no object under data",
+        "no object under data",
     ]
     assert errors(spark, without(good, "city_id"), without(without(good, "source_type"), "city_name")) == [
-        "missing meta fields: city_id",
-        "missing meta fields: city_name, source_type",
+        "absent from meta: city_id",
+        "absent from meta: city_name, source_type",
     ]
     assert errors(
         spark, envelope(record_count="many"), envelope(extraction_date="2024-02-30"), envelope(extraction_timestamp_utc="x")
@@ -169,6 +172,9 @@ def test_envelope_carries_the_response_as_it_came(spark):
         "source_url string, extraction_date date, extraction_timestamp_utc string, response string",
     )
     built = build_envelopes(responses, project="p", source_system="s", timezone="z").first().document
+    unusable = responses.unionByName(responses).withColumn("response", F.when(F.rand() < 2, "not json"))
+    for row in build_envelopes(unusable, project="p", source_system="s", timezone="z").collect():
+        assert (row.document, row.response_error) == (None, "response is not an object")
     assert built.endswith(f',"data":{response}}}')
     meta = json.loads(built)["meta"]
     assert list(meta) == [
@@ -196,8 +202,7 @@ def test_paths(spark):
 STAGED = "city_id string, source_type string, extraction_date date, gcs_uri string, payload_sha256 string, payload string"
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_dedup_keeps_the_first_path_and_skips_known_ids(spark, broadcast_rows):
+def test_dedup_keeps_the_first_path_and_skips_known_ids(spark):
     first, second = dt.date(2024, 5, 1), dt.date(2024, 5, 2)
     batch = spark.createDataFrame(
         [
@@ -210,20 +215,59 @@ def test_dedup_keeps_the_first_path_and_skips_known_ids(spark, broadcast_rows):
         STAGED,
     )
     existing = batch.filter("gcs_uri = 'u4'")
-    kept = dedup_staging(batch, existing, broadcast_rows=broadcast_rows).collect()
+    kept = dedup_staging(batch, existing).collect()
     assert sorted(r.payload for r in kept) == ["p1", "p3"]
-    assert dedup_staging(batch, broadcast_rows=broadcast_rows).count() == 3
-    assert dedup_staging(batch, batch, broadcast_rows=broadcast_rows).isEmpty()
+    assert dedup_staging(batch).count() == 3
+    assert dedup_staging(batch, batch).isEmpty()
+    dropped = [(r.gcs_uri, r.kept_uri) for r in dropped_documents(batch).collect()]
+    assert dropped == [("u2", "u1")]
+
+
+def test_documents_are_read_whole_and_strictly(spark):
+    text = json.dumps(envelope())
+    assert errors(
+        spark, text + " oops", text + text, text.replace('"meta"', "'meta'"), text + "]", text + "}", text + ', {"x": 1}',
+        "[" + text + "]", f" \n{text}\t", '{"meta": {}, "data": {}} , "e": {"a": 1}',
+    ) == [*["document is not an object"] * 7, None, "document is not an object"]
+    # The last of a repeated key counts; 12.0 is a number of rows, "12.0" is not.
+    twice = text.replace('"meta": {', '"meta": {"record_count": "x", ')
+    assert errors(spark, twice, envelope(record_count=12.0), envelope(record_count="12.0"), envelope(record_count=True)) == [
+        None, None, "record_count is not an integer", "record_count is not an integer",
+    ]
+    assert errors(spark, envelope(extraction_timestamp_utc="2024-05")) == ["extraction_timestamp_utc is not a timestamp"]
+
+
+def test_a_dry_run_cannot_lose_its_check(spark, tmp_path):
+    land(tmp_path, "good.json", envelope())
+    land(tmp_path, "broken.json", "[]")
+    rows = staging_rows(require_valid(envelope_fields(read_landing(spark, str(tmp_path)))), "s")
+    for action in (rows.count, rows.select("source_file_name").collect):
+        with pytest.raises(PySparkException, match="broken.json"):
+            action()
+
+
+def test_stamps_without_offset_are_utc(spark):
+    texts = ["2024-05-01T06:00:00", "2024-05-01 06:00", "2024-05-01T06:00:00Z", "2024-05-01T02:00:00-04:00", "2024-05-01", "2024-05"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/La_Paz")
+    try:
+        got = evaluate(spark, texts, "string", lambda x: F.unix_timestamp(safe_timestamp(x)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    six = 1714543200
+    assert got == [six, six, six, six, six - 6 * 3600, None]
 
 
 def test_layouts_are_foldered(spark, tmp_path):
     staged = spark.createDataFrame([("a", "h", dt.date(2024, 5, 1), "u", "s", "p")], STAGED)
-    write_bronze(staged, str(tmp_path / "bronze"))
+    write_bronze(staged.withColumn("content", F.encode("payload", "utf-8")), str(tmp_path / "bronze"))
     assert (tmp_path / "bronze/source_type=h/city_id=a/extraction_year=2024/extraction_month=05/extraction_day=01").is_dir()
-    write_landing(staged, str(tmp_path / "landing"))
-    back = spark.read.parquet(str(tmp_path / "landing"))
+    assert [bytes(r.content) for r in read_bronze(spark, str(tmp_path / "bronze")).collect()] == [b"p"]
+    text = json.dumps(envelope(), indent=1)
+    write_landing(staged.withColumn("document", F.lit(text)), str(tmp_path / "landing"))
     assert (tmp_path / "landing/city_id=a/extraction_year=2024/extraction_month=05/extraction_day=01").is_dir()
-    assert back.first().payload == "p"
+    back = envelope_fields(read_landing(spark, str(tmp_path / "landing"))).first()
+    assert json.loads(back.document) == envelope() and back.error is None
 
 
 def config(tmp_path, cities) -> str:
@@ -243,8 +287,8 @@ def test_city_config(spark, tmp_path):
 @pytest.mark.parametrize(
     ("cities", "message"),
     [
-        ([], "must contain a cities list"),
-        ("x", "must contain a cities list"),
+        ([], "has no list of cities"),
+        ("x", "has no list of cities"),
         ([{"id": "a", "name": "A", "lat": 1, "lon": 2}, 5], "#2 must be a JSON object"),
         ([{"id": "a", "lat": 1}], "#1 is missing fields: lon, name"),
         ([{"id": "a", "name": "A", "lat": "north", "lon": 2}], "#1 has invalid lat/lon"),

@@ -85,8 +85,14 @@ def test_json_scalar_takes_scalars_only(spark):
 
 
 def test_scalar_array_is_null_if_it_holds_an_object(spark):
-    arrays = [["1", None, "x"], ["1", '{"a":1}'], ["[1]"], [], None]
-    assert evaluate(spark, arrays, "array<string>", scalar_array) == [["1", None, "x"], None, None, [], None]
+    texts = ['["1", null, "x"]', '["1", {"a": 1}]', '[[1], "2"]', "[]", '"x"', '["[draft] x", "{z}"]']
+    documents = [f'{{"k": {t}}}' for t in texts]
+    read = lambda x: scalar_array(F.from_json(x, "k array<string>")["k"], x, "$.k")
+    assert evaluate(spark, documents, "string", read) == [["1", None, "x"], None, None, [], None, ["[draft] x", "{z}"]]
+    single = ['{"k": "[draft] x"}', '{"k": ["a"]}', '{"k": "{z}"}', '{"k": {"a": 1}}', '{"k": 5}']
+    got = evaluate(spark, single, "string", lambda x: json_scalar(x, "$.k"))
+    assert got == ["[draft] x", None, "{z}", None, "5"]
+
 
 
 def test_compact_keeps_strings_and_key_order(spark):

@@ -40,6 +40,7 @@ def test_large_lookup_is_not_hinted(spark, rows, lookup):
     assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
 
 
-def test_too_many_hot_keys_is_an_error_not_a_cap(rows, lookup):
-    with pytest.raises(ValueError, match="raise hot_rows"):
-        lookup_join(rows, lookup, ["k"], broadcast_rows=5, hot_rows=1)
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_too_many_hot_keys_fall_back_to_the_plain_join(rows, lookup, how):
+    got = lookup_join(rows, lookup, ["k"], how, broadcast_rows=5, hot_rows=1)
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(lookup, ["k"], how).collect()))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 
@@ -7,9 +8,11 @@ import pytest
 from pyspark.errors import PySparkException
 
 from skyledger.plans.medallion import Layers, create_silver, refresh_gold, refresh_silver, run_all, stage_landing
-from skyledger.sources.tables import append, replace, written_once
+from skyledger.operators.incremental import unseen, within
+from skyledger.sources.bronze import read_bronze
+from skyledger.sources.tables import append, replace, versions, written_once
 from skyledger.streaming.landing import landing_stream
-from support import RUN_AT
+from support import RUN_AT, plan_of
 from test_bronze import envelope, land
 
 
@@ -86,13 +89,49 @@ def test_invalid_file_fails_before_any_write(spark, layers, tmp_path):
     land(tmp_path, "good.json", payload("La Paz", ["2024-01-01"]))
     land(tmp_path, "bad.json", json.dumps({"meta": {}}))
     with pytest.raises(PySparkException, match="bad.json"):
-        stage_landing(spark, str(tmp_path), "s", layers)
+        stage_landing(spark, str(tmp_path), "s", layers, strict=True)
     create_silver(spark, layers)
     assert spark.table(layers.raw).isEmpty()
 
 
+def test_invalid_files_are_logged_once_and_the_others_staged(spark, layers, tmp_path):
+    land(tmp_path, "good.json", payload("La Paz", ["2024-01-01"]))
+    land(tmp_path, "bad.json", json.dumps({"meta": {}}))
+    for _ in range(2):
+        stage_landing(spark, str(tmp_path), "s", layers)
+    assert spark.table(layers.raw).count() == 1
+    assert [(r.source_file_name, r.error) for r in spark.table(layers.landing_rejects).collect()] == [
+        ("bad.json", "no object under data")
+    ]
+
+
+def test_dropped_documents_are_logged_and_stored(spark, layers, tmp_path):
+    land(tmp_path / "in", "a.json", payload("La Paz", ["2024-01-01"]))
+    land(tmp_path / "in", "b.json", payload("La Paz", ["2024-01-02"]))
+    for _ in range(2):
+        stage_landing(spark, str(tmp_path / "in"), "s", layers, bronze_root=str(tmp_path / "bronze"))
+    assert spark.table(layers.raw).count() == 1
+    (row,) = spark.table(layers.duplicates).collect()
+    assert row.gcs_uri.endswith("b.json") and row.kept_uri.endswith("a.json") and row.kept_sha256 != row.payload_sha256
+    stored = read_bronze(spark, str(tmp_path / "bronze")).collect()
+    assert sorted(r.gcs_uri.rsplit("/", 1)[-1] for r in stored) == ["a.json", "b.json"]
+    assert all(hashlib.sha256(r.content).hexdigest() == r.payload_sha256 for r in stored)
+
+
+def test_only_folders_of_the_batch_are_read(spark, layers):
+    create_silver(spark, layers)
+    days = spark.range(4).selectExpr("'a' AS city_id", "make_date(2020 + id, 1, 1) AS date", "2020 + id AS year")
+    table = spark.table(layers.clean)
+    append(days.selectExpr(*[c if c in days.columns else f"CAST(NULL AS {t}) AS {c}" for c, t in table.dtypes]), layers.clean)
+    batch = days.filter("year = 2022")
+    target = within(spark.table(layers.clean), batch, "year", "date")
+    plan = plan_of(unseen(batch, target, ("city_id", "date")))
+    assert "2022" in plan[plan.index("PartitionFilters") :].split("\n")[0]
+    assert len(target.inputFiles()) == 1 and unseen(days, target, ("city_id", "date")).count() == 3
+
+
 def test_empty_input_and_dry_run(spark, layers, tmp_path):
-    with pytest.raises(FileNotFoundError, match="no JSON files"):
+    with pytest.raises(FileNotFoundError, match="nothing landed"):
         stage_landing(spark, str(tmp_path), "s", layers)
     assert stage_landing(spark, str(tmp_path), "s", layers, allow_empty=True).isEmpty()
     land(tmp_path, "a.json", payload("La Paz", ["2024-01-01"]))
@@ -103,7 +142,7 @@ def test_empty_input_and_dry_run(spark, layers, tmp_path):
 def test_bronze_copy(spark, layers, tmp_path):
     land(tmp_path / "in", "a.json", payload("La Paz", ["2024-01-01"]))
     stage_landing(spark, str(tmp_path / "in"), "s", layers, bronze_root=str(tmp_path / "bronze"))
-    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 1
+    assert read_bronze(spark, str(tmp_path / "bronze")).count() == 1
 
 
 def test_failed_replace_keeps_the_old_table(spark, layers):
@@ -116,6 +155,34 @@ def test_failed_replace_keeps_the_old_table(spark, layers):
     assert spark.table(f"{layers.gold}.t").count() == 4
 
 
+@pytest.mark.parametrize("step", ["CREATE OR REPLACE VIEW", "DROP TABLE", "ALTER TABLE"])
+def test_a_crash_at_any_step_loses_nothing(spark, layers, monkeypatch, step):
+    spark.sql(f"CREATE DATABASE {layers.gold}")
+    name = f"{layers.gold}.t"
+    spark.range(3).write.saveAsTable(name)  # a plain table, as earlier releases made it
+    if step != "ALTER TABLE":
+        replace(spark.range(4), name)
+        replace(spark.range(4), name)
+    run = type(spark).sql
+
+    def crash(session, query, *args, **kwargs):
+        if query.startswith(step):
+            raise KeyboardInterrupt
+        return run(session, query, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", crash)
+        with pytest.raises(KeyboardInterrupt):
+            replace(spark.range(5), name)
+    left = {"CREATE OR REPLACE VIEW": 4, "DROP TABLE": 5, "ALTER TABLE": 3}[step]
+    assert spark.table(name).count() == left
+    with pytest.raises(PySparkException):
+        replace(spark.range(5).selectExpr("raise_error('stop') AS id"), name)
+    assert spark.table(name).count() == left
+    replace(spark.range(6), name)
+    assert spark.table(name).count() == 6 and len(versions(spark, name)) <= 3
+
+
 def test_written_once_reads_one_snapshot_and_cleans_up(spark):
     with written_once(spark.range(5).selectExpr("id", "rand() AS r")) as rows:
         assert rows.exceptAll(rows).isEmpty() and rows.count() == 5
@@ -145,6 +212,11 @@ def test_stream_reads_new_files_once(spark, layers, tmp_path):
     query = landing_stream(spark, str(root), "s", checkpoint, layers)
     query.awaitTermination()
     assert counts(spark, layers) == {"raw": 3, "clean": 3, "rejects": 1}
+    # A bad file is logged, and the stream goes on.
+    land(root, "bad.json", "[]")
+    landing_stream(spark, str(root), "s", checkpoint, layers).awaitTermination()
+    spark.catalog.refreshTable(layers.landing_rejects)
+    assert spark.table(layers.landing_rejects).count() == 1
     # A fresh checkpoint replays every file; the targets do not change.
     landing_stream(spark, str(root), "s", str(tmp_path / "again"), layers).awaitTermination()
     assert counts(spark, layers) == {"raw": 3, "clean": 3, "rejects": 1}

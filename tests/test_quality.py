@@ -86,7 +86,11 @@ def test_insert_is_the_same_by_shuffle(spark):
     batch = days(spark, [day(city_id=f"c{i % 7}", date=dt.date(2024, 1, 1 + i % 20)) for i in range(300)])
     existing = batch.filter(F.col("city_id") < "c3")
     plain = sorted(map(str, incremental_insert(batch, existing).collect()))
-    split = sorted(map(str, incremental_insert(batch, existing, broadcast_rows=100, hot_rows=2).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = sorted(map(str, incremental_insert(batch, existing).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plain == split and len(plain) > 0
 
 
