@@ -137,9 +137,13 @@ def _first_level(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _in_two_documents(rows: DataFrame, *keys: str) -> DataFrame:
-    """Keys seen in two documents, with the smaller id of them."""
+    """Keys seen in two documents, with the smaller id of them.
+
+    A table of its own: Spark splits a hot key of the rows that join it only where the other side
+    is no aggregate of the same stage.
+    """
     ends = rows.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    return ends.filter("least < most").select(*keys, "least")
+    return written(ends.filter("least < most").select(*keys, "least"), "twice")
 
 
 def _second_level(anchored: DataFrame) -> DataFrame:
@@ -151,7 +155,7 @@ def _second_level(anchored: DataFrame) -> DataFrame:
     repeated = written(each.join(repeated, "h1").drop("at"), "repeated")
     sides: Column = F.explode(F.array_distinct(F.array("right", "left")))
     wide = repeated.select("doc_id", sides.alias("h2")).filter("h2 IS NOT NULL")
-    wide = written(_in_two_documents(wide, "h2").select("h2"), "wide")
+    wide = _in_two_documents(wide, "h2").select("h2")
     right = repeated.join(wide, F.col("right") == F.col("h2"), "left_semi")
     rest = repeated.join(wide, F.col("right") == F.col("h2"), "left_anti")
     left = rest.join(wide, F.col("left") == F.col("h2"), "left_semi")
@@ -229,7 +233,7 @@ def dedup_substrings(
     differ = stretches.groupBy("h1").agg(
         F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d")
     )
-    differ = differ.filter("a < b OR c < d").select("h1")
+    differ = written(differ.filter("a < b OR c < d").select("h1"), "differ")
     place = F.struct("first", "n")
     whole = stretches.filter(later).select(*keys, place.alias("gone"), F.lit(None).alias("open"))
     single = stretches.filter(~later).join(differ, "h1", "left_semi")
