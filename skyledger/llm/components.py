@@ -11,11 +11,11 @@ from skyledger.llm.common import written
 def _nearest(edges: DataFrame) -> DataFrame:
     """``u, v, m``: each directed edge with the smallest node in the closed neighbourhood of u.
 
-    The minimum is an aggregate that combines map-side, and the join back can be split by AQE, so
-    that a star with very many leaves is no single task.
+    The minimum is an aggregate that combines map-side. It is written, as Spark splits the edges
+    of a node with very many only where they join a table and no aggregate of the same stage.
     """
     least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return edges.join(least, "u")
+    return edges.join(written(least, "nearest"), "u")
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
