@@ -156,21 +156,20 @@ def contamination(
     window: int = WINDOW,
     automaton_chars: int = AUTOMATON_CHARS,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, text, n_words, hit, items, n_hit, row``.
+    """One row per row of ``docs``: ``doc_id, text, n_words, hit, items, clean, n_hit, row``.
 
     A window is ``window`` consecutive words of an item, or a shorter item as a whole; a word
     inside any occurrence of one is hit. ``hit`` lists the places of the hit words, ``items`` the
-    ids of items with occurring windows, sorted as strings; ``row`` is the input row as a struct.
-    A null text has no words; items without id, text or words are left out; items that repeat an
+    ids of items with occurring windows, sorted as strings; ``clean`` is the text without its hit
+    spans, null where nothing is hit; ``row`` is the input row as a struct. A null text has no words; items without id, text or words are left out; items that repeat an
     id count once. Documents may repeat or have no id. The test items are broadcast in automata
     of a fixed size, with one pass over the documents for each.
     """
     state = docs.select(
-        quoted(id_col).cast("long").alias("doc_id"),
-        quoted(text_col).cast("string").alias("text"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<int>").alias("hit"),
         F.array().cast("array<long>").alias("items"),
+        F.lit(None).cast("string").alias("clean"),
         F.struct(*(quoted(c) for c in docs.columns)).alias("row"),
     )
     for group, shared in enumerate(_automata(narrow(benchmark, item_col, item_text_col), window, automaton_chars)):
@@ -178,24 +177,34 @@ def contamination(
             state = written(state, "contamination")
 
         def work(batch: pa.RecordBatch, shared: Broadcast = shared) -> pa.RecordBatch:
-            automaton, counts, hits, items = shared.value, [], [], []
+            automaton, counts, hits, items, clean = shared.value, [], [], [], []
             before = zip(batch["hit"].to_pylist(), batch["items"].to_pylist(), strict=True)
-            for text, (old_hit, old_items) in zip(utf8(batch["text"]), before, strict=True):
+            texts = utf8(batch["row"].field(text_col))  # the row alone holds it, once
+            for text, (old_hit, old_items) in zip(texts, before, strict=True):
                 words = words_of(text) if text else []
                 hit, found = automaton.scan(words)
                 counts.append(len(words))
                 hits.append(sorted({*old_hit, *np.flatnonzero(hit).tolist()}) if found else old_hit)
                 items.append(sorted({*old_items, *found}, key=str))
+                clean.append(_without(text, hits[-1]) if hits[-1] else None)
             fresh = {
                 "n_words": pa.array(counts, pa.int64()),
                 "hit": pa.array(hits, pa.list_(pa.int32())),
                 "items": pa.array(items, pa.list_(pa.int64())),
+                "clean": pa.array(clean, pa.binary()).cast(pa.string()),
             }
             columns = {c: fresh.get(c, batch[c]) for c in batch.schema.names}
             return pa.RecordBatch.from_pydict(columns)
 
         state = map_slices(state, work, state.schema)
-    return state.withColumn("n_hit", F.size("hit").cast("long"))
+    row = F.col("row")
+    return state.select(
+        row[id_col].cast("long").alias("doc_id"),
+        row[text_col].alias("text"),
+        *("n_words", "hit", "items", "clean"),
+        F.size("hit").cast("long").alias("n_hit"),
+        "row",
+    )
 
 
 def is_contaminated() -> Column:
@@ -209,16 +218,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     Columns and their order are those of ``docs``; ``n_chars``, if there, follows a text that was
     cut. Texts without a hit are returned as they are, null texts included.
     """
-
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pairs = zip(utf8(batch["text"]), batch["hit"].to_pylist(), strict=True)
-        texts = [_without(t, h) if h else t for t, h in pairs]
-        clean = pa.array(texts, pa.binary()).cast(pa.string())
-        names = batch.schema.names
-        return pa.RecordBatch.from_arrays(
-            [clean if c == "text" else batch[c] for c in names], names=names
-        )
-
     state = contamination(docs, benchmark, window=window).filter(~is_contaminated())
-    state = map_slices(state.select("text", "hit", "row"), cut, state.select("text", "hit", "row").schema)
-    return with_text(state, docs.columns, F.col("text"), F.size("hit") > 0)
+    return with_text(state, docs.columns, F.col("clean"), F.col("n_hit") > 0)
