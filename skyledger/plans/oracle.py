@@ -7,7 +7,6 @@ events from a threshold table, documents with list aggregates.
 from __future__ import annotations
 
 from skyledger.plans.fixture import OBS_SQL
-from skyledger.sources.dimensions import CITIES, WEATHER_CODES
 from skyledger.sources.schemas import DAILY_VARIABLES, DOUBLE_VARIABLES
 
 _OBS = OBS_SQL.replace("{orders}", "orders")
@@ -32,12 +31,24 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(literal(item) for item in row) + ")" for row in rows)
 
 
-_CITIES = (
-    "SELECT * FROM (VALUES "
-    + _values([tuple(city) for city in CITIES])
-    + ") v(city_id, city_name, latitude, longitude, elevation_m, department, region)"
-)
-_CODES = f"SELECT * FROM (VALUES {_values(list(WEATHER_CODES))}) v(weathercode, weather_description)"
+# The city dimension, stated here once more so that a wrong literal shows.
+_CITIES = """
+SELECT * FROM (VALUES
+  ('santa_cruz', 'Santa Cruz de la Sierra', CAST(-17.7833 AS DOUBLE), CAST(-63.1833 AS DOUBLE), 416, 'Santa Cruz', 'Lowlands'),
+  ('la_paz', 'La Paz', -16.5, -68.15, 3640, 'La Paz', 'Altiplano'),
+  ('cochabamba', 'Cochabamba', -17.3895, -66.1568, 2558, 'Cochabamba', 'Valleys'),
+  ('sucre', 'Sucre', -19.0431, -65.2591, 2810, 'Chuquisaca', 'Valleys'),
+  ('oruro', 'Oruro', -17.9833, -67.15, 3706, 'Oruro', 'Altiplano'),
+  ('tarija', 'Tarija', -21.5353, -64.7298, 1866, 'Tarija', 'Valleys')
+) v(city_id, city_name, latitude, longitude, elevation_m, department, region)"""
+# Weather code descriptions.
+_CODES = """
+SELECT * FROM (VALUES (0, 'Clear sky'), (1, 'Mainly clear'), (2, 'Partly cloudy'), (3, 'Overcast'), (45, 'Fog'),
+  (48, 'Depositing rime fog'), (51, 'Light drizzle'), (53, 'Moderate drizzle'), (55, 'Dense drizzle'),
+  (61, 'Slight rain'), (63, 'Moderate rain'), (65, 'Heavy rain'), (71, 'Slight snow fall'),
+  (73, 'Moderate snow fall'), (75, 'Heavy snow fall'), (80, 'Slight rain showers'), (81, 'Moderate rain showers'),
+  (82, 'Violent rain showers'), (95, 'Thunderstorm'), (96, 'Thunderstorm with slight hail'),
+  (99, 'Thunderstorm with heavy hail')) v(weathercode, weather_description)"""
 _SEASON = (
     "CASE WHEN date IS NULL THEN 'Unknown' "
     "ELSE list_extract(['Summer', 'Autumn', 'Winter', 'Spring'], (month(date) % 12) // 3 + 1) END"
@@ -335,11 +346,11 @@ GROUP BY ALL""",
     "event_storm": _event_query("STORM"),
     "cities_dim": f"{_TYPED} SELECT c.*, count(*) AS days FROM clean w JOIN cities c USING (city_id) GROUP BY ALL",
     "weathercode_dim": f"""{_TYPED}, codes AS ({_CODES})
-SELECT t.weathercode, weather_description, count(*) AS days
-FROM typed t LEFT JOIN codes ON codes.weathercode = t.weathercode GROUP BY ALL""",
+SELECT coalesce(t.weathercode, codes.weathercode) AS weathercode, weather_description, count(t.obs_id) AS days
+FROM typed t FULL JOIN codes ON codes.weathercode = t.weathercode GROUP BY ALL""",
     "city_key": f"{_TYPED} SELECT obs_id, city_name, city_id FROM typed",
     "typed_daily": f"""{_TYPED}
-SELECT city_id, {_DAY}, year, month, season, {_r2("temperature_2m_max")} AS temperature_2m_max,
+SELECT city_id, {_DAY}, year, month, season, weathercode, {_PRINTED},
   strftime(DATE '2024-01-01' + CAST(chunk % 7 AS INTEGER), '%Y-%m-%d') || ' 06:00:00' AS extracted_at FROM typed""",
     "parse_daily": f"""{_TYPED}
 SELECT city_id, city_name, {_DAY}, weathercode, {_PRINTED}, '$.data.daily' AS payload_source FROM typed""",
@@ -369,7 +380,7 @@ SELECT doc_id, 'raw/weather/' || source_type || '/' || staged_city || '/' || rep
     "raw_stage": f"""{_DOCS}
 SELECT source_type, staged_city AS city_id, coalesce(city_name, 'None') AS city_name, extraction_date,
   extraction_date || ' 06:00:00' AS extracted_at, days AS record_count, uri AS gcs_uri, file_name AS source_file_name,
-  sha256(document) AS payload_sha256, length(document) AS payload_chars FROM staged""",
+  sha256(document) AS payload_sha256, sha256(document) AS staged_sha256 FROM staged""",
     "raw_dedup": f"""{_DOCS}
 SELECT staged_city AS city_id, source_type, extraction_date, min(uri) AS gcs_uri, arg_min(days, uri) AS record_count
 FROM staged WHERE extraction_date <> '2024-01-02' GROUP BY staged_city, source_type, extraction_date""",

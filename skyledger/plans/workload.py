@@ -34,8 +34,8 @@ from skyledger.operators.quality import accept, quarantine
 from skyledger.operators.risk import daily_risk, risk_base, risk_level_counts, temp_baseline
 from skyledger.plans import fixture
 from skyledger.session import keep, shared_dir
-from skyledger.sources.bronze import bronze_path, read_bronze, read_landing, write_bronze, write_landing
-from skyledger.sources.dimensions import CITIES, WEATHER_CODES, cities_dim, weathercode_dim
+from skyledger.sources.bronze import bronze_path, file_columns, read_bronze, read_landing, write_bronze, write_landing
+from skyledger.sources.dimensions import CITIES, cities_dim, weathercode_dim
 from skyledger.sources.schemas import DAILY_VARIABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,10 +163,10 @@ def q_cities_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_weathercode_dim(spark: SparkSession, sf: str) -> DataFrame:
-    """Observations by weather code and description; codes without one are kept."""
-    rows = fixture.observations(spark, sf).select("weathercode")
-    joined = lookup_join(rows, weathercode_dim(spark), ["weathercode"], "left", lookup_rows=len(WEATHER_CODES))
-    return joined.groupBy("weathercode", "weather_description").agg(F.count("*").alias("days"))
+    """Observations by weather code: codes without a description and codes never seen are kept."""
+    days = fixture.observations(spark, sf).groupBy("weathercode").agg(F.count("*").alias("days"))
+    joined = days.join(weathercode_dim(spark), "weathercode", "full")
+    return joined.select("weathercode", "weather_description", F.coalesce("days", F.lit(0)).cast("bigint").alias("days"))
 
 
 def q_city_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,7 +187,7 @@ def q_parse_daily(spark: SparkSession, sf: str) -> DataFrame:
 def q_typed_daily(spark: SparkSession, sf: str) -> DataFrame:
     typed = typed_daily(parse_daily(_staged(spark, sf)))
     stamp = _iso_utc("extraction_timestamp_utc").alias("extracted_at")
-    return typed.select("city_id", _iso("date"), "year", "month", "season", "temperature_2m_max", stamp)
+    return typed.select("city_id", _iso("date"), "year", "month", "season", *DAILY_VARIABLES, stamp)
 
 
 def q_json_scalar(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,7 +285,7 @@ def q_raw_stage(spark: SparkSession, sf: str) -> DataFrame:
         "gcs_uri",
         "source_file_name",
         "payload_sha256",
-        F.length("payload").cast("bigint").alias("payload_chars"),
+        F.sha2("payload", 256).alias("staged_sha256"),
     )
 
 
@@ -301,8 +301,12 @@ def q_raw_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_payload_sha(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.col("text").cast("binary")
-    return fixture.table(spark, sf, "documents").select("doc_id", F.sha2(text, 256).alias("sha256"))
+    """Checksums of texts as a scan of files gives them, byte for byte."""
+    files = fixture.table(spark, sf, "documents").select(
+        F.concat_ws("/", F.lit("in"), F.col("doc_id").cast("string")).alias("path"), F.encode("text", "utf-8").alias("content")
+    )
+    scanned = file_columns(files)
+    return scanned.select(F.col("source_file_name").cast("bigint").alias("doc_id"), F.col("payload_sha256").alias("sha256"))
 
 
 QUERIES: dict[str, Query] = {
