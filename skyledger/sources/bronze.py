@@ -11,6 +11,8 @@ from skyledger.sources.schemas import REQUIRED_CITY
 
 FILE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.json"}
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+LINE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "part-*.txt"}
+LINE_SCHEMA = "value string"
 
 
 def require_directory(spark: SparkSession, root: str) -> None:
@@ -37,10 +39,24 @@ def file_columns(files: DataFrame) -> DataFrame:
     )
 
 
+def line_columns(lines: DataFrame) -> DataFrame:
+    """The same columns of each line of a text scan that is not blank.
+
+    A line's path is that of its file and its checksum.
+    """
+    sha = F.sha2(F.col("value").cast("binary"), 256)
+    return lines.filter(F.trim("value") != "").select(
+        F.concat_ws("#", "_metadata.file_path", sha).alias("path"),
+        F.concat(F.substring(sha, 1, 16), F.lit(".json")).alias("source_file_name"),
+        sha.alias("payload_sha256"),
+        without_bom(F.try_validate_utf8("value")).alias("document"),
+    )
+
+
 def landed_bytes(spark: SparkSession, root: str) -> DataFrame:
     """``path`` and ``content`` of every landed document, as ``read_landing`` names them."""
     files = spark.read.format("binaryFile").options(**FILE_OPTIONS).load(root).select("path", "content")
-    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter="part-*.txt").text(root)
+    lines = spark.read.options(**LINE_OPTIONS).text(root)
     content = F.col("value").cast("binary")
     path = F.concat_ws("#", "_metadata.file_path", F.sha2(content, 256))
     return files.unionByName(lines.select(path.alias("path"), content.alias("content")))
@@ -49,21 +65,11 @@ def landed_bytes(spark: SparkSession, root: str) -> DataFrame:
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
     """All documents below ``root``: whole ``*.json`` files, and lines of ``part-*.txt`` files.
 
-    The latter are what ``write_landing`` makes. A line's path is that of its file and its
-    checksum; blank lines hold no document.
+    The latter are what ``write_landing`` makes; blank lines hold no document.
     """
     require_directory(spark, root)
     files = file_columns(spark.read.format("binaryFile").options(**FILE_OPTIONS).load(root))
-    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter="part-*.txt").text(root)
-    sha = F.sha2(F.col("value").cast("binary"), 256)
-    return files.unionByName(
-        lines.filter(F.trim("value") != "").select(
-            F.concat_ws("#", "_metadata.file_path", sha).alias("path"),
-            F.concat(F.substring(sha, 1, 16), F.lit(".json")).alias("source_file_name"),
-            sha.alias("payload_sha256"),
-            without_bom(F.try_validate_utf8("value")).alias("document"),
-        )
-    )
+    return files.unionByName(line_columns(spark.read.options(**LINE_OPTIONS).text(root)))
 
 
 def load_cities(spark: SparkSession, path: str) -> DataFrame:

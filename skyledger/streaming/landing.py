@@ -14,7 +14,15 @@ from skyledger.operators.daily import parse_daily, typed_daily
 from skyledger.operators.envelope import dedup_staging, envelope_fields, rejected, staging_rows, valid
 from skyledger.operators.incremental import within
 from skyledger.plans.medallion import Layers, create_silver, insert_parsed, log_new
-from skyledger.sources.bronze import FILE_OPTIONS, FILE_SCHEMA, file_columns, require_directory
+from skyledger.sources.bronze import (
+    FILE_OPTIONS,
+    FILE_SCHEMA,
+    LINE_OPTIONS,
+    LINE_SCHEMA,
+    file_columns,
+    line_columns,
+    require_directory,
+)
 from skyledger.sources.tables import append, written_once
 
 
@@ -29,14 +37,19 @@ def landing_stream(
 ) -> StreamingQuery:
     """Start a query that stages and inserts all new files, then stops.
 
-    It writes in a session of its own: refresh the tables before reading them in yours.
+    It reads what ``read_landing`` reads: ``*.json`` files and lines of ``part-*.txt`` files, at most
+    ``max_files`` of either in a micro-batch. A checkpoint from before the lines were read has one
+    source and does not resume; with a new one, files that are staged already add nothing. It writes in a session of its own: refresh the tables before reading them in yours.
     """
     require_directory(spark, root)
     create_silver(spark, layers)
-    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**FILE_OPTIONS)
+    files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**FILE_OPTIONS)
+    lines = spark.readStream.format("text").schema(LINE_SCHEMA).options(**LINE_OPTIONS)
     if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    checked = envelope_fields(file_columns(reader.load(root)))
+        files = files.option("maxFilesPerTrigger", max_files)
+        lines = lines.option("maxFilesPerTrigger", max_files)
+    landed = file_columns(files.load(root)).unionByName(line_columns(lines.load(root)))
+    checked = envelope_fields(landed)
 
     def insert(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 
 from skyledger.plans.medallion import Layers, create_silver, refresh_gold, refresh_silver, run_all, stage_landing
 from skyledger.operators.incremental import unseen, within
-from skyledger.sources.bronze import read_bronze
+from skyledger.sources.bronze import read_bronze, write_landing
 from skyledger.sources.tables import append, replace, versions, written_once
 from skyledger.streaming.landing import landing_stream
 from support import RUN_AT, plan_of
@@ -223,3 +223,24 @@ def test_stream_reads_new_files_once(spark, layers, tmp_path):
     refresh_silver(spark, layers, log_once=True)
     refresh_gold(spark, layers)
     assert spark.table(layers.clean).count() == 3 and spark.table(layers.climate).count() == 72
+
+
+def test_stream_reads_what_write_landing_writes(spark, layers, tmp_path):
+    def land_lines(*documents: dict) -> None:
+        rows = [(json.dumps(d), d["meta"].get("city_id", "x"), "2024-05-01") for d in documents]
+        envelopes = spark.createDataFrame(rows, "document string, city_id string, day string")
+        write_landing(envelopes.selectExpr("document", "city_id", "date(day) AS extraction_date"), root)
+
+    root, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    land_lines(payload("La Paz", ["2024-01-01", None]), payload("Sucre", ["2024-01-01"]), {"meta": {}})
+    land(tmp_path / "in", "c.json", payload("Oruro", ["2024-01-01"]))
+    landing_stream(spark, root, "s", checkpoint, layers, max_files=1).awaitTermination()
+    assert counts(spark, layers) == {"raw": 3, "clean": 3, "rejects": 1}
+    spark.catalog.refreshTable(layers.landing_rejects)
+    assert [r.error for r in spark.table(layers.landing_rejects).collect()] == ["no object under data"]
+    # Later runs read new files only; the batch finds nothing that the stream has missed.
+    land_lines(payload("Tarija", ["2024-01-01"]))
+    landing_stream(spark, root, "s", checkpoint, layers).awaitTermination()
+    assert counts(spark, layers) == {"raw": 4, "clean": 4, "rejects": 1}
+    stage_landing(spark, root, "s", layers)
+    assert spark.table(layers.raw).count() == 4 and spark.table(layers.landing_rejects).count() == 1
