@@ -1,24 +1,26 @@
 """Class-based bigrams: exchange clustering gives words classes, classes and words give scores.
 
-The units of the clustering are the most frequent words, the end of a text, and all other words in
-groups by their last two bytes, so that every word has a class, one never seen included. A word's
-probability is that of its class after the class before it, times that of the word in its class.
+The clustering starts from units: the most frequent words, the end of a text, and all other words in
+groups by their last two bytes. From there every training word moves for itself, in batches; a word
+never seen has the class that its group began with. A word's probability is that of its class after
+the class before it, times that of the word in its class.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import LOWER_ASCII, map_slices, narrow, utf8, written
+from skyledger.llm.common import LOWER_ASCII, drop_folder, narrow, scratch_path, utf8, written
 
 #: Words that are units of their own, groups of the others, classes, and sweeps of the exchange.
 HEAD, GROUPS, CLASSES, SWEEPS = 1000, 256, 32, 8
@@ -29,6 +31,14 @@ FLUSH = 300_000
 #: Weight of the class frequencies in the transitions.
 PRIOR = 10.0
 END = 0
+#: Words whose classes and neighbours every task holds while words move.
+HOT = 30_000
+#: Ids of the other words begin here; the last byte is the group.
+RARE = 1 << 61
+#: Tokens whose pairs a task counts before it passes them on.
+WINDOW = 2_000_000
+#: Bits below a count that hold a neighbour and its side.
+LOW = 24
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -91,16 +101,62 @@ def _word_counts(train: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _unit_bigrams(train: DataFrame, units: Units) -> np.ndarray:
-    """Counts of unit pairs, a bounded square: summed in each task, then over the tasks."""
-    size = units.size
+def rare_id(word: bytes) -> int:
+    """52 bits of the word's hash and its group. ``_rare_id`` is the same as an expression."""
+    return RARE + (int(hashlib.md5(word, usedforsecurity=False).hexdigest()[:13], 16) << 8) + group_of(word)
+
+
+def _rare_id(word: str) -> Column:
+    bits = F.conv(F.substring(F.md5(word), 1, 13), 16, 10).cast("long")
+    group = F.expr(f"crc32(substring({word}, -2, 2))") % GROUPS
+    return F.lit(RARE) + F.shiftleft(bits, 8) + group
+
+
+def _pairs(train: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+    """``a, b, n``: neighbours by id, 0 the end. A pair may have several rows; they are to be added."""
+    shared = train.sparkSession.sparkContext.broadcast(ids)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
+        class Local(dict):
+            def __missing__(self, word: bytes) -> int:
+                self[word] = at = len(names)
+                names.append(frequent.get(word) or rare_id(word))
+                return at
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            wide = np.array(names, np.int64)
+            for at in range(0, len(keys), 100_000):
+                some = keys[at : at + 100_000]
+                columns = [wide[some >> 32], wide[some & 0xFFFFFFFF], n[at : at + 100_000]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["a", "b", "n"])
+
+        frequent = shared.value
+        names, local, parts, held = [END], Local(), [], 0
         for batch in batches:
             for text in utf8(batch["text"]):
-                u = units.of(_words(text))
-                np.add.at(total, u[:-1] * size + u[1:], 1)
+                words = _words(text)
+                u = np.zeros(len(words) + 2, np.int64)
+                u[1:-1] = np.fromiter(map(local.__getitem__, words), np.int64, len(words))
+                parts.append(u[:-1] << 32 | u[1:])
+                held += len(u)
+                if held >= WINDOW or len(names) >= FLUSH:
+                    yield from rows()
+                    names, local, parts, held = [END], Local(), [], 0
+        if parts:
+            yield from rows()
+
+    return train.select("text").mapInArrow(count, "a long, b long, n long")
+
+
+def _cells(df: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator], size: int) -> np.ndarray:
+    """Sums of ``size`` cells: added up in each task, then over the tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for cells, n in cells_of(batch):
+                np.add.at(total, cells, n)
         cells = np.flatnonzero(total)
         for at in range(0, len(cells), 100_000):
             some = cells[at : at + 100_000]
@@ -108,12 +164,209 @@ def _unit_bigrams(train: DataFrame, units: Units) -> np.ndarray:
                 [pa.array(some), pa.array(total[some])], names=["cell", "n"]
             )
 
-    parts = train.select("text").mapInArrow(count, "cell long, n long")
-    sums = parts.groupBy("cell").agg(F.sum("n").alias("n"))
-    total = np.zeros(size * size, np.float64)
-    found = sums.toArrow()  # at most size * size numbers
+    sums = df.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    total = np.zeros(size, np.float64)
+    found = sums.toArrow()  # at most size numbers
     total[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return total.reshape(size, size)
+    return total
+
+
+def _unit_bigrams(pairs: DataFrame, hot_units: np.ndarray, size: int) -> np.ndarray:
+    """Counts of unit pairs, a bounded square."""
+
+    def unit(ids: np.ndarray) -> np.ndarray:
+        return np.where(ids < RARE, hot_units[np.where(ids < RARE, ids, 0)], size - GROUPS + (ids & 255))
+
+    def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        a, b, n = (c.to_numpy() for c in batch.columns)
+        yield unit(a) * size + unit(b), n
+
+    return _cells(pairs, cells, size * size).reshape(size, size)
+
+
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def likelihood(table: np.ndarray) -> float:
+    """What the exchange raises: of the class pairs, less the part that no assignment changes."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def gains(table: np.ndarray, right: np.ndarray, left: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """What each word adds to the likelihood in each class, all others staying where they are.
+
+    ``right`` and ``left`` have a word a row, with its counts by the class after and before it.
+    Cells that a word's right and left neighbours share are taken one by one, so this is an estimate;
+    whether a batch stays is decided by the likelihood itself.
+    """
+    out = np.zeros(right.shape)
+
+    def add(cells: np.ndarray, rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Of ``n`` put into the cell of each class, or left in that of the old one."""
+        gain = _xlogx(cells + n[:, None]) - _xlogx(cells)
+        at = np.arange(len(n))
+        own = cells[at, old[rows]]
+        gain[at, old[rows]] = _xlogx(own) - _xlogx(np.maximum(own - n, 0))
+        return gain
+
+    every = np.arange(len(old))
+    for pairs, counts in ((table.T, right), (table, left)):
+        rows, classes = np.nonzero(counts)
+        if len(rows):
+            gain = add(pairs[classes], rows, counts[rows, classes])
+            some, first = np.unique(rows, return_index=True)
+            out[some] += np.add.reduceat(gain, first)
+        margin = np.broadcast_to(pairs.sum(0), out.shape)
+        out -= add(margin, every, counts.sum(1))
+    out[:, END] = -np.inf
+    return out
+
+
+def _moves(table: np.ndarray, right: np.ndarray, left: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """The best class of each word."""
+    gain = gains(table, right, left, old)
+    best, at = gain.argmax(1), np.arange(len(old))
+    return np.where(gain[at, best] > gain[at, old] + 1e-6, best, old)
+
+
+class Clustering:
+    """Classes of all training words, moved in batches.
+
+    Classes of the hot words are an array, those of the others a table ``w, cls, e, moved``; ``e``
+    has the counts of a word beside hot ones, each with the neighbour and its side in the low bits.
+    Pairs of two words that are not hot are joined with the classes of both.
+    """
+
+    def __init__(
+        self, pairs: DataFrame, words: list[bytes], hot: np.ndarray, groups: np.ndarray, classes: int
+    ) -> None:
+        """``hot`` has the first class of the end and the hot ``words``, ``groups`` that of a group."""
+        self.spark: SparkSession = pairs.sparkSession
+        #: Batches are by hash, so that it does not matter which words are hot.
+        self.turn = np.array([0, *(rare_id(word) >> 8 for word in words)], np.int64)
+        self.hot, self.classes = hot, classes
+        self.both = pairs.filter((F.col("a") < RARE) & (F.col("b") < RARE))
+        self.far = pairs.filter((F.col("a") >= RARE) & (F.col("b") >= RARE))
+        sides = [
+            pairs.filter(F.col(w) >= RARE).select(
+                F.col(w).alias("w"),
+                F.when(F.col(v) < RARE, F.shiftleft("n", LOW) + F.col(v) * 2 + side).alias("e"),
+            )
+            for w, v, side in (("a", "b", 0), ("b", "a", 1))
+        ]
+        group = F.col("w").bitwiseAND(255).cast("int") + 1
+        first = F.element_at(F.array(*(F.lit(int(c)) for c in groups)), group)
+        near = sides[0].unionByName(sides[1]).groupBy("w").agg(F.collect_list("e").alias("e"))
+        self._keep(near.select("w", first.alias("cls"), "e", F.lit(False).alias("moved")))
+
+    def _keep(self, state: DataFrame) -> None:
+        self.path = scratch_path(self.spark, "classes")
+        state.write.parquet(self.path)
+        self.state = self.spark.read.schema(state.schema).parquet(self.path)
+
+    def _count(self) -> None:
+        """The table of classes, and of each hot word its counts by the classes beside it."""
+        hot, k = self.hot, self.classes
+
+        def beside_hot(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            a, b, n = (c.to_numpy() for c in batch.columns)
+            yield a * 2 * k + hot[b], n
+            yield (b * 2 + 1) * k + hot[a], n
+
+        def beside_others(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            rows, e = _flat(batch.column(1))
+            # What follows the word has it on its left.
+            yield ((e & ((1 << LOW) - 1)) ^ 1) * k + batch.column(0).to_numpy()[rows], e >> LOW
+
+        def classed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            ca, cb, n = (c.to_numpy() for c in batch.columns)
+            yield ca * k + cb, n
+
+        shape = (len(hot), 2, k)
+        inner = _cells(self.both, beside_hot, np.prod(shape)).reshape(shape)
+        outer = _cells(self.state.select("cls", "e"), beside_others, np.prod(shape)).reshape(shape)
+        of = self.state.select("w", "cls")
+        self.known_path = scratch_path(self.spark, "far")
+        known = self.far.join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b")
+        known.write.parquet(self.known_path)
+        self.known = self.spark.read.schema(known.schema).parquet(self.known_path)
+        self.table = _cells(self.known.select("ca", "cb", "n"), classed, k * k).reshape(k, k)
+        member = np.eye(k)[hot]
+        self.table += member.T @ (inner[:, 0] + outer[:, 0]) + (member.T @ outer[:, 1]).T
+        self.beside = inner + outer
+
+    def _move(self, part: int, parts: int) -> int:
+        """Words of one part of ``parts`` go to their best classes; the number of those that moved."""
+        hot, k, table = self.hot, self.classes, self.table
+
+        def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 1000):
+                    batch = whole.slice(at, 1000)
+                    w, old = (batch[c].to_numpy() for c in ("w", "cls"))
+                    sums = np.zeros((len(w), 2, k))
+                    for column, classes in (("e", hot), ("m", np.arange(k))):
+                        rows, e = _flat(batch[column])
+                        low = e & ((1 << LOW) - 1)
+                        np.add.at(sums, (rows, low & 1, classes[low >> 1]), e >> LOW)
+                    new = _moves(table, sums[:, 0], sums[:, 1], old)
+                    new = np.where((w >> 8) % parts == part, new, old)
+                    columns = [batch["w"], pa.array(new, pa.int32()), batch["e"], pa.array(new != old)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["w", "cls", "e", "moved"])
+
+        ends = [
+            self.known.select(F.col(w).alias("w"), (F.shiftleft("n", LOW) + F.col(c) * 2 + side).alias("m"))
+            for w, c, side in (("a", "cb", 0), ("b", "ca", 1))
+        ]
+        beside = ends[0].unionByName(ends[1]).groupBy("w").agg(F.collect_list("m").alias("m"))
+        joined = self.state.drop("moved").join(beside, "w", "left")
+        self._keep(joined.mapInArrow(move, "w long, cls int, e array<long>, moved boolean"))
+        new = hot.copy()
+        for at in range(1, len(hot), 1000):
+            some = slice(at, at + 1000)
+            new[some] = _moves(table, self.beside[some, 0], self.beside[some, 1], hot[some])
+        self.hot = np.where(self.turn % parts == part, new, hot)
+        self.hot[END] = END
+        return int((self.hot != hot).sum()) + self.state.filter("moved").count()
+
+    def run(self, sweeps: int) -> list[tuple[float, int]]:
+        """Up to ``sweeps`` sweeps, fewer if moves stop. A batch that lowers the likelihood is taken back and halved.
+
+        Returns the likelihood before each batch that was kept, and how many words it moved.
+        """
+        steps, parts, part, idle, done, moved = [], 1, 0, 0, 0.0, 0
+        fields = ("hot", "state", "path", "known", "known_path", "table", "beside")
+        self._count()
+        while done < sweeps and idle < parts:
+            before = {name: getattr(self, name) for name in fields}
+            moved = self._move(part, parts)
+            if not moved:
+                idle, keep = idle + 1, True
+                drop_folder(self.spark, before["path"])  # the same classes are written once more
+            else:
+                self._count()
+                keep = likelihood(self.table) > likelihood(before["table"])
+                worse = before if keep else {name: getattr(self, name) for name in fields}
+                if keep:
+                    steps.append((likelihood(before["table"]), moved))
+                    idle = 0
+                else:
+                    vars(self).update(before)
+                for name in ("path", "known_path"):
+                    drop_folder(self.spark, worse[name])
+            if keep:
+                done, part = done + 1 / parts, (part + 1) % parts
+            else:
+                parts, part, idle = parts * 2, 0, 0
+        return steps
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of everything in the lists; a null is an empty list."""
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lengths)), lengths), values
 
 
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
@@ -184,15 +437,19 @@ class ClassModel:
         self.of = exchange(bigrams, classes)
         member = np.eye(classes)[self.of]
         table = member.T @ bigrams @ member
-        tokens, kinds = table.sum(0), types @ member
+        self.classes = classes
+        self.fit(table, types @ member)
+
+    def fit(self, table: np.ndarray, kinds: np.ndarray) -> None:
+        """Take counts of class pairs, and the distinct words of each class."""
+        tokens = table.sum(0)
         share = (tokens + 1e-3) / (tokens + 1e-3).sum()
         self.step = np.log10((table + PRIOR * share) / (table.sum(1, keepdims=True) + PRIOR))
         #: A word of the class has probability (its count + 1) / (tokens + types + 1).
         self.room = np.log10(tokens + kinds + 1)
 
-    def path(self, units: np.ndarray) -> float:
+    def path(self, classes: np.ndarray) -> float:
         """log10 of the classes of a text, less the room of each; counts are still to be added."""
-        classes = self.of[units]
         return float(self.step[classes[:-1], classes[1:]].sum() - self.room[classes[1:]].sum())
 
 
@@ -203,6 +460,8 @@ def class_scores(
     head: int = HEAD,
     classes: int = CLASSES,
     counted: int = COUNTED,
+    hot: int = HOT,
+    sweeps: int = SWEEPS,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
@@ -217,39 +476,43 @@ def class_scores(
     rows = narrow(docs, id_col, text_col).withColumn("held_out", held)
     train = rows.filter(~F.col("held_out"))
     counts = written(_word_counts(train), "counts")
-    ending = F.expr("crc32(substring(word, -2, 2))") % GROUPS
     ends = train.count()
     summed = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n = (summed["n"] or 0) + ends
     v = summed["v"] + (1 if ends else 0)
-    frequent = counts.orderBy(F.desc("c"), "word").limit(counted).toArrow()
-    known = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist(), strict=True))
-    units = Units(list(known)[:head])
-    types = np.zeros(units.size)
-    types[END] = 1 if ends else 0
-    types[1 : units.size - GROUPS] = 1
-    for group, size in counts.groupBy(ending.alias("g")).count().collect():
-        types[units.size - GROUPS + group] = size
-    for word in list(known)[:head]:
-        types[units.size - GROUPS + group_of(word)] -= 1
-    model = ClassModel(units, _unit_bigrams(train, units), types, classes)
-    shared = docs.sparkSession.sparkContext.broadcast((model, known))
-    schema = pa.schema(
-        [
-            ("uid", pa.int64()),
-            ("doc_id", pa.int64()),
-            ("held_out", pa.bool_()),
-            ("n_tokens", pa.int64()),
-            ("n_known", pa.int64()),
-            ("counted", pa.float64()),
-            ("path", pa.float64()),
-            ("rare", pa.list_(pa.binary())),
-        ]
+    by_count = (F.desc("c"), F.col("word"))
+    frequent = counts.orderBy(*by_count).limit(max(head, hot)).toArrow()["word"].to_pylist()
+    ids = {word: i for i, word in enumerate(frequent, 1)}
+    units = Units(frequent[:head])
+    pairs = written(_pairs(train, ids), "pairs")
+    hot_units = np.array([END, *(units[word] for word in frequent)], np.int64)
+    model = ClassModel(units, _unit_bigrams(pairs, hot_units, units.size), np.zeros(units.size), classes)
+    clustering = Clustering(pairs, frequent, model.of[hot_units], model.of[-GROUPS:], classes)
+    clustering.run(sweeps)
+    kinds = np.zeros(classes)
+    if ends:
+        np.add.at(kinds, clustering.hot, 1)
+    for cls, size in clustering.state.groupBy("cls").count().collect():
+        kinds[cls] += size
+    model.fit(clustering.table, kinds)
+    of = clustering.state.select(F.col("w").alias("id"), "cls")
+    classed = written(
+        counts.withColumn("id", _rare_id("word")).join(of, "id", "left").select("word", "c", "cls"), "classed"
     )
+    have = {}
+    for batch in classed.orderBy(*by_count).limit(max(counted, head, hot)).toArrow().to_batches():
+        for word, c, cls in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            have[word] = (c, int(clustering.hot[ids[word]]) if word in ids else cls)
+    shared = docs.sparkSession.sparkContext.broadcast((model, have))
+    walked_schema = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, counted double, "
+    walked_schema += "classes binary, rare array<struct<at: long, word: binary>>"
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, have = shared.value
-        end = [ends]
+        group_class, unseen = network.of[-GROUPS:], {}
+        rare_type = pa.list_(pa.struct([("at", pa.int64()), ("word", pa.binary())]))
+        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), rare_type]
+        names = ["uid", "doc_id", "held_out", "n_tokens", "n_known", "counted", "classes", "rare"]
         uid = TaskContext.get().partitionId() << 40
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
@@ -257,39 +520,69 @@ def class_scores(
                 heads = zip(batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), strict=True)
                 for (name, held_out), text in zip(heads, utf8(batch["text"]), strict=True):
                     words = _words(text)
-                    found = list(map(have.get, words, repeat(0)))
-                    rare = [w for w, c in zip(words, found, strict=True) if not c]
-                    c = np.array(found + end, np.float64)
-                    path = network.path(network.units.of(words))
+                    found = list(map(have.get, words, repeat((0, 0))))
+                    both = np.array([(END, END), *found, (ends, END)], np.int64)
+                    c, cls = both[1:, 0], both[:, 1].astype(np.uint8)
+                    rare = []
+                    for i in np.flatnonzero(c[:-1] == 0).tolist():
+                        # Until the join finds it, the word counts as never seen.
+                        ending = words[i][-2:]
+                        if ending not in unseen:
+                            unseen[ending] = group_class[group_of(ending)]
+                        cls[i + 1] = unseen[ending]
+                        rare.append({"at": i + 1, "word": words[i]})
                     seen = int(np.count_nonzero(c))
                     logs = float(np.log10(c + 1).sum())
-                    out.append((uid, name, held_out, len(words) + 1, seen, logs, path, rare))
+                    out.append((uid, name, held_out, len(words) + 1, seen, logs, cls.tobytes(), rare))
                     uid += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)],
-                    schema=schema,
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names
                 )
 
-    walked = written(
-        rows.select("doc_id", "held_out", "text").mapInArrow(
-            walk,
-            "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, counted double, "
-            "path double, rare array<binary>",
-        ),
-        "walked",
-    )
+    walked = written(rows.select("doc_id", "held_out", "text").mapInArrow(walk, walked_schema), "walked")
     # Rare words are many, but none of them is frequent, so no key of this join is hot.
-    rare = walked.select("uid", F.explode("rare").alias("word")).join(counts, "word")
-    rare = rare.groupBy("uid").agg(
-        F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("logs")
+    rare = walked.select("uid", F.explode("rare").alias("r")).select("uid", "r.at", "r.word")
+    rare = rare.join(classed, "word").groupBy("uid").agg(
+        F.count("*").alias("more"),
+        F.sum(F.log10(F.col("c") + 1)).alias("logs"),
+        F.collect_list(F.shiftleft("at", 8) + F.col("cls")).alias("seen"),
     )
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, _ = shared.value
+        for batch in batches:
+            paths = []
+            for classes, seen in zip(batch["classes"].to_pylist(), batch["seen"], strict=True):
+                cls = np.frombuffer(classes, np.uint8).copy()
+                if seen.is_valid:
+                    at = seen.values.to_numpy()
+                    cls[at >> 8] = at & 255
+                paths.append(network.path(cls))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], pa.array(paths, pa.float64())], names=[*batch.schema.names[:-2], "path"]
+            )
+
     logs = F.col("counted") + F.coalesce("logs", F.lit(0.0))
-    return walked.drop("rare").join(rare, "uid", "left").select(
+    merged = walked.drop("rare").join(rare, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
-        (logs + F.col("path")).alias("score"),
+        logs.alias("logs"),
+        "classes",
+        "seen",
+    )
+    followed = merged.mapInArrow(
+        follow,
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, logs double, path double",
+    )
+    return followed.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        (F.col("logs") - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
+        (F.col("logs") + F.col("path")).alias("score"),
     )

@@ -220,3 +220,47 @@ def test_the_class_model_beats_unigrams_on_held_out_texts(spark):
     got = queries.op7_class_bigrams(spark, "/root/testdata/sf0.01").filter("held_out")
     score, base = got.agg(F.sum("score"), F.sum("base_score")).first()
     assert score > 0.97 * base and got.count() > 50
+
+
+def two_kinds():
+    """Texts whose words a0zz to a39zz and b0zz to b39zz share their ending and no neighbour."""
+    rng = random.Random(4)
+    some = lambda kind: f"{kind}{rng.randrange(40)}zz"
+    return [" ".join(f"the {some('a')} of {some('b')}" for _ in range(30)) for _ in range(40)]
+
+
+def test_every_training_word_has_a_class_of_its_own(spark, hot=9):
+    from skyledger.llm.brown import Clustering, _pairs, likelihood, rare_id
+
+    texts = [t.split() for t in two_kinds()]
+    train = spark.createDataFrame([(" ".join(t),) for t in texts], "text string")
+    frequent = [w.encode() for w, _ in Counter(w for t in texts for w in t).most_common(hot)]
+    pairs = _pairs(train, {w: i for i, w in enumerate(frequent, 1)})
+    first = np.array([0, *(1 + np.arange(hot) % 2)])
+    clustering = Clustering(pairs, frequent, first, np.full(256, 3), 6)
+    steps = [x for x, _ in clustering.run(4)]
+    assert len(steps) > 1 and steps == sorted(steps) and likelihood(clustering.table) > steps[-1]
+    by_id = {r.w: r.cls for r in clustering.state.collect()}
+    of = {w: clustering.hot[frequent.index(w.encode()) + 1] if w.encode() in frequent else by_id[rare_id(w.encode())]
+          for t in texts for w in t}
+    assert len(of) == 82 and len(by_id) == 82 - hot
+    assert len({c for w, c in of.items() if w.endswith("zz")}) > 1
+
+    def table_of(of):
+        table = np.zeros((6, 6))
+        for t in texts:
+            line = [0, *(of[w] for w in t), 0]
+            np.add.at(table, (line[:-1], line[1:]), 1)
+        return table
+
+    assert (table_of(of) == clustering.table).all()
+
+
+def test_scores_do_not_depend_on_which_words_are_broadcast(spark):
+    rows = awkward() + [(100 + i, prose(200, i)) for i in range(30)] + [(200 + i, t) for i, t in enumerate(two_kinds())]
+    scores = [
+        sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got.collect())
+        for hot, counted in ((10, 10), (5000, 100), (20, 5000))
+        for got in [class_scores(table(spark, rows), head=10, classes=6, hot=hot, counted=counted, sweeps=2)]
+    ]
+    assert scores[0] == scores[1] == scores[2]
