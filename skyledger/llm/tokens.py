@@ -59,8 +59,9 @@ class WordLevel:
 
     def units(self, text: str) -> tuple[list[str], bool]:
         """The units, and whether they are words."""
-        if _PLAIN.fullmatch(text) and not _OTHER_SPACE.search(text):
-            return self.word.findall(text.lower()), True
+        lower = text.lower()  # some capitals have lower forms that the classes do not reach
+        if _PLAIN.fullmatch(text) and _PLAIN.fullmatch(lower) and not _OTHER_SPACE.search(text):
+            return self.word.findall(lower), True
         return text.replace("\n", " ").split(" "), False
 
 

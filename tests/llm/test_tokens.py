@@ -156,3 +156,12 @@ def test_empty_tables(spark):
     path = scratch_path(spark, "tokens-none")
     write_token_files(docs, path)
     assert read_token_files(spark, path).collect() == pack(docs).collect() == []
+
+
+@pytest.mark.parametrize("style", [ByteLevel, WordLevel])
+def test_capitals_whose_lower_forms_lie_elsewhere(style):
+    capitals = [chr(c) for c in range(0x250) if any(ord(x) >= 0x250 for x in chr(c).lower())]
+    texts = ["\u018fli", *(f"A{c}LI {c}li x{c}" for c in capitals)]
+    encoder = Encoder(vocabulary(NAMES[style]), style())
+    assert len(capitals) > 20
+    assert [np.frombuffer(f, "<u4").tolist() for f in encoder.encode(texts)] == [library(style, t) for t in texts]
