@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A whole string literal (kept through $1), or a run of white space between tokens (dropped).
@@ -19,20 +21,35 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def evaluated(rows: DataFrame, **values: Column) -> DataFrame:
+    """``rows`` with further columns that are computed once a row, whatever is asked of them.
+
+    They leave a generator of one row. The optimizer copies the expressions of a projection into
+    each filter above it, and so repeats a parse of a document; it does not look into a generator.
+    """
+    named = F.struct(*[value.alias(name) for name, value in values.items()])
+    return rows.select("*", F.inline(F.array(named)))
+
+
 STRICT = {"allowSingleQuotes": "false"}
 _CONTAINER_TYPE = "^(ARRAY|OBJECT)"
 
 
-def whole_value(document: Column) -> Column:
-    """True where a text is one JSON value and nothing else, read strictly.
+def sealed(document: Column) -> Column:
+    """A list of the document and a seal, by which one parse reads it and tells if it is whole.
 
-    The parser alone stops after the first value. Inside a list, text after it or a second value
-    shows; inside an object, a text that closes the list early does.
+    A parser stops after the first value. In a list, text after a value is an error, a second value
+    shows in the list's length, and a text that closes the list early leaves no seal after it: it
+    would have to hold its own checksum.
     """
-    listed = F.from_json(F.concat(F.lit("["), document, F.lit("]")), "array<string>", STRICT)
-    held = F.from_json(F.concat(F.lit('{"d":'), document, F.lit("}")), "map<string, string>", STRICT)
-    alone = (F.size(listed) == 1) & (F.array_join(F.map_keys(held), "|") == "d")
-    return F.coalesce(alone, F.lit(False))
+    seal = F.concat(F.lit(',{"seal":"'), F.sha2(document, 256), F.lit('"}]'))
+    return F.concat(F.lit("["), document, seal)
+
+
+def unsealed(read: Column, document: Column) -> Column:
+    """The value read from ``sealed`` text, an object with a field or key ``seal``; NULL if not whole."""
+    intact = (F.size(read) == 2) & (F.get(read, F.lit(1))["seal"] == F.sha2(document, 256))
+    return F.when(intact, F.get(read, F.lit(0)))
 
 
 def member(fields: Column, name: str) -> Column:
@@ -49,14 +66,13 @@ def _typed_as_container(value: Column) -> Column:
     return F.schema_of_variant(value).rlike(_CONTAINER_TYPE)
 
 
-def scalar_only(text: Column, document: Column, path: str) -> Column:
+def scalar_only(text: Column, tree: Column, path: str) -> Column:
     """NULL out ``text``, read at ``path``, if the value there is an object or an array.
 
-    Text that begins like one may still be a string; then the value's type in the document
-    decides. A document that has no type tree (a repeated key) is judged by its text.
+    Text that begins like one may still be a string; then the value's type in the document's
+    ``tree``, a VARIANT, decides. A document that has no tree (a repeated key) is judged by its text.
     """
-    value = F.try_variant_get(F.try_parse_json(document), path, "variant")
-    nested = F.coalesce(_typed_as_container(value), F.lit(True))
+    nested = F.coalesce(_typed_as_container(F.try_variant_get(tree, path, "variant")), F.lit(True))
     return F.when(~_looks_nested(text), text).when(~nested, text)
 
 
@@ -65,20 +81,26 @@ def json_scalar(document: Column, path: str) -> Column:
 
     Numbers come in the parser's shortest form, so 2.50 reads as '2.5'.
     """
-    return scalar_only(F.get_json_object(document, path), document, path)
+    return scalar_only(F.get_json_object(document, path), F.try_parse_json(document), path)
+
+
+def needs_tree(texts: list[Column], arrays: list[Column]) -> Column:
+    """Whether any of these begins like an object or array, so that only types can decide."""
+    looks = [_looks_nested(t) for t in texts] + [F.exists(a, _looks_nested) for a in arrays]
+    return reduce(or_, [F.coalesce(seen, F.lit(False)) for seen in looks])
 
 
-def nested_elements(items: Column, document: Column, path: str) -> Column:
+def nested_elements(items: Column, tree: Column, path: str) -> Column:
     """For each element of the array at ``path``, read as text, whether it is an object or array."""
-    values = F.try_variant_get(F.try_parse_json(document), path, "array<variant>")
+    values = F.try_variant_get(tree, path, "array<variant>")
     typed = F.transform(values, _typed_as_container)
     looks = F.transform(items, lambda x: F.coalesce(_looks_nested(x), F.lit(False)))
     return F.when(F.exists(looks, lambda x: x), F.coalesce(typed, looks)).otherwise(looks)
 
 
-def scalar_array(items: Column, document: Column, path: str) -> Column:
+def scalar_array(items: Column, tree: Column, path: str) -> Column:
     """An ``array<string>`` read at ``path``, NULL as a whole if any element is not a scalar."""
-    nested = nested_elements(items, document, path)
+    nested = nested_elements(items, tree, path)
     return F.when(~F.coalesce(F.exists(nested, lambda x: x), F.lit(False)), items)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.casts import safe_date, safe_double, safe_long
-from skyledger.functions.jsontext import nested_elements, scalar_array, scalar_only
+from skyledger.functions.jsontext import evaluated, needs_tree, nested_elements, scalar_array, scalar_only
 from skyledger.functions.labels import city_key, season_en
 from skyledger.operators.quality import PAYLOAD_SOURCE
 from skyledger.sources.schemas import DAILY_VARIABLES, LONG_VARIABLES, PAYLOAD_JSON
@@ -19,21 +19,25 @@ def parse_daily(raw: DataFrame) -> DataFrame:
     NULL; a document without a ``time`` array gives no rows. The city key comes from
     ``meta.city_name``, not from the staged ``city_id``.
     """
-    payload = F.col("payload")
-    time = F.col("doc.data.daily.time")
-    parsed = raw.select(
-        "extraction_timestamp_utc", "payload", F.from_json("payload", PAYLOAD_JSON).alias("doc")
-    ).select(
+    read = evaluated(
+        raw.select("extraction_timestamp_utc", "payload"), doc=F.from_json("payload", PAYLOAD_JSON)
+    )
+    city, time = F.col("doc.meta.city_name"), F.col("doc.data.daily.time")
+    variables = [F.col(f"doc.data.daily.{name}") for name in DAILY_VARIABLES]
+    # Types matter to values that look like containers only; few documents have a second parse.
+    typed = F.when(needs_tree([city], [time, *variables]), F.try_parse_json("payload"))
+    tree = F.col("tree")
+    parsed = evaluated(read, tree=typed).select(
         "extraction_timestamp_utc",
-        scalar_only(F.col("doc.meta.city_name"), payload, "$.meta.city_name").alias("city_name"),
+        scalar_only(city, tree, "$.meta.city_name").alias("city_name"),
         F.zip_with(
             time,
-            nested_elements(time, payload, "$.data.daily.time"),
+            nested_elements(time, tree, "$.data.daily.time"),
             lambda day, nested: F.when(~F.coalesce(nested, F.lit(False)), day),
         ).alias("time"),
         *[
-            scalar_array(F.col(f"doc.data.daily.{name}"), payload, f"$.data.daily.{name}").alias(name)
-            for name in DAILY_VARIABLES
+            scalar_array(items, tree, f"$.data.daily.{name}").alias(name)
+            for name, items in zip(DAILY_VARIABLES, variables, strict=True)
         ],
     )
     # An inner explode makes the optimizer filter on the array below the parse, which parses again.

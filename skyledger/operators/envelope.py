@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.casts import safe_date, safe_long, safe_timestamp
-from skyledger.functions.jsontext import compact, member, once, whole_value
+from skyledger.functions.jsontext import STRICT, compact, evaluated, member, once, sealed, unsealed
 from skyledger.operators.incremental import unseen
 from skyledger.sources.bronze import bronze_path
 from skyledger.sources.schemas import ENVELOPE_JSON, REQUIRED_META, REQUIRED_RESPONSE
@@ -16,13 +16,19 @@ INSERT_ID = ("city_id", "source_type", "extraction_date")
 
 def _response_parts(response: Column) -> Column:
     """Top-level keys of a response with the JSON text of their values; NULL if not an object."""
-    return F.when(whole_value(response), F.from_json(response, "map<string, string>"))
+    read = F.from_json(sealed(response), "array<map<string, string>>", STRICT)
+    return once(read, lambda listed: unsealed(listed, response))
 
 
 def _daily_time(daily: Column) -> Column:
     return F.from_json(daily, "time array<string>").getField("time")
 
 
+def _time_count(parts: Column) -> Column:
+    time = _daily_time(member(parts, "daily"))
+    return F.greatest(F.coalesce(F.size(time), F.lit(0)), F.lit(0)).cast("bigint")
+
+
 def _missing(fields: Column, required: tuple[str, ...]) -> Column:
     """Required keys that are absent. A key that holds null is present."""
     return F.array_except(F.array(*[F.lit(name) for name in required]), F.map_keys(fields))
@@ -35,22 +41,20 @@ def _missing_text(label: str, fields: Column, required: tuple[str, ...]) -> Colu
 
 def record_count(response: Column) -> Column:
     """Length of ``daily.time``; 0 if it is absent or not an array."""
-    time = _daily_time(member(_response_parts(response), "daily"))
-    return F.greatest(F.coalesce(F.size(time), F.lit(0)), F.lit(0)).cast("bigint")
+    return _time_count(_response_parts(response))
 
 
 def response_error(response: Column) -> Column:
     """First problem of an API response, NULL if it is usable."""
-    return once(_response_parts(response), _parts_error)
+    return once(_response_parts(response), lambda parts: _parts_error(parts, _time_count(parts)))
 
 
-def _parts_error(parts: Column) -> Column:
-    daily = member(parts, "daily")
+def _parts_error(parts: Column, records: Column) -> Column:
     return F.coalesce(
         F.when(parts.isNull(), "response is not an object"),
         _missing_text("missing root fields", parts, REQUIRED_RESPONSE),
-        F.when(F.coalesce(~daily.startswith("{"), F.lit(True)), "daily is not an object"),
-        F.when(F.coalesce(F.size(_daily_time(daily)), F.lit(0)) <= 0, "daily.time is not a non-empty array"),
+        F.when(F.coalesce(~member(parts, "daily").startswith("{"), F.lit(True)), "daily is not an object"),
+        F.when(records <= 0, "daily.time is not a non-empty array"),
     )
 
 
@@ -69,6 +73,8 @@ def build_envelopes(
     Input columns: city_id, city_name, latitude, longitude, elevation_m, source_type, source_url,
     extraction_date (date), extraction_timestamp_utc (text), response (JSON text).
     """
+    read = evaluated(responses, response_parts=_response_parts(F.col("response")))
+    read = evaluated(read, response_records=_time_count(F.col("response_parts")))
     meta = F.struct(
         F.lit(project).alias("project"),
         F.lit(source_system).alias("source_system"),
@@ -82,7 +88,7 @@ def build_envelopes(
         "elevation_m",
         F.lit(timezone).alias("timezone"),
         "source_url",
-        record_count(F.col("response")).alias("record_count"),
+        F.col("response_records").alias("record_count"),
     )
     document = F.concat(
         F.lit('{"meta":'),
@@ -91,21 +97,30 @@ def build_envelopes(
         F.col("response"),
         F.lit("}"),
     )
-    checked = responses.withColumn("response_error", response_error(F.col("response")))
-    return checked.withColumn("document", F.when(F.col("response_error").isNull(), document))
+    error = _parts_error(F.col("response_parts"), F.col("response_records"))
+    checked = read.withColumn("response_error", error)
+    made = checked.withColumn("document", F.when(F.col("response_error").isNull(), document))
+    return made.drop("response_parts", "response_records")
 
 
 def envelope_fields(files: DataFrame) -> DataFrame:
-    """Add ``meta`` (key to text) and the first ``error`` of each document, NULL if it is valid."""
-    whole = F.when(whole_value(F.col("document")), F.col("document"))
-    envelope = F.from_json(whole, ENVELOPE_JSON)
-    counted = F.from_json(whole, "meta struct<record_count: double>")["meta"]["record_count"]
-    read = files.withColumn("envelope", envelope).withColumn("whole", whole.isNotNull())
-    return read.select(
+    """Add ``meta`` (key to text) and the first ``error`` of each document, NULL if it is valid.
+
+    A document is parsed once. Only a record count that is no integer text is read again, as a
+    number: 12.0 counts, "12.0" does not.
+    """
+    document = F.col("document")
+    listed = F.from_json(sealed(document), ENVELOPE_JSON, STRICT)
+    read = evaluated(files, envelope=once(listed, lambda items: unsealed(items, document)))
+    count = member(F.col("envelope.meta"), "record_count")
+    number = F.from_json(document, "meta struct<record_count: double>")["meta"]["record_count"]
+    whole = safe_long(count)
+    counted = evaluated(read, records=F.when(whole.isNull() & count.isNotNull(), F.floor(number)).otherwise(whole))
+    return counted.select(
         *files.columns,
         F.col("envelope.meta").alias("meta"),
-        F.coalesce(safe_long(member(F.col("envelope.meta"), "record_count")), F.floor(counted)).alias("records"),
-        F.col("whole"),
+        "records",
+        F.col("envelope").isNotNull().alias("whole"),
         F.col("envelope.data").isNotNull().alias("has_data"),
     ).select(*files.columns, "meta", "records", envelope_error().alias("error"))
 

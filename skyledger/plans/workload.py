@@ -186,16 +186,19 @@ def q_city_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf: str) -> DataFrame:
-    return staging_rows(require_valid(envelope_fields(fixture.landed(spark, sf))), fixture.STORE_URI)
+    """Staging rows of the landed documents, which are stored as any landing is."""
+    landed = _stored(fixture.landed(spark, sf), "landed")
+    return staging_rows(require_valid(envelope_fields(landed)), fixture.STORE_URI)
 
 
 def q_parse_daily(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = parse_daily(_staged(spark, sf))
+    """Daily rows of a stored staging table, whose payloads are parsed once."""
+    parsed = parse_daily(_stored(_staged(spark, sf), "staged"))
     return parsed.select("city_id", "city_name", _iso("date"), *DAILY_VARIABLES, "payload_source")
 
 
 def q_typed_daily(spark: SparkSession, sf: str) -> DataFrame:
-    typed = typed_daily(parse_daily(_staged(spark, sf)))
+    typed = typed_daily(parse_daily(_stored(_staged(spark, sf), "staged")))
     stamp = _iso_utc("extraction_timestamp_utc").alias("extracted_at")
     return typed.select("city_id", _iso("date"), "year", "month", "season", *DAILY_VARIABLES, stamp)
 
@@ -246,7 +249,18 @@ def q_envelope_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A folder for one layer of one query. Results read it lazily; ``drop_stored`` clears up."""
+    return f"{_workload_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _workload_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/workload-{spark.sparkContext.applicationId}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the layers that this application's queries stored, once their results are read."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_workload_dir(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def q_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

@@ -36,8 +36,9 @@ REQUIRED_CITY = ("id", "lat", "lon", "name")
 # Arrays are read as text so that one bad element becomes one NULL, not a lost document.
 DAILY_JSON = "struct<time: array<string>, " + ", ".join(f"{v}: array<string>" for v in DAILY_VARIABLES) + ">"
 PAYLOAD_JSON = f"meta struct<city_name: string>, data struct<daily: {DAILY_JSON}>"
-# Maps keep the difference between an absent key and a key that holds null.
-ENVELOPE_JSON = "meta map<string, string>, data map<string, string>"
+# The document and its seal. Maps keep the difference between an absent key and a key that holds
+# null; of data it only matters that it is an object.
+ENVELOPE_JSON = "array<struct<meta: map<string, string>, data: struct<none: string>, seal: string>>"
 
 RAW_WEATHER_COLUMNS = {
     "source_type": "string",

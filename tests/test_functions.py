@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyledger.functions.casts import safe_date, safe_double, safe_long, safe_timestamp
-from skyledger.functions.jsontext import compact, json_scalar, scalar_array, without_bom
+from skyledger.functions.jsontext import STRICT, compact, json_scalar, once, scalar_array, sealed, unsealed, without_bom
 from skyledger.functions.labels import city_key, month_name_es, season_en, season_es
 from skyledger.functions.numeric import clamp, is_above, is_at_least, percent_of, round2
 from support import evaluate
@@ -87,7 +87,7 @@ def test_json_scalar_takes_scalars_only(spark):
 def test_scalar_array_is_null_if_it_holds_an_object(spark):
     texts = ['["1", null, "x"]', '["1", {"a": 1}]', '[[1], "2"]', "[]", '"x"', '["[draft] x", "{z}"]']
     documents = [f'{{"k": {t}}}' for t in texts]
-    read = lambda x: scalar_array(F.from_json(x, "k array<string>")["k"], x, "$.k")
+    read = lambda x: scalar_array(F.from_json(x, "k array<string>")["k"], F.try_parse_json(x), "$.k")
     assert evaluate(spark, documents, "string", read) == [["1", None, "x"], None, None, [], None, ["[draft] x", "{z}"]]
     single = ['{"k": "[draft] x"}', '{"k": ["a"]}', '{"k": "{z}"}', '{"k": {"a": 1}}', '{"k": 5}']
     got = evaluate(spark, single, "string", lambda x: json_scalar(x, "$.k"))
@@ -121,3 +121,10 @@ def test_seasons_and_months(spark):
     assert evaluate(spark, [1, 9, 12, 13, None], "int", month_name_es) == [
         "Enero", "Septiembre", "Diciembre", None, None
     ]
+
+
+def test_sealed_documents_are_whole_or_null(spark):
+    texts = ['{"a":1}', ' {"a":1}\n', '{"a":1} x', '{"a":1}{"a":2}', '{"a":1},{"a":2}', '{"a":1}]', '{"a":1},{"seal":"s"}]',
+             "{'a':1}", "", "5", "[1]", '[{"a":1}]', "null", None, '{"seal":"x","a":1}']
+    read = lambda x: once(F.from_json(sealed(x), "array<struct<a: string, seal: string>>", STRICT), lambda r: unsealed(r, x)["a"])
+    assert evaluate(spark, texts, "string", read) == ["1", "1", *[None] * 12, "1"]

@@ -6,13 +6,16 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from skyledger.functions.jsontext import evaluated
 from skyledger.operators.climate import climate_monthly
 from skyledger.operators.daily import parse_daily, typed_daily
 from skyledger.operators.envelope import _first_by_path
 from skyledger.operators.events import extreme_events
 from skyledger.operators.quality import accept, quarantine
 from skyledger.operators.risk import daily_risk
-from skyledger.plans import fixture
+from skyledger.plans import fixture, workload
 from skyledger.sources.dimensions import CITIES, cities_dim
 from support import plan_of
 
@@ -79,6 +82,27 @@ def test_payloads_are_parsed_once_and_never_shuffled(spark):
     assert plan.count("from_json") == 1 and shuffles(plan) == 0
 
 
+def parses(df) -> int:
+    """Parse expressions of any kind in the optimised plan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return len(re.findall(r"(?i)from_json|parse_?json|get_json_object", plan))
+
+
+@pytest.mark.parametrize("key", ["raw_stage", "parse_daily", "typed_daily", "raw_dedup", "envelope_rejects"])
+def test_few_parses_however_the_result_is_filtered(spark, key):
+    """A document's parse and the rare second look: at a count that is no integer, at types."""
+    made = workload.QUERIES[key](spark, "/root/testdata/sf0.001")
+    fixture_parses = 2 if key == "envelope_rejects" else 0
+    assert parses(made) <= 2 + fixture_parses
+    assert parses(made.filter(f"{made.columns[0]} IS NOT NULL")) <= 2 + fixture_parses
+
+
+def test_a_filter_does_not_reach_an_evaluated_column(spark):
+    rows = evaluated(spark.range(3), parsed=F.from_json(F.col("id").cast("string"), "a int"))
+    rows = rows.select("id", F.col("parsed.a").alias("a"), F.col("parsed").isNull().alias("b"))
+    assert parses(rows.filter("a IS NULL AND NOT b").filter("a IS NOT NULL OR b")) == 1
+
+
 def test_copies_are_ranked_before_the_shuffle(spark):
     documents = spark.range(10).selectExpr(
         "'a' AS city_id", "'b' AS source_type", "current_date() AS extraction_date", "string(id) AS gcs_uri",
