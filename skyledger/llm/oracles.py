@@ -77,7 +77,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m LEFT JOIN bad USING (source)
 """
 
+FILTER_AUDIT = """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS mask
+  FROM d JOIN firsts USING (t) LEFT JOIN l USING (doc_id)
+),
+cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM masks GROUP BY part, mask
+),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter, left(filter_order, step - 1) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+),
+states AS (
+  SELECT part, filter_order, step, letter, mask, n, good, toxic, contains(mask, letter) AS fails,
+    before <> '' AND regexp_matches(mask, '[' || before || '.]') AS gone
+  FROM steps, cells
+),
+counted AS (
+  SELECT part, filter_order, step, letter,
+    sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = letter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM states GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op10_quality_rules": QUALITY_RULES,
+    "op13_filter_audit": FILTER_AUDIT,
 }

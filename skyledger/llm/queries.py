@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm.bpe import bpe_decode, bpe_encode
 from skyledger.llm.brown import class_scores
 from skyledger.llm.common import scratch_path, table
 from skyledger.llm.decontaminate import contamination, is_contaminated
+from skyledger.llm.filter_audit import filter_interactions, mask_cells
 from skyledger.llm.oracles import ORACLES as ORACLES
 from skyledger.llm.packing import pack
 from skyledger.llm.pii import KINDS as PII_KINDS
@@ -104,6 +106,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_interactions(mask_cells(docs, labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_secret_scan": op2_secret_scan,
@@ -115,4 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_bpe_round_trip": op11_bpe_round_trip,
+    "op13_filter_audit": op13_filter_audit,
 }

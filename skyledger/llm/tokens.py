@@ -2,7 +2,8 @@
 
 Text is cut only where the tokenizer cuts in any case, so that the ids of a text are those of its
 units one after another. In Latin text the units are the tokenizer's own words; elsewhere they are
-what stands between blanks. Units that are not remembered go to the library in one batch.
+what stands between blanks. Units that are not remembered go to the library in one batch. Strings of
+special tokens have the ids of these, as the library gives them, and no unit reaches across one.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ def _read(path: str, words_only: bool):
     from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     if words_only:  # a word needs no cutting, only its bytes spelled as the vocabulary does
         tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     return tokenizer
@@ -72,16 +72,48 @@ class Encoder:
         self.style = style
         self.libraries = {words_only: _read(path, words_only) for words_only in (True, False)}
         self.known: dict[str, bytes] = {"": b""}
+        added = self.libraries[False].get_added_tokens_decoder().items()
+        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.specials = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
 
-    def _new(self, units: list[str], words: bool) -> dict[str, bytes]:
+    def _ids(self, units: list[str], words: bool) -> list[bytes]:
+        """The ids of units that are not remembered; ``words``: they need no cutting."""
         found = self.libraries[words].encode_batch_fast(units, add_special_tokens=False)
-        new = {u: np.array(e.ids, "<u4").tobytes() for u, e in zip(units, found, strict=True)}
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _new(self, units: list[str], words: bool) -> dict[str, bytes]:
+        new = dict(zip(units, self._ids(units, words), strict=True))
         if len(self.known) < UNITS:
             self.known |= {u: ids for u, ids in new.items() if len(u) < 100}
         return new
 
+    def _stretches(self, texts: list[str | None]) -> tuple[list[str], dict[int, list[bytes | int]]]:
+        """Texts to cut, and for texts with special tokens their ids among numbers of texts."""
+        if self.specials is None:
+            return [t or "" for t in texts], {}
+        plain, mixed = [], {}
+        for row, text in enumerate(texts):
+            pieces = self.specials.split(text) if text and "<" in text else [text or ""]
+            if len(pieces) > 1:
+                parts = mixed[row] = []
+                for piece in pieces:
+                    parts.append(self.special.get(piece, len(plain)))
+                    plain += [piece] if piece not in self.special else []
+            else:
+                mixed[row] = [len(plain)]
+                plain.append(pieces[0])
+        return plain, mixed
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, without end ids; null is an empty text."""
+        plain, mixed = self._stretches(texts)
+        found = self._encode(plain)
+        if len(plain) == len(texts):  # no text holds a special token
+            return found
+        return [b"".join(found[p] if isinstance(p, int) else p for p in mixed[row]) for row in range(len(texts))]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         known = self.known.get
         rows, missing = [], {True: set(), False: set()}
         for text in texts:
@@ -97,14 +129,16 @@ class Encoder:
         return [b"".join(parts) for _, parts, _ in rows]
 
 
-_ENCODERS: dict[tuple[str, type], Encoder] = {}
+_ENCODERS: dict[tuple[str, type, type], Encoder] = {}
 
 
-def encoder(path: str, style: type[ByteLevel] | type[WordLevel]) -> Encoder:
+def encoder(
+    path: str, style: type[ByteLevel] | type[WordLevel], kind: type[Encoder] = Encoder
+) -> Encoder:
     """The encoder of this worker process, with what it remembers."""
-    if (path, style) not in _ENCODERS:
-        _ENCODERS[path, style] = Encoder(path, style())
-    return _ENCODERS[path, style]
+    if (path, style, kind) not in _ENCODERS:
+        _ENCODERS[path, style, kind] = kind(path, style())
+    return _ENCODERS[path, style, kind]
 
 
 def vocabulary(name: str) -> str:

@@ -26,13 +26,13 @@ LIBRARY = {}
 def library(style, text):
     if style not in LIBRARY:
         LIBRARY[style] = Tokenizer.from_file(vocabulary(NAMES[style]))
-        LIBRARY[style].encode_special_tokens = True
     return LIBRARY[style].encode(text or "", add_special_tokens=False).ids
 
 
 TRICKY = [
     "it's IT'S they'LL 'st ''s don't\n\n  two  blanks \n mixed\t tab\r\n end ",
     " lead", "\nlead", "trail ", "a b c \x1c d\x85e", "<|endoftext|> <|startoftext|> x",
+    "<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|startoftext|>B <|endoftext|>\n\n c <|END|> <<|endoftext|>é ", "<b> < |endoftext|>",
     "ẞtraße ΣΑΣ Σ İstanbul ﬁ é ́ a ́b", "漢字 かな 한글 😀😀 12345 ½²³ x²", "#### $$$ a_b-c", "\x00 \x07",
 ]
 
