@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm.alignment import align
 from skyledger.llm.bpe import bpe_decode, bpe_encode
 from skyledger.llm.brown import class_scores
 from skyledger.llm.common import scratch_path, table
@@ -116,6 +117,10 @@ def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return filter_interactions(mask_cells(docs, labels))
@@ -133,5 +138,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
     "op11_bpe_round_trip": op11_bpe_round_trip,
+    "op12_alignment": op12_alignment,
     "op13_filter_audit": op13_filter_audit,
 }
