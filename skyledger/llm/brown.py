@@ -1,9 +1,11 @@
 """Class-based bigrams: exchange clustering gives words classes, classes and words give scores.
 
-The clustering starts from units: the most frequent words, the end of a text, and all other words in
-groups by their last two bytes. From there every training word moves for itself, in batches; a word
-never seen has the class that its group began with. A word's probability is that of its class after
-the class before it, times that of the word in its class.
+The clustering works on units: the most frequent words, the end of a text, and all other words in
+groups by their last two bytes. Few units are clustered one by one in the driver, then all of them
+move in batches. Then each of the other training words moves for itself, beginning at the class of
+its group, which is also that of words never seen. What is kept of a word are its counts by the class
+before and after it, two numbers a class, however often it occurs. A word's probability is that of
+its class after the class before it, times that of the word in its class.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,23 +24,25 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import LOWER_ASCII, drop_folder, narrow, scratch_path, utf8, written
 
-#: Words that are units of their own, groups of the others, classes, and sweeps of the exchange.
-HEAD, GROUPS, CLASSES, SWEEPS = 1000, 256, 32, 8
+#: Words that are clustered one by one, groups, classes, and sweeps of the exchange.
+HEAD, GROUPS, CLASSES, SWEEPS = 1000, 256, 32, 3
+#: Batches of a sweep: of units, and of the words that are none.
+UNIT_BATCHES, RARE_BATCHES = 4, 2
 #: Most frequent words whose counts every task holds; those of the others are joined.
-COUNTED = 100_000
+COUNTED = 200_000
 #: Words that a task counts before it passes the counts on.
 FLUSH = 300_000
 #: Weight of the class frequencies in the transitions.
 PRIOR = 10.0
 END = 0
-#: Words whose classes and neighbours every task holds while words move.
-HOT = 30_000
+#: Words that are units, whose classes every task holds.
+HOT = 50_000
 #: Ids of the other words begin here; the last byte is the group.
 RARE = 1 << 61
 #: Tokens whose pairs a task counts before it passes them on.
-WINDOW = 2_000_000
-#: Bits below a count that hold a neighbour and its side.
-LOW = 24
+WINDOW = 4_000_000
+#: Bits below a count that hold a class and the side it is on.
+LOW = 12
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -112,41 +116,112 @@ def _rare_id(word: str) -> Column:
     return F.lit(RARE) + F.shiftleft(bits, 8) + group
 
 
-def _pairs(train: DataFrame, ids: dict[bytes, int]) -> DataFrame:
-    """``a, b, n``: neighbours by id, 0 the end. A pair may have several rows; they are to be added."""
-    shared = train.sparkSession.sparkContext.broadcast(ids)
+class _Local(dict):
+    """Numbers of words in the order in which a task meets them; 0 is the end."""
+
+    def __init__(self, units: Units) -> None:
+        super().__init__()
+        self.units, self.unit, self.id = units, [END], [END]
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = len(self.unit)
+        unit = self.units[word]
+        self.unit.append(unit)
+        self.id.append(unit if unit < self.units.size - GROUPS else rare_id(word))
+        return at
+
+    def read(self, texts: list[bytes | None]) -> np.ndarray:
+        """All words of some texts, each text between two ends."""
+        words = [_words(text) for text in texts]
+        ends = np.cumsum([len(w) + 2 for w in words])
+        out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = inner[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = False
+        every = map(self.__getitem__, chain.from_iterable(words))
+        out[inner] = np.fromiter(every, np.int64, len(out) - 2 * len(words))
+        return out
+
+
+def _within(u: np.ndarray) -> np.ndarray:
+    """Whether each neighbour and the next stand in one text: not the end of one, the begin of another."""
+    last = np.cumsum(u == END) % 2 == 0  # every second end closes a text
+    return ~((u[:-1] == END) & (u[1:] == END) & last[:-1]) if len(u) else np.zeros(0, bool)
+
+
+def _counted_pairs(keys: list[np.ndarray], wide: list[int]) -> Iterator[pa.RecordBatch]:
+    """``a, b, n`` of keys with the number of one in ``wide`` above that of the other."""
+    found, n = np.unique(np.concatenate(keys), return_counts=True)
+    wide = np.array(wide, np.int64)
+    for at in range(0, len(found), 100_000):
+        some = found[at : at + 100_000]
+        columns = [wide[some >> 32], wide[some & 0xFFFFFFFF], n[at : at + 100_000]]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["a", "b", "n"])
+
+
+def _pairs(train: DataFrame, units: Units) -> DataFrame:
+    """``a, b, n``: neighbours by unit, 0 the end, and once more by id where neither is a unit."""
+    shared = train.sparkSession.sparkContext.broadcast(units)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        class Local(dict):
-            def __missing__(self, word: bytes) -> int:
-                self[word] = at = len(names)
-                names.append(frequent.get(word) or rare_id(word))
-                return at
+        local, by_unit, by_id, held = _Local(shared.value), [], [], 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            wide = np.array(names, np.int64)
-            for at in range(0, len(keys), 100_000):
-                some = keys[at : at + 100_000]
-                columns = [wide[some >> 32], wide[some & 0xFFFFFFFF], n[at : at + 100_000]]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["a", "b", "n"])
-
-        frequent = shared.value
-        names, local, parts, held = [END], Local(), [], 0
+            yield from _counted_pairs(by_unit, list(range(shared.value.size)))
+            yield from _counted_pairs(by_id, local.id)
+
         for batch in batches:
-            for text in utf8(batch["text"]):
-                words = _words(text)
-                u = np.zeros(len(words) + 2, np.int64)
-                u[1:-1] = np.fromiter(map(local.__getitem__, words), np.int64, len(words))
-                parts.append(u[:-1] << 32 | u[1:])
+            for at in range(0, batch.num_rows, 500):
+                u = local.read(utf8(batch["text"].slice(at, 500)))
+                unit = np.array(local.unit, np.int64)[u]
+                own = unit < shared.value.size - GROUPS
+                inside = _within(u)
+                by_unit.append((unit[:-1] << 32 | unit[1:])[inside])
+                by_id.append((u[:-1] << 32 | u[1:])[inside & ~own[:-1] & ~own[1:]])
+                held += len(u)
+                if held >= WINDOW or len(local.id) >= 2 * FLUSH:
+                    yield from rows()
+                    local, by_unit, by_id, held = _Local(shared.value), [], [], 0
+        if by_unit:
+            yield from rows()
+
+    found = train.select("text").mapInArrow(count, "a long, b long, n long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _beside_units(train: DataFrame, units: Units, of: np.ndarray) -> DataFrame:
+    """``w, cell, n``: for each word that is no unit the classes of units after and before it."""
+    shared = train.sparkSession.sparkContext.broadcast((units, of))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, of = shared.value
+        local, keys, held = _Local(units), [], 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            found, n = np.unique(np.concatenate(keys), return_counts=True)
+            wide = np.array(local.id, np.int64)
+            for at in range(0, len(found), 100_000):
+                some = found[at : at + 100_000]
+                columns = [wide[some >> LOW], (some & ((1 << LOW) - 1)).astype(np.int32), n[at : at + 100_000]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["w", "cell", "n"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                u = local.read(utf8(batch["text"].slice(at, 500)))
+                unit = np.array(local.unit, np.int64)[u]
+                own, cls, inside = unit < units.size - GROUPS, of[unit], _within(u)
+                after = inside & ~own[:-1] & own[1:]
+                before = inside & own[:-1] & ~own[1:]
+                keys += [(u[:-1] << LOW | cls[1:] * 2)[after], (u[1:] << LOW | cls[:-1] * 2 + 1)[before]]
                 held += len(u)
-                if held >= WINDOW or len(names) >= FLUSH:
+                if held >= WINDOW or len(local.id) >= 2 * FLUSH:
                     yield from rows()
-                    names, local, parts, held = [END], Local(), [], 0
-        if parts:
+                    local, keys, held = _Local(units), [], 0
+        if keys:
             yield from rows()
 
-    return train.select("text").mapInArrow(count, "a long, b long, n long")
+    # Tasks have summed what they have; one exchange by word serves the sum and the lists after it.
+    found = train.select("text").mapInArrow(count, "w long, cell int, n long")
+    return found.repartition("w").groupBy("w", "cell").agg(F.sum("n").alias("n"))
 
 
 def _cells(df: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator], size: int) -> np.ndarray:
@@ -171,17 +246,15 @@ def _cells(df: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator], size:
     return total
 
 
-def _unit_bigrams(pairs: DataFrame, hot_units: np.ndarray, size: int) -> np.ndarray:
-    """Counts of unit pairs, a bounded square."""
-
-    def unit(ids: np.ndarray) -> np.ndarray:
-        return np.where(ids < RARE, hot_units[np.where(ids < RARE, ids, 0)], size - GROUPS + (ids & 255))
+def _head_bigrams(sides: DataFrame, units: np.ndarray, size: int) -> np.ndarray:
+    """Counts of pairs of the first ``size`` units and groups, a bounded square."""
 
     def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        a, b, n = (c.to_numpy() for c in batch.columns)
-        yield unit(a) * size + unit(b), n
+        w, side, v, n = (c.to_numpy() for c in batch.columns)
+        right = side == 0
+        yield units[w[right]] * size + units[v[right]], n[right]
 
-    return _cells(pairs, cells, size * size).reshape(size, size)
+    return _cells(sides, cells, size * size).reshape(size, size)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -230,35 +303,84 @@ def _moves(table: np.ndarray, right: np.ndarray, left: np.ndarray, old: np.ndarr
     return np.where(gain[at, best] > gain[at, old] + 1e-6, best, old)
 
 
-class Clustering:
-    """Classes of all training words, moved in batches.
+class UnitExchange:
+    """Classes of the units, moved in batches.
 
-    Classes of the hot words are an array, those of the others a table ``w, cls, e, moved``; ``e``
-    has the counts of a word beside hot ones, each with the neighbour and its side in the low bits.
-    Pairs of two words that are not hot are joined with the classes of both.
+    The neighbours of each unit lie in a table ``w, side, v, n`` with a row for each pair of units,
+    at most the square of their number, whatever the size of the corpus. A pass over it gives the
+    table of classes and, for the units of one batch, their counts by the classes beside them.
+    """
+
+    def __init__(self, sides: DataFrame, of: np.ndarray, turn: np.ndarray, classes: int) -> None:
+        """``turn`` deals the units out to batches."""
+        self.sides, self.of, self.turn, self.classes = sides, of, turn, classes
+
+    def _measure(self, of: np.ndarray, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        size, k, mine = len(of), self.classes, self.turn % parts == part
+
+        def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            w, side, v, n = (c.to_numpy() for c in batch.columns)
+            right = side == 0
+            yield of[w[right]] * k + of[v[right]], n[right]
+            some = mine[w]
+            yield k * k + (w[some] * 2 + side[some]) * k + of[v[some]], n[some]
+
+        found = _cells(self.sides, cells, k * k + size * 2 * k)
+        return found[: k * k].reshape(k, k), found[k * k :].reshape(size, 2, k)
+
+    def run(self, sweeps: int, parts: int = UNIT_BATCHES) -> list[float]:
+        """Up to ``sweeps`` sweeps, fewer if moves stop. A batch that lowers the likelihood is taken
+        back and halved, and a sweep has so many more batches; there are ``sweeps * parts`` in all.
+
+        Returns the likelihood before each batch that was kept.
+        """
+        steps, part, idle = [], 0, 0
+        table, beside = self._measure(self.of, part, parts)
+        for _ in range(sweeps * parts):
+            mine = np.flatnonzero(self.turn % parts == part)
+            new = self.of.copy()
+            for at in range(0, len(mine), 1000):
+                some = mine[at : at + 1000]
+                new[some] = _moves(table, beside[some, 0], beside[some, 1], self.of[some])
+            new[END] = END
+            moved = bool((new != self.of).any())
+            idle = 0 if moved else idle + 1
+            if idle == parts:
+                break
+            then = self._measure(new, (part + 1) % parts, parts)
+            if not moved or likelihood(then[0]) > likelihood(table):
+                steps += [likelihood(table)] if moved else []
+                self.of, part = new, (part + 1) % parts
+                table, beside = then
+            else:
+                parts, part, idle = parts * 2, 0, 0
+                table, beside = self._measure(self.of, part, parts)
+        self.table = table
+        return steps
+
+
+class RareExchange:
+    """Classes of the words that are no units, each moved for itself, in batches.
+
+    A row ``w, cls, cells, moved`` has a word's class and its counts by the class after and before
+    it, of neighbours that are units: at most two numbers a class. ``far`` has the pairs of two words
+    that are none, whose classes are joined to both sides; none of these words is frequent.
     """
 
     def __init__(
-        self, pairs: DataFrame, words: list[bytes], hot: np.ndarray, groups: np.ndarray, classes: int
+        self, near: DataFrame, far: DataFrame, inner: np.ndarray, groups: np.ndarray, classes: int
     ) -> None:
-        """``hot`` has the first class of the end and the hot ``words``, ``groups`` that of a group."""
-        self.spark: SparkSession = pairs.sparkSession
-        #: Batches are by hash, so that it does not matter which words are hot.
-        self.turn = np.array([0, *(rare_id(word) >> 8 for word in words)], np.int64)
-        self.hot, self.classes = hot, classes
-        self.both = pairs.filter((F.col("a") < RARE) & (F.col("b") < RARE))
-        self.far = pairs.filter((F.col("a") >= RARE) & (F.col("b") >= RARE))
-        sides = [
-            pairs.filter(F.col(w) >= RARE).select(
-                F.col(w).alias("w"),
-                F.when(F.col(v) < RARE, F.shiftleft("n", LOW) + F.col(v) * 2 + side).alias("e"),
-            )
-            for w, v, side in (("a", "b", 0), ("b", "a", 1))
-        ]
+        """``inner`` is the table of classes of pairs of units, ``groups`` has the first classes."""
+        self.spark: SparkSession = near.sparkSession
+        self.far, self.inner, self.classes = far, inner, classes
+        packed = F.collect_list(F.shiftleft("n", LOW) + F.col("cell"))  # two a class at most
+        cells = near.groupBy("w").agg(packed.alias("cells"))
+        alone = far.select(F.col("a").alias("w")).union(far.select("b")).distinct()
+        every = alone.join(cells, "w", "full")
         group = F.col("w").bitwiseAND(255).cast("int") + 1
         first = F.element_at(F.array(*(F.lit(int(c)) for c in groups)), group)
-        near = sides[0].unionByName(sides[1]).groupBy("w").agg(F.collect_list("e").alias("e"))
-        self._keep(near.select("w", first.alias("cls"), "e", F.lit(False).alias("moved")))
+        self._keep(every.select("w", first.cast("int").alias("cls"), "cells", F.lit(False).alias("moved")))
+        self._count()
 
     def _keep(self, state: DataFrame) -> None:
         self.path = scratch_path(self.spark, "classes")
@@ -266,39 +388,30 @@ class Clustering:
         self.state = self.spark.read.schema(state.schema).parquet(self.path)
 
     def _count(self) -> None:
-        """The table of classes, and of each hot word its counts by the classes beside it."""
-        hot, k = self.hot, self.classes
-
-        def beside_hot(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            a, b, n = (c.to_numpy() for c in batch.columns)
-            yield a * 2 * k + hot[b], n
-            yield (b * 2 + 1) * k + hot[a], n
+        """The table of classes, and the far pairs with the classes of both sides."""
+        k = self.classes
 
-        def beside_others(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def near(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             rows, e = _flat(batch.column(1))
-            # What follows the word has it on its left.
-            yield ((e & ((1 << LOW) - 1)) ^ 1) * k + batch.column(0).to_numpy()[rows], e >> LOW
+            own, cell = batch.column(0).to_numpy()[rows], e & ((1 << LOW) - 1)
+            other, after = cell >> 1, (cell & 1) == 0
+            yield np.where(after, own * k + other, other * k + own), e >> LOW
 
-        def classed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def far(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             ca, cb, n = (c.to_numpy() for c in batch.columns)
-            yield ca * k + cb, n
+            yield ca.astype(np.int64) * k + cb, n
 
-        shape = (len(hot), 2, k)
-        inner = _cells(self.both, beside_hot, np.prod(shape)).reshape(shape)
-        outer = _cells(self.state.select("cls", "e"), beside_others, np.prod(shape)).reshape(shape)
         of = self.state.select("w", "cls")
         self.known_path = scratch_path(self.spark, "far")
         known = self.far.join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b")
         known.write.parquet(self.known_path)
         self.known = self.spark.read.schema(known.schema).parquet(self.known_path)
-        self.table = _cells(self.known.select("ca", "cb", "n"), classed, k * k).reshape(k, k)
-        member = np.eye(k)[hot]
-        self.table += member.T @ (inner[:, 0] + outer[:, 0]) + (member.T @ outer[:, 1]).T
-        self.beside = inner + outer
+        self.table = self.inner + _cells(self.state.select("cls", "cells"), near, k * k).reshape(k, k)
+        self.table += _cells(self.known.select("ca", "cb", "n"), far, k * k).reshape(k, k)
 
     def _move(self, part: int, parts: int) -> int:
         """Words of one part of ``parts`` go to their best classes; the number of those that moved."""
-        hot, k, table = self.hot, self.classes, self.table
+        k, table = self.classes, self.table
 
         def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
@@ -306,59 +419,50 @@ class Clustering:
                     batch = whole.slice(at, 1000)
                     w, old = (batch[c].to_numpy() for c in ("w", "cls"))
                     sums = np.zeros((len(w), 2, k))
-                    for column, classes in (("e", hot), ("m", np.arange(k))):
+                    for column in ("cells", "m"):
                         rows, e = _flat(batch[column])
-                        low = e & ((1 << LOW) - 1)
-                        np.add.at(sums, (rows, low & 1, classes[low >> 1]), e >> LOW)
-                    new = _moves(table, sums[:, 0], sums[:, 1], old)
-                    new = np.where((w >> 8) % parts == part, new, old)
-                    columns = [batch["w"], pa.array(new, pa.int32()), batch["e"], pa.array(new != old)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["w", "cls", "e", "moved"])
-
-        ends = [
-            self.known.select(F.col(w).alias("w"), (F.shiftleft("n", LOW) + F.col(c) * 2 + side).alias("m"))
+                        cell = e & ((1 << LOW) - 1)
+                        np.add.at(sums, (rows, cell & 1, cell >> 1), e >> LOW)
+                    new = np.where((w >> 8) % parts == part, _moves(table, sums[:, 0], sums[:, 1], old), old)
+                    columns = [batch["w"], pa.array(new, pa.int32()), batch["cells"], pa.array(new != old)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["w", "cls", "cells", "moved"])
+
+        sides = [
+            self.known.select(F.col(w).alias("w"), (F.col(c) * 2 + side).alias("cell"), "n")
             for w, c, side in (("a", "cb", 0), ("b", "ca", 1))
         ]
-        beside = ends[0].unionByName(ends[1]).groupBy("w").agg(F.collect_list("m").alias("m"))
+        beside = sides[0].unionByName(sides[1]).repartition("w").groupBy("w", "cell").agg(F.sum("n").alias("n"))
+        beside = beside.groupBy("w").agg(F.collect_list(F.shiftleft("n", LOW) + F.col("cell")).alias("m"))
         joined = self.state.drop("moved").join(beside, "w", "left")
-        self._keep(joined.mapInArrow(move, "w long, cls int, e array<long>, moved boolean"))
-        new = hot.copy()
-        for at in range(1, len(hot), 1000):
-            some = slice(at, at + 1000)
-            new[some] = _moves(table, self.beside[some, 0], self.beside[some, 1], hot[some])
-        self.hot = np.where(self.turn % parts == part, new, hot)
-        self.hot[END] = END
-        return int((self.hot != hot).sum()) + self.state.filter("moved").count()
-
-    def run(self, sweeps: int) -> list[tuple[float, int]]:
-        """Up to ``sweeps`` sweeps, fewer if moves stop. A batch that lowers the likelihood is taken back and halved.
-
-        Returns the likelihood before each batch that was kept, and how many words it moved.
-        """
-        steps, parts, part, idle, done, moved = [], 1, 0, 0, 0.0, 0
-        fields = ("hot", "state", "path", "known", "known_path", "table", "beside")
-        self._count()
-        while done < sweeps and idle < parts:
+        self._keep(joined.mapInArrow(move, "w long, cls int, cells array<long>, moved boolean"))
+        return self.state.filter("moved").count()
+
+    def run(self, parts: int = RARE_BATCHES) -> list[float]:
+        """One sweep, or less if a batch lowers the likelihood: it is taken back, once halved, and
+        the sweep ends there. Returns the likelihood before each batch that was kept."""
+        steps, part, halved = [], 0, False
+        fields = ("state", "path", "known", "known_path", "table")
+        while part < parts:
             before = {name: getattr(self, name) for name in fields}
             moved = self._move(part, parts)
             if not moved:
-                idle, keep = idle + 1, True
-                drop_folder(self.spark, before["path"])  # the same classes are written once more
-            else:
-                self._count()
-                keep = likelihood(self.table) > likelihood(before["table"])
-                worse = before if keep else {name: getattr(self, name) for name in fields}
-                if keep:
-                    steps.append((likelihood(before["table"]), moved))
-                    idle = 0
-                else:
-                    vars(self).update(before)
-                for name in ("path", "known_path"):
-                    drop_folder(self.spark, worse[name])
-            if keep:
-                done, part = done + 1 / parts, (part + 1) % parts
+                drop_folder(self.spark, before["path"])
+                part += 1
+                continue
+            self._count()
+            kept = likelihood(self.table) > likelihood(before["table"])
+            worse = before if kept else {name: getattr(self, name) for name in fields}
+            if kept:
+                steps.append(likelihood(before["table"]))
+                part += 1
             else:
-                parts, part, idle = parts * 2, 0, 0
+                vars(self).update(before)
+            for name in ("path", "known_path"):
+                drop_folder(self.spark, worse[name])
+            if not kept:
+                if halved:
+                    break
+                parts, part, halved = parts * 2, part * 2, True
         return steps
 
 
@@ -437,7 +541,7 @@ class ClassModel:
         self.of = exchange(bigrams, classes)
         member = np.eye(classes)[self.of]
         table = member.T @ bigrams @ member
-        self.classes = classes
+        self.groups = self.of[-GROUPS:]
         self.fit(table, types @ member)
 
     def fit(self, table: np.ndarray, kinds: np.ndarray) -> None:
@@ -469,7 +573,8 @@ def class_scores(
     2 modulo 7 are held out; all counts come from the others, rows without id among them.
     ``base_score`` is the add-one unigram's log10 probability, ``score`` the class model's. A null
     text has its end only. Repeated rows count as often as they occur; other columns are ignored.
-    Without training rows all counts are 0.
+    Without training rows all counts are 0. ``head``, ``hot`` and ``sweeps`` are settings of the
+    clustering; ``counted`` only says which counts are broadcast and which are joined.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
     held: Column = F.coalesce(fold == 2, F.lit(False))
@@ -483,33 +588,52 @@ def class_scores(
     by_count = (F.desc("c"), F.col("word"))
     frequent = counts.orderBy(*by_count).limit(max(head, hot)).toArrow()["word"].to_pylist()
     ids = {word: i for i, word in enumerate(frequent, 1)}
-    units = Units(frequent[:head])
-    pairs = written(_pairs(train, ids), "pairs")
-    hot_units = np.array([END, *(units[word] for word in frequent)], np.int64)
-    model = ClassModel(units, _unit_bigrams(pairs, hot_units, units.size), np.zeros(units.size), classes)
-    clustering = Clustering(pairs, frequent, model.of[hot_units], model.of[-GROUPS:], classes)
-    clustering.run(sweeps)
+    units, few = Units(frequent), Units(frequent[:head])
+    pairs = written(_pairs(train, units), "pairs")
+    of_units = pairs.filter(F.col("a") < RARE)
+    ways = [
+        of_units.select(F.col(w).alias("w"), F.lit(side).alias("side"), F.col(v).alias("v"), "n")
+        for w, v, side in (("a", "b", 0), ("b", "a", 1))
+    ]
+    sides = written(ways[0].unionByName(ways[1]).repartition("w"), "sides")
+    few_of = np.array([END, *map(few.__getitem__, frequent), *range(few.size - GROUPS, few.size)], np.int64)
+    model = ClassModel(few, _head_bigrams(sides, few_of, few.size), np.zeros(few.size), classes)
+    turn = np.array([0, *(rare_id(word) >> 8 for word in frequent), *range(GROUPS)], np.int64)
+    unit_moves = UnitExchange(sides, model.of[few_of], turn, classes)
+    unit_moves.run(sweeps)
+    of, own = unit_moves.of, units.size - GROUPS
+
+    def inner(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        w, v, n = (c.to_numpy() for c in batch.columns)
+        yield of[w] * classes + of[v], n
+
+    among = sides.filter((F.col("side") == 0) & (F.col("w") < own) & (F.col("v") < own)).select("w", "v", "n")
+    table = _cells(among, inner, classes * classes).reshape(classes, classes)
+    far = pairs.filter(F.col("a") >= RARE)
+    rare_moves = RareExchange(_beside_units(train, units, of), far, table, of[own:], classes)
+    rare_moves.run()
     kinds = np.zeros(classes)
     if ends:
-        np.add.at(kinds, clustering.hot, 1)
-    for cls, size in clustering.state.groupBy("cls").count().collect():
+        np.add.at(kinds, of[:own], 1)
+    for cls, size in rare_moves.state.groupBy("cls").count().collect():
         kinds[cls] += size
-    model.fit(clustering.table, kinds)
-    of = clustering.state.select(F.col("w").alias("id"), "cls")
+    model.fit(rare_moves.table, kinds)
+    model.groups = of[own:]
+    rare_of = rare_moves.state.select(F.col("w").alias("id"), "cls")
     classed = written(
-        counts.withColumn("id", _rare_id("word")).join(of, "id", "left").select("word", "c", "cls"), "classed"
+        counts.withColumn("id", _rare_id("word")).join(rare_of, "id", "left").select("word", "c", "cls"), "classed"
     )
     have = {}
     for batch in classed.orderBy(*by_count).limit(max(counted, head, hot)).toArrow().to_batches():
         for word, c, cls in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            have[word] = (c, int(clustering.hot[ids[word]]) if word in ids else cls)
+            have[word] = (c, int(of[ids[word]]) if word in ids else cls)
     shared = docs.sparkSession.sparkContext.broadcast((model, have))
     walked_schema = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, counted double, "
     walked_schema += "classes binary, rare array<struct<at: long, word: binary>>"
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, have = shared.value
-        group_class, unseen = network.of[-GROUPS:], {}
+        group_class, unseen = network.groups, {}
         rare_type = pa.list_(pa.struct([("at", pa.int64()), ("word", pa.binary())]))
         types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), rare_type]
         names = ["uid", "doc_id", "held_out", "n_tokens", "n_known", "counted", "classes", "rare"]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fixtures import awkward, prose, table
 from parity import compare, connect
 from skyledger.llm import queries
+from skyledger.llm import brown
 from skyledger.llm.brown import class_scores, exchange
 from skyledger.llm.quality_model import isotonic, quality_scores
 from skyledger.llm.quality_rules import drop_low_quality, quality_verdicts
@@ -229,38 +230,92 @@ def two_kinds():
     return [" ".join(f"the {some('a')} of {some('b')}" for _ in range(30)) for _ in range(40)]
 
 
+def recounted(texts, of, classes):
+    table = np.zeros((classes, classes))
+    for t in texts:
+        line = [0, *(of[w] for w in t), 0]
+        np.add.at(table, (line[:-1], line[1:]), 1)
+    return table
+
+
+def clustered(spark, texts, hot, k=6):
+    """Both exchanges with their pieces, and the class of each word that is a unit."""
+    train = spark.createDataFrame([(b" ".join(t).decode(),) for t in texts], "text string")
+    frequent = [w for w, _ in Counter(w for t in texts for w in t).most_common(hot)]
+    units = brown.Units(frequent)
+    pairs = brown._pairs(train, units)
+    of_units = pairs.filter(F.col("a") < brown.RARE)
+    sides = of_units.selectExpr("a AS w", "0 AS side", "b AS v", "n").unionByName(of_units.selectExpr("b AS w", "1 AS side", "a AS v", "n"))
+    first = np.array([0, *(1 + np.arange(units.size - 1) % (k - 1))])
+    moves = brown.UnitExchange(sides, first, np.arange(units.size), k)
+    return train, frequent, units, pairs, moves
+
+
+def test_units_move_and_each_batch_raises_the_likelihood(spark, hot=30):
+    texts = [t.encode().split() for t in two_kinds()] + [[], [b"the"]]
+    _, frequent, units, _, moves = clustered(spark, texts, hot)
+    steps = moves.run(4)
+    assert len(steps) > 1 and steps == sorted(steps) and brown.likelihood(moves.table) > steps[-1]
+    of = {w: moves.of[units[w]] for t in texts for w in t}
+    assert (recounted(texts, of, 6) == moves.table).all()
+    assert moves.of[0] == 0 and 0 not in moves.of[1:]
+
+
 def test_every_training_word_has_a_class_of_its_own(spark, hot=9):
-    from skyledger.llm.brown import Clustering, _pairs, likelihood, rare_id
-
-    texts = [t.split() for t in two_kinds()]
-    train = spark.createDataFrame([(" ".join(t),) for t in texts], "text string")
-    frequent = [w.encode() for w, _ in Counter(w for t in texts for w in t).most_common(hot)]
-    pairs = _pairs(train, {w: i for i, w in enumerate(frequent, 1)})
-    first = np.array([0, *(1 + np.arange(hot) % 2)])
-    clustering = Clustering(pairs, frequent, first, np.full(256, 3), 6)
-    steps = [x for x, _ in clustering.run(4)]
-    assert len(steps) > 1 and steps == sorted(steps) and likelihood(clustering.table) > steps[-1]
-    by_id = {r.w: r.cls for r in clustering.state.collect()}
-    of = {w: clustering.hot[frequent.index(w.encode()) + 1] if w.encode() in frequent else by_id[rare_id(w.encode())]
-          for t in texts for w in t}
-    assert len(of) == 82 and len(by_id) == 82 - hot
-    assert len({c for w, c in of.items() if w.endswith("zz")}) > 1
-
-    def table_of(of):
-        table = np.zeros((6, 6))
-        for t in texts:
-            line = [0, *(of[w] for w in t), 0]
-            np.add.at(table, (line[:-1], line[1:]), 1)
-        return table
-
-    assert (table_of(of) == clustering.table).all()
-
-
-def test_scores_do_not_depend_on_which_words_are_broadcast(spark):
+    texts = [t.encode().split() for t in two_kinds()] + [[], [b"the"]]
+    train, frequent, units, pairs, moves = clustered(spark, texts, hot)
+    of, own = moves.of, units.size - brown.GROUPS
+    inner = np.zeros((6, 6))
+    for r in pairs.filter((F.col("a") < own) & (F.col("b") < own)).collect():
+        inner[of[r.a], of[r.b]] += r.n
+    near = brown._beside_units(train, units, of)
+    rare = brown.RareExchange(near, pairs.filter(F.col("a") >= brown.RARE), inner, of[own:], 6)
+    at_first = {w: of[units[w]] for t in texts for w in t}
+    assert (recounted(texts, at_first, 6) == rare.table).all()
+    steps = rare.run()
+    assert steps and steps == sorted(steps) and brown.likelihood(rare.table) > steps[-1]
+    by_id = {r.w: r.cls for r in rare.state.collect()}
+    final = {w: of[units[w]] if w in frequent else by_id[brown.rare_id(w)] for t in texts for w in t}
+    assert len(final) == 82 and len(by_id) == 82 - hot
+    assert len({c for w, c in final.items() if w.endswith(b"zz")}) > 1
+    assert (recounted(texts, final, 6) == rare.table).all()
+    assert max(len(r.cells or []) for r in rare.state.collect()) <= 2 * 6
+
+
+@pytest.mark.parametrize("hot", [12, 5000])
+def test_scores_by_a_brute_force_class_model(spark, hot, monkeypatch):
+    """The classes that were found, and everything after them computed again from the texts."""
     rows = awkward() + [(100 + i, prose(200, i)) for i in range(30)] + [(200 + i, t) for i, t in enumerate(two_kinds())]
-    scores = [
-        sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got.collect())
-        for hot, counted in ((10, 10), (5000, 100), (20, 5000))
-        for got in [class_scores(table(spark, rows), head=10, classes=6, hot=hot, counted=counted, sweeps=2)]
-    ]
-    assert scores[0] == scores[1] == scores[2]
+    seen = {}
+    keep = lambda name, f: lambda self, *a, **b: (f(self, *a, **b), seen.update({name: self}))[0]
+    for kind in (brown.UnitExchange, brown.RareExchange):
+        monkeypatch.setattr(kind, "run", keep(kind.__name__, kind.run))
+    scores = []
+    for counted in (10, 5000):
+        got = class_scores(table(spark, rows), head=10, classes=6, hot=hot, counted=counted, sweeps=2).collect()
+        scores.append(sorted((str(r.doc_id), r.n_tokens, round(r.score, 5)) for r in got))
+    assert scores[0] == scores[1]
+    out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    train = [lower_words(t) for i, t in rows if not out(i)]
+    count = Counter(w for t in train for w in t)
+    units, of = seen["UnitExchange"], seen["UnitExchange"].of
+    frequent = sorted(count, key=lambda w: (-count[w], w))[:hot]
+    groups = of[-brown.GROUPS :]
+    by_id = {r.w: r.cls for r in seen["RareExchange"].state.collect()}
+    cls = {w: int(of[frequent.index(w) + 1]) if w in set(frequent) else by_id[brown.rare_id(w)] for w in count}
+    table_of = recounted(train, cls, 6)
+    kinds = np.bincount([0, *cls.values()], minlength=6)
+    tokens = table_of.sum(0)
+    share = (tokens + 1e-3) / (tokens + 1e-3).sum()
+    want = []
+    for i, t in rows:
+        words = lower_words(t)
+        path = [0, *(cls[w] if w in cls else int(groups[brown.group_of(w)]) for w in words), 0]
+        total = 0.0
+        for word, a, b in zip([*words, None], path, path[1:]):
+            c = len(train) if word is None else count[word]
+            step = (table_of[a, b] + brown.PRIOR * share[b]) / (table_of[a].sum() + brown.PRIOR)
+            total += math.log10(step * (c + 1) / (tokens[b] + kinds[b] + 1))
+        want.append((str(i), len(words) + 1, round(total, 5)))
+    close = [(a, b, pytest.approx(c, abs=1e-4)) for a, b, c in sorted(want)]
+    assert scores[0] == close
