@@ -44,8 +44,13 @@ def climate_monthly(
     The facts are aggregated before they meet the calendar, so only one row per city and month
     reaches the join and no hot city does.
     """
+    return climate_table(observed_months(clean, entity), dim, entity, full_month_days, generated_at)
+
+
+def observed_months(clean: DataFrame, entity: str = "city_id") -> DataFrame:
+    """One row per city and month that has observations."""
     mid_range = (F.col("temperature_2m_max") + F.col("temperature_2m_min")) / 2.0
-    observed = (
+    return (
         accept(clean, CLIMATE_RULES)
         .groupBy(entity, F.month("date").cast("bigint").alias("month_number"))
         .agg(
@@ -57,6 +62,16 @@ def climate_monthly(
             F.stddev_pop(mid_range).alias("mid_std"),
         )
     )
+
+
+def climate_table(
+    observed: DataFrame,
+    dim: DataFrame,
+    entity: str = "city_id",
+    full_month_days: int = FULL_MONTH_DAYS,
+    generated_at: Column | None = None,
+) -> DataFrame:
+    """The calendar of all cities with what ``observed`` (``observed_months``) has of them."""
     months = month_calendar(dim, entity).join(observed, [entity, "month_number"], "left")
     days = F.coalesce("days", F.lit(0).cast("bigint"))
     return months.select(

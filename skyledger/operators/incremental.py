@@ -38,6 +38,26 @@ def within(existing: DataFrame, batch: DataFrame, folder: str, column: str) -> D
     return existing
 
 
+#: Folders of a log. A batch reads those that its keys fall into.
+BUCKETS = 32
+
+
+def in_buckets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the log folder of their keys, ``bucket``; NULLs have a folder as well."""
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+
+
+def of_buckets(log: DataFrame, rows: DataFrame) -> DataFrame:
+    """The folders of ``log`` in which keys of the written ``rows`` can stand; others are not opened.
+
+    Rows of a log without folders, or without one of theirs, are all read.
+    """
+    if "bucket" not in log.columns:
+        return log
+    touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())  # at most BUCKETS
+    return log.filter(F.col("bucket").isin(*touched) | F.col("bucket").isNull())
+
+
 def incremental_insert(
     batch: DataFrame,
     existing: DataFrame,

@@ -131,16 +131,18 @@ def daily_risk(
     dim_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    baseline: DataFrame | None = None,
 ) -> DataFrame:
     """Risk row per clean row: scores against the entity's own temperature baseline.
 
+    ``baseline`` may come from kept state (``moments.baseline_from_state``); else it is aggregated.
     The baseline has at most one row per dimension row, so a broadcastable dimension proves a
     broadcastable baseline. Without one, the baseline is kept and counted first.
     """
     if dim is not None and dim_rows is None:
         dim_rows = dim.count()
     base = risk_base(clean, dim, entity, dim_rows=dim_rows, broadcast_rows=broadcast_rows)
-    baseline = temp_baseline(base, entity)
+    baseline = temp_baseline(base, entity) if baseline is None else baseline
     proven = dim_rows if dim_rows is not None and dim_rows <= broadcast_rows else None
     rows = lookup_join(
         base,

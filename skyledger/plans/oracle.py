@@ -314,6 +314,13 @@ SELECT city_id, city_name, {_DAY}, temperature_2m_max, temperature_2m_min, preci
   {_r2("ref")} AS temperature_reference_c FROM base""",
     "temp_baseline": f"""{_risk("city_id")}
 SELECT DISTINCT city_id, {_r2("avg_ref")} AS baseline_avg, {_r2("std_ref")} AS baseline_std FROM framed""",
+    "risk_baseline_state": f"""{_risk("city_id")},
+baselines AS (SELECT DISTINCT city_id, avg_ref, std_ref FROM framed)
+SELECT w.city_id, w.month AS month_number, count(*) AS days, {_r2("avg(w.precipitation_sum)")} AS avg_rain,
+  {_r2("stddev_pop((w.temperature_2m_max + w.temperature_2m_min) / 2)")} AS variability,
+  {_r2("any_value(avg_ref)")} AS baseline_avg, {_r2("any_value(std_ref)")} AS baseline_std
+FROM clean w JOIN baselines b ON b.city_id = w.city_id WHERE w.windspeed_10m_max IS NOT NULL
+GROUP BY w.city_id, w.month""",
     "temp_ladder": f"{_risk('station_id')} SELECT station_id, city_name, {_DAY}, {_SCORES} FROM risk",
     "risk_level_dist": f"{_risk('city_id')} SELECT city_id, risk_level, count(*) AS days FROM risk GROUP BY ALL",
     "clamp_score": """
@@ -333,6 +340,8 @@ SELECT obs_id, city_id, {_DAY}, {_MEASURES} FROM clean n
 WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.city_id = n.city_id AND e.date = n.date)""",
     "dq_invariants": f"{_risk('city_id')},{_CLIMATE},{_EVENTS} "
     + " UNION ALL ".join(_invariant(*rule) for rule in _INVARIANTS),
+    "dq_gate": f"{_risk('city_id')},{_CLIMATE},{_EVENTS} "
+    + " UNION ALL ".join(_invariant(*rule) for rule in _INVARIANTS if rule[2] != "ONE_ROW_PER_MONTH"),
     "month_calendar": f"""{_TYPED},{_MONTHS}
 SELECT c.city_id, c.city_name, m.month_number, m.month_name, m.season, count(t.date) AS days
 FROM cities c JOIN months m ON TRUE LEFT JOIN typed t ON t.city_id = c.city_id AND t.month = m.month_number

@@ -28,8 +28,17 @@ from skyledger.operators.envelope import (
 )
 from skyledger.operators.events import FROST, HEAT_WAVE, HEAVY_RAIN, HIGH_WIND, STORM, Detector, extreme_events, in_report_order
 from skyledger.operators.incremental import incremental_insert
-from skyledger.operators.invariants import invariants
+from skyledger.operators.invariants import (
+    REPORT_SCHEMA,
+    Watched,
+    climate_rules,
+    event_rules,
+    invariants,
+    risk_rules,
+    silver_rules,
+)
 from skyledger.operators.joins import lookup_join
+from skyledger.operators.moments import baseline_from_state, merge_states, months_from_state, weather_state
 from skyledger.operators.quality import accept, quarantine
 from skyledger.operators.risk import daily_risk, risk_base, risk_level_counts, temp_baseline
 from skyledger.plans import fixture
@@ -80,6 +89,27 @@ def q_temp_baseline(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_risk_baseline_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Baselines and months of a state that three inserts added to, each without the rows before it."""
+    rows = _accepted(spark, sf).select("obs_id", "city_id", "date", *DAILY_VARIABLES)
+    state = None
+    for part in range(3):
+        added = weather_state(rows.filter(F.col("obs_id") % 3 == part))
+        state = keep(added if state is None else merge_states([state, added]))
+    known = state.join(cities_dim(spark).select("city_id"), "city_id", "left_semi")
+    months = months_from_state(known)
+    risk = baseline_from_state(known)
+    return months.join(risk, "city_id").select(
+        "city_id",
+        "month_number",
+        "days",
+        round2(F.col("rain_mm")).alias("avg_rain"),
+        round2(F.col("mid_std")).alias("variability"),
+        round2(F.col("baseline_avg")).alias("baseline_avg"),
+        round2(F.col("baseline_std")).alias("baseline_std"),
+    )
+
+
 def q_temp_ladder(spark: SparkSession, sf: str) -> DataFrame:
     """Risk per station. Stations with one row have no deviation and take the step score."""
     return _with_iso_date(daily_risk(_accepted(spark, sf), entity="station_id"))
@@ -141,6 +171,21 @@ def q_dq_invariants(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_dq_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Violations as they are observed while each layer is written; the tables are read by nobody."""
+    typed = Watched(fixture.typed_observations(spark, sf), "silver", silver_rules())
+    clean = accept(_stored(typed.rows, "typed"))
+    layers = [
+        Watched(daily_risk(clean, cities_dim(spark), dim_rows=len(CITIES)), "daily_risk", risk_rules()),
+        Watched(climate_monthly(clean, cities_dim(spark)), "climate_monthly", climate_rules()),
+        Watched(extreme_events(clean), "extreme_events", event_rules()),
+    ]
+    for layer in layers:
+        _stored(layer.rows, layer.name)
+    found = [line for layer in (typed, *layers) for line in layer.report()]
+    return spark.createDataFrame(found, REPORT_SCHEMA)  # a line for each rule
+
+
 def q_month_calendar(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar rows with the number of dated observations of their city and month."""
     dated = fixture.typed_observations(spark, sf).filter("date IS NOT NULL")
@@ -337,6 +382,7 @@ QUERIES: dict[str, Query] = {
     "daily_risk": q_daily_risk,
     "risk_base": q_risk_base,
     "temp_baseline": q_temp_baseline,
+    "risk_baseline_state": q_risk_baseline_state,
     "temp_ladder": q_temp_ladder,
     "clamp_score": q_clamp_score,
     "round2": q_round2,
@@ -345,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "quarantine": q_quarantine,
     "silver_incremental": q_silver_incremental,
     "dq_invariants": q_dq_invariants,
+    "dq_gate": q_dq_gate,
     "month_calendar": q_month_calendar,
     "climate_monthly": q_climate_monthly,
     "extreme_events": q_extreme_events,

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.session import shared_dir
 from skyledger.sources.schemas import ddl
@@ -34,11 +35,18 @@ def append(rows: DataFrame, name: str, rebalance_by: tuple[str, ...] | None = No
     if rebalance_by is not None:
         rows = rows.hint("rebalance", *rebalance_by)
     columns = rows.sparkSession.table(name).columns
+    if "batch_id" in columns and "batch_id" not in rows.columns:  # of no batch
+        rows = rows.withColumn("batch_id", F.lit(None).cast("string"))
     rows.select(*columns).write.insertInto(name)
 
 
 def replace(
-    rows: DataFrame, name: str, sort_by: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()
+    rows: DataFrame,
+    name: str,
+    sort_by: tuple[str, ...] = (),
+    partition_by: tuple[str, ...] = (),
+    *,
+    gate: Callable[[], None] | None = None,
 ) -> None:
     """Create or replace a table in one step, whatever happens on the way.
 
@@ -47,7 +55,8 @@ def replace(
     the one before are dropped, as a running reader may still need that one. A crash before the
     switch leaves the old rows, one after it the new rows; what it left lying is dropped by the
     next run that comes through. ``sort_by`` orders rows within each file, so that readers can
-    skip row groups; ``partition_by`` names folders.
+    skip row groups; ``partition_by`` names folders. ``gate`` runs when
+    the version is written; if it raises, the version is dropped and the view stays.
     """
     spark = rows.sparkSession
     version = f"{name}__v{time.time_ns()}"
@@ -55,6 +64,12 @@ def replace(
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     writer = rows.write.format("parquet")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(version)
+    if gate is not None:
+        try:
+            gate()
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+            raise
     previous = current_version(spark, name)
     _adopt(spark, name)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
@@ -64,6 +79,16 @@ def replace(
             spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
+def in_ranges(rows: DataFrame, partition_by: tuple[str, ...], sort_by: tuple[str, ...]) -> DataFrame:
+    """``rows`` dealt out so that the files of a folder are disjoint ranges of ``sort_by``.
+
+    Rows that tie are told apart by a hash of all columns, so a day with very many rows fills several
+    files instead of one task; their ranges are disjoint in that hash.
+    """
+    keys = [F.col(c) for c in (*partition_by, *sort_by)]
+    return rows.repartitionByRange(*keys, F.xxhash64(*rows.columns))
+
+
 def versions(spark: SparkSession, name: str) -> list[str]:
     """Versions of a replaced table that exist, oldest first."""
     database, _, table = name.rpartition(".")

@@ -1,8 +1,8 @@
 """Landed files to Silver as a stream: each run reads only files that no earlier run read.
 
 The batch refresh parses all staged payloads every time. Here the checkpoint remembers the files
-seen. A micro-batch may be replayed after a failure; both inserts consult their target, so a
-replay adds nothing. Gold needs whole-history baselines and stays a batch rebuild.
+seen. A micro-batch may be replayed after a failure; all its appends are one batch, and the inserts
+consult their targets, so a replay adds what is missing and nothing else. Gold needs whole-history baselines and stays a batch rebuild.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from skyledger.sources.bronze import (
     line_columns,
     require_directory,
 )
-from skyledger.sources.tables import append, written_once
+from skyledger.sources.commits import Batch
+from skyledger.sources.tables import written_once
 
 
 def landing_stream(
@@ -51,17 +52,15 @@ def landing_stream(
     landed = file_columns(files.load(root)).unionByName(line_columns(lines.load(root)))
     checked = envelope_fields(landed)
 
-    def insert(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        with written_once(batch) as files:
+    def insert(landed: DataFrame, _: int) -> None:
+        session = landed.sparkSession
+        with written_once(landed) as files, Batch(session, layers.batches) as batch:
             # A bad file is logged, and those behind it go on.
-            log_new(rejected(files), layers.landing_rejects, ("path", "payload_sha256"))
+            log_new(rejected(files), layers.landing_rejects, ("path", "payload_sha256"), batch)
             documents = staging_rows(valid(files), store_uri)
-            staged = within(session.table(layers.raw), documents, "extraction_date", "extraction_date")
-            with written_once(dedup_staging(documents, staged)) as new:
-                # Staging comes last: it is what makes a replay skip a document.
-                insert_parsed(typed_daily(parse_daily(new)), layers, log_once=True)
-                append(new, layers.raw, rebalance_by=("extraction_date",))
+            staged = within(batch.visible(layers.raw), documents, "extraction_date", "extraction_date")
+            new = batch.add(dedup_staging(documents, staged), layers.raw, ("extraction_date",))
+            insert_parsed(typed_daily(parse_daily(new)), layers, batch, log_once=True)
 
     return (
         checked.writeStream.foreachBatch(insert)
