@@ -4,15 +4,15 @@ A stretch of bytes is read into a fragment: the tokens before its first common e
 group may have begun further left), the closed groups, and the tokens after its last common end
 (open to the right). Fragments of neighbouring stretches compose, and it does not matter in which
 order: fragments are a monoid. A long document is cut into byte ranges whose fragments are made by
-different tasks and composed by a tree; a common text is composed from the remembered fragments of
-its units, the runs of text up to a blank, where both tokenizers cut in any case.
+different tasks and composed by a tree. The fragments of texts that fit one range are closed, and
+those of many texts are made at once on flat arrays.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -21,23 +21,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.bpe import byte_letters, token_names
+from skyledger.llm.bpe import token_names
 from skyledger.llm.common import batch_of, narrow, written
-from skyledger.llm.tokens import vocabulary
+from skyledger.llm.tokens import ByteLevel, PlainEncoder, encoder, has_other_space, vocabulary
 
 #: Characters of a document that one task reads alone, and bytes of the ranges of longer ones.
 PIECE = 1 << 15
 CHUNK = 1 << 14
 #: Fragments of so many ranges meet in one row at each level of the tree.
 FAN = 4
-#: Remembered units, and texts that are read at a time.
-UNITS = 150_000
-TEXTS = 500
+#: Texts that are read at a time.
+TEXTS = 300
+#: Remembered parts of texts; beyond that nothing more is remembered.
+PARTS = 400_000
 #: Pairs of ids, the most frequent ones, whose counts every task holds; the others are joined.
 HELD_PAIRS = 1_000_000
 
 # Both tokenizers cut before a blank or line feed that follows no white space of any kind.
-_UNIT = re.compile(r"[ \n]*[^ \n]+(?:(?<=\s)[ \n]+[^ \n]*)*|[ \n]+")
 _SAFE = re.compile(r"\S(?=[ \n])")
 
 
@@ -90,92 +90,196 @@ def closed(whole: Fragment) -> str:
     return f"{spelled(whole.a, whole.b)};{whole.groups}" if whole.groups else spelled(whole.a, whole.b)
 
 
-class Unit(NamedTuple):
-    n_a: int
-    n_b: int
-    groups: str
-    links: bytes
-    a: Sequence[int]
-    b: Sequence[int]
-
+def split_joined(units: list[str], encode: Callable[[str], list[int]], sizes: np.ndarray) -> list[bytes]:
+    """The ids of each unit from one text that is made of all of them.
 
-class Aligner:
-    """Both tokenizers, and what they returned for units seen before."""
+    A unit that begins with a blank goes on where the one before it ends; the others have a line
+    feed before them, whose ids are dropped. No unit ends in white space. ``sizes`` are the bytes of
+    each id, which in all are those of the text.
+    """
+    raw = [u.encode() for u in units]
+    lengths = np.array([len(r) for r in raw], np.int64)
+    apart = np.array([r[:1] != b" " for r in raw])
+    ends = np.cumsum(lengths + apart)
+    ids = np.array(encode("".join([u if u[:1] == " " else "\n" + u for u in units])), np.int64)
+    upto = np.cumsum(sizes[ids])
+    if len(units) and (not len(upto) or upto[-1] != ends[-1]):
+        raise ValueError("the ids do not give the text back")
+    stops = np.searchsorted(upto, ends) + 1
+    starts = np.searchsorted(upto, ends - lengths, side="right")
+    flat = ids.astype("<u4").tobytes()
+    return [flat[i:j] for i, j in zip((starts * 4).tolist(), (stops * 4).tolist(), strict=True)]
+
+
+class PieceEncoder:
+    """Ids of a model that puts a blank before a text; ``sizes`` has the bytes of each piece.
+
+    Texts are cut at every blank and line feed, and parts are remembered with the blank before them.
+    """
 
-    def __init__(self, path_a: str, path_b: str) -> None:
+    def __init__(self, path: str) -> None:
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path_a)
-        self.tokenizer.encode_special_tokens = True  # their strings in texts are plain text
-        byte_of = {c: b for b, c in enumerate(byte_letters())}
-        self.bytes_a = [bytes(byte_of.get(c, 0) for c in name) for name in token_names(path_a)]
-        self.pieces = SentencePieceProcessor(model_file=path_b)
-        self.size_b = self.pieces.get_piece_size()
-        names = [self.pieces.id_to_piece(i) for i in range(self.size_b)]
-        byte = self.pieces.is_byte
-        self.bytes_b = [
+
+        self.pieces = SentencePieceProcessor(model_file=path)
+        byte, count = self.pieces.is_byte, self.pieces.get_piece_size()
+        names = [self.pieces.id_to_piece(i) for i in range(count)]
+        self.spelled = [
             bytes([int(n[3:5], 16)]) if byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)
         ]
-        # Units are cut only if no piece reaches over a place where a blank or line feed begins.
-        self.cuts = not any(re.search(r"[^▁\s][▁ \n]", n) for i, n in enumerate(names) if not byte(i))
-        self.known: dict[str, Unit | None] = {}
+        self.sizes = np.array([len(s) for s in self.spelled], np.int64)
+        # Texts are cut only if no piece reaches over a place where a blank begins or a line ends.
+        over = re.compile(r"[^▁\s][▁ \n]|\n.", re.DOTALL)
+        self.cuts = not any(over.search(n) for i, n in enumerate(names) if not byte(i))
+        blank, self.feed = (np.array(self.pieces.encode("a" + space)[1:], "<u4").tobytes() for space in " \n")
+        #: Parts by whether they have a blank before them.
+        self.bare: dict[str, bytes] = {"": b""}
+        self.after_blank: dict[str, bytes] = {"": blank}
+
+    def _whole(self, spaced: str) -> bytes:
+        """The ids of a text that begins with the blank that the model puts there; none if bytes get lost.
+
+        Where no blank is to be added, a letter is put before the text and its piece dropped.
+        """
+        bare = len(spaced) > 1 and spaced[0] == " "
+        ids = self.pieces.encode(spaced[1:]) if bare else self.pieces.encode("a" + spaced)[1:]
+        if b"".join(map(self.spelled.__getitem__, ids)) != spaced.encode():
+            return b""
+        return np.array(ids, "<u4").tobytes()
+
+    def _unknown(self, parts: list[str]) -> list[bytes]:
+        text = "".join([p if p[:1] == " " else "\n" + p for p in parts])
+        read = self.pieces.encode("a" + text)[1:]
+        if b"".join(map(self.spelled.__getitem__, read)) != text.encode():
+            raise ValueError("bytes get lost")
+        return split_joined(parts, lambda _: read, self.sizes)
+
+    def _is_simple(self, text: str) -> bool:
+        """Whether blanks and line feeds stand alone and are the only white space."""
+        if not self.cuts or "▁" in text or any(two in text for two in ("  ", "\n\n", " \n", "\n ")):
+            return False
+        return not has_other_space(text)
+
+    def _in_parts(self, texts: list[str]) -> list[bytes]:
+        """A part takes the blank before it along, unless a line feed stands there, which is a part."""
+        bare, after_blank, rows, missing = self.bare.get, self.after_blank.get, [], set()
+        for text in texts:
+            parts: list[str] = []
+            ids: list[bytes | None] = []
+            begins = []
+            for line in text.split("\n"):
+                if parts:
+                    parts.append("\n")
+                    ids.append(self.feed)
+                words = line.split(" ")
+                begins.append(len(parts))
+                parts += words
+                ids.append(bare(words[0]))
+                ids += map(after_blank, words[1:])
+            holes = [i for i, found in enumerate(ids) if found is None] if None in ids else []
+            first = set(begins)
+            units = [parts[i] if i in first else " " + parts[i] for i in holes]
+            missing.update(units)
+            rows.append((ids, holes, units))
+        fresh = list(missing)
+        new = dict(zip(fresh, self._unknown(fresh), strict=True))
+        if len(self.after_blank) + len(self.bare) < PARTS:
+            for unit, found in new.items():
+                if len(unit) < 50:
+                    (self.after_blank if unit[0] == " " else self.bare)[unit.removeprefix(" ")] = found
+        for ids, holes, units in rows:
+            for i, unit in zip(holes, units, strict=True):
+                ids[i] = new[unit]
+        return [b"".join(ids) for ids, _, _ in rows]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that begin with the model's blank, or go on without one."""
+        simple = [self._is_simple(t) for t in texts]
+        try:
+            found = iter(self._in_parts([t for t, s in zip(texts, simple, strict=True) if s]))
+        except ValueError:  # some text loses bytes: all are read by themselves
+            return [self._whole(t) for t in texts]
+        return [next(found) if s else self._whole(t) for t, s in zip(texts, simple, strict=True)]
+
+
+def _found(ends: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which of ``ends`` are ``among`` others; both ascend."""
+    if not len(among):
+        return np.zeros(len(ends), bool)
+    return among[np.minimum(np.searchsorted(among, ends), len(among) - 1)] == ends
 
-    def units(self, spaced: str) -> list[str]:
-        return _UNIT.findall(spaced) if self.cuts else [spaced]
+
+class Aligner:
+    """Both tokenizers, and what they returned for parts of texts seen before."""
+
+    def __init__(self, path_a: str, path_b: str) -> None:
+        self.a = encoder(path_a, ByteLevel, PlainEncoder)
+        self.b = PieceEncoder(path_b)
+        self.sizes_a = np.array([len(name) for name in token_names(path_a)], np.int64)  # a letter for a byte
+        self.size_a, self.size_b = len(self.sizes_a), len(self.b.sizes)
+        self.marked = [f"{i}{mark}" for i in range(self.size_a) for mark in ",|"]
+        self.marked += [f"{i}{mark}" for i in range(self.size_b) for mark in ",;"]
 
     def pieces_of(self, text: str, size: int) -> list[str]:
         """The text with a blank before it, cut where both tokenizers cut in any case."""
         spaced, out, at = " " + text, [], 0
-        while self.cuts and len(spaced) - at > size and (found := _SAFE.search(spaced, at + size - 1)):
+        while self.b.cuts and len(spaced) - at > size and (found := _SAFE.search(spaced, at + size - 1)):
             out.append(spaced[at : found.end()])
             at = found.end()
         return [*out, spaced[at:]]
 
-    def _read(self, units: list[str]) -> dict[str, Unit | None]:
-        found_a = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        # The model puts a blank before a text that is not empty. What begins with another character,
-        # or is one blank, has a letter put before it, whose piece is dropped.
-        bare = [len(u) > 1 and u[0] == " " for u in units]
-        texts = [u[1:] if is_bare else "a" + u for u, is_bare in zip(units, bare, strict=True)]
-        found_b = self.pieces.encode(texts, num_threads=1)
-        new = {}
-        for unit, is_bare, a, b in zip(units, bare, found_a, found_b, strict=True):
-            b = b if is_bare else b[1:]
-            size = unit.encode()
-            if b"".join([self.bytes_a[i] for i in a]) != size or b"".join([self.bytes_b[i] for i in b]) != size:
-                new[unit] = None
-                continue
-            made = fragment(a, self.ends(a, self.bytes_a), b, self.ends(b, self.bytes_b), self.size_b)
-            new[unit] = Unit(len(a), len(b), closed(made), made.links, a, b)
-        return new
-
-    @staticmethod
-    def ends(ids: Sequence[int], held: list[bytes]) -> list[int]:
-        return np.cumsum([len(held[i]) for i in ids]).tolist()
-
-    def read(self, texts: list[str]) -> list[list[Unit] | None]:
-        """The units of texts with a blank before them; None where bytes get lost."""
-        cut = [self.units(t) for t in texts]
-        missing = list({u for units in cut for u in units if u not in self.known})
-        new = self._read(missing) if missing else {}
-        if len(self.known) < UNITS:
-            self.known |= {u: f for u, f in new.items() if len(u) < 50}
-        found = [[self.known[u] if u in self.known else new[u] for u in units] for units in cut]
-        return [None if None in units else units for units in found]
-
-    def ranges(self, units: list[Unit], start: int, chunk_size: int) -> Iterator[tuple[int, Fragment]]:
+    def read(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """The ids of both for texts that begin with a blank or line feed; none where bytes get lost."""
+        a, b = self.a.encode(texts), self.b.encode(texts)
+        for i, text in enumerate(texts):
+            size = len(text.encode())
+            if any(sizes[np.frombuffer(x[i], "<u4")].sum() != size for x, sizes in ((a, self.sizes_a), (b, self.b.sizes))):
+                a[i] = b[i] = b""
+        return a, b
+
+    def finish(self, texts: list[str]) -> list[list]:
+        """``n_a, n_b, n_groups, groups_sha256, pairs, times`` of whole texts with a blank before them."""
+        read = self.read(texts)
+        counts = [np.array([len(x) // 4 for x in ids], np.int64) for ids in read]
+        a, b = (np.frombuffer(b"".join(ids), "<u4").astype(np.int64) for ids in read)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.b.sizes[b])
+        # Texts stand one after another, and each ends in an end of both.
+        last_a, last_b = _found(ends_a, ends_b), _found(ends_b, ends_a)
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        upto_a, upto_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        # In the spelling a group's ids of A stand after all ids of B of the groups before it.
+        items = np.zeros(len(a) + len(b), np.int64)
+        shift = 2 * self.size_a
+        items[np.arange(len(a)) + np.append(0, upto_b)[group_a]] = 2 * a + last_a
+        items[np.arange(len(b)) + upto_a[group_b]] = shift + 2 * b + last_b
+        words = list(map(self.marked.__getitem__, items.tolist()))
+        links = a[last_a] * self.size_b + b[last_b]
+        stops = [np.cumsum(c) for c in counts]
+        spots = stops[0] + stops[1]
+        n_groups = np.diff(np.searchsorted(upto_a, stops[0], side="right"), prepend=0)
+        owner = np.repeat(np.arange(len(texts)), n_groups)
+        keys, times = np.unique(owner.astype(np.uint64) << np.uint64(40) | links.astype(np.uint64), return_counts=True)
+        of = (keys >> np.uint64(40)).astype(np.int64)
+        pairs = (keys & np.uint64((1 << 40) - 1)).astype("<u8").tobytes()
+        times = times.astype("<u4").tobytes()
+        bounds = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+        out, begin = [], 0
+        for i, (n_a, n_b, n, end) in enumerate(
+            zip(counts[0].tolist(), counts[1].tolist(), n_groups.tolist(), spots.tolist(), strict=True)
+        ):
+            j, k = bounds[i], bounds[i + 1]
+            digest = _digest("".join(words[begin:end])[:-1]) if n else ""
+            out.append([n_a, n_b, n, digest, pairs[8 * j : 8 * k], times[4 * j : 4 * k]])
+            begin = end
+        return out
+
+    def ranges(self, piece: str, start: int, chunk_size: int) -> Iterator[tuple[int, Fragment, int, int]]:
         """The fragments of the byte ranges that a stretch beginning at byte ``start`` touches."""
-        sides = []
-        for side, held in (("a", self.bytes_a), ("b", self.bytes_b)):
-            ids = np.array([i for u in units for i in getattr(u, side)], np.int64)
-            ends = start + np.cumsum([len(held[i]) for i in ids])
-            sides.append((ids, ends, (ends - 1) // chunk_size))
-        (a, a_ends, of_a), (b, b_ends, of_b) = sides
-        for chunk in np.unique(np.concatenate([of_a, of_b])).tolist():
-            mine_a, mine_b = of_a == chunk, of_b == chunk
-            parts = (a[mine_a], a_ends[mine_a], b[mine_b], b_ends[mine_b])
-            yield chunk, fragment(*(p.tolist() for p in parts), self.size_b)
+        ids = [np.frombuffer(x[0], "<u4").astype(np.int64) for x in self.read([piece])]
+        ends = [start + np.cumsum(sizes[i]) for i, sizes in zip(ids, (self.sizes_a, self.b.sizes), strict=True)]
+        chunks = [(e - 1) // chunk_size for e in ends]
+        for chunk in np.unique(np.concatenate(chunks)).tolist():
+            parts = [x[c == chunk].tolist() for i, e, c in zip(ids, ends, chunks, strict=True) for x in (i, e)]
+            yield chunk, fragment(*parts, self.size_b), len(parts[0]), len(parts[2])
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -240,15 +344,6 @@ _FRAGMENTS_DDL = (
 _NOTHING = [0, 0, 0, "", b"", b""]
 
 
-def _finished(units: list[Unit] | None) -> list:
-    if not units:
-        return _NOTHING
-    links = b"".join(map(itemgetter(3), units))
-    digest = _digest(";".join(map(itemgetter(2), units)))
-    counts = [sum(map(itemgetter(0), units)), sum(map(itemgetter(1), units)), len(links) // 8]
-    return [*counts, digest, *_distinct(links)]
-
-
 def _read_documents(path_a: str, path_b: str, size: int):
     """Finished rows of common documents, and pieces of long ones for other tasks."""
 
@@ -266,8 +361,8 @@ def _read_documents(path_a: str, path_b: str, size: int):
                             start += len(piece.encode())
                     else:
                         waiting.append((row["uid"], row["doc_id"], cut))
-                found = iter(both.read([cut[0] for *_, cut in waiting if cut]))
-                rows += [[u, d, *_finished(next(found) if cut else None), None, None] for u, d, cut in waiting]
+                found = iter(both.finish([cut[0] for *_, cut in waiting if cut]))
+                rows += [[u, d, *(next(found) if cut else _NOTHING), None, None] for u, d, cut in waiting]
                 yield batch_of(_ROWS, *zip(*rows, strict=True))
 
     return run
@@ -278,15 +373,12 @@ def _read_pieces(path_a: str, path_b: str, chunk_size: int):
         both = aligner(path_a, path_b)
         for batch in batches:
             for row in batch.to_pylist():
-                uid, doc_id, start, (units,) = row["uid"], row["doc_id"], row["start"], both.read([row["piece"]])
-                if units is None:
-                    made = [[uid, doc_id, start // chunk_size, start, False, 0, 0, *EMPTY]]
-                else:
-                    n = (sum(u.n_a for u in units), sum(u.n_b for u in units))
-                    made = [
-                        [uid, doc_id, chunk, start, True, *(n if k == 0 else (0, 0)), *found]
-                        for k, (chunk, found) in enumerate(both.ranges(units, start, chunk_size))
-                    ]
+                uid, doc_id, start = row["uid"], row["doc_id"], row["start"]
+                made = [
+                    [uid, doc_id, chunk, start, True, n_a, n_b, *found]
+                    for chunk, found, n_a, n_b in both.ranges(row["piece"], start, chunk_size)
+                ]
+                made = made or [[uid, doc_id, start // chunk_size, start, False, 0, 0, *EMPTY]]
                 yield batch_of(_FRAGMENTS, *zip(*made, strict=True))
 
     return run

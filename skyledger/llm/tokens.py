@@ -16,11 +16,13 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Remembered units; beyond that nothing more is remembered.
-UNITS = 300_000
+UNITS = 500_000
 #: Below U+0250 Unicode's classes have not changed for long and nothing composes or decomposes.
 _PLAIN = re.compile(r"[\x00-ɏ]*")
 #: White space other than blank and line feed: such texts are not cut.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+#: White space other than blank and line feed, as far as it is Latin-1.
+_ODD = ("\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0")
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 
 
@@ -33,6 +35,24 @@ def _read(path: str, words_only: bool):
     return tokenizer
 
 
+def in_latin_1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def is_plain(text: str) -> bool:
+    """Whether all characters are below U+0250."""
+    return in_latin_1(text) or bool(_PLAIN.fullmatch(text))
+
+
+def has_other_space(text: str) -> bool:
+    """Whether there is white space other than blanks and line feeds."""
+    return any(odd in text for odd in _ODD) or (not in_latin_1(text) and bool(_OTHER_SPACE.search(text)))
+
+
 class ByteLevel:
     """A byte-level BPE that keeps white space: a word takes one blank before it along."""
 
@@ -44,9 +64,9 @@ class ByteLevel:
 
     def units(self, text: str) -> tuple[list[str], bool]:
         """The units, and whether they are words."""
-        if _OTHER_SPACE.search(text):
+        if has_other_space(text):
             return [text], False
-        plain = bool(_PLAIN.fullmatch(text))
+        plain = is_plain(text)
         return (self.word if plain else self.unit).findall(text), plain
 
 
@@ -60,7 +80,7 @@ class WordLevel:
     def units(self, text: str) -> tuple[list[str], bool]:
         """The units, and whether they are words."""
         lower = text.lower()  # some capitals have lower forms that the classes do not reach
-        if _PLAIN.fullmatch(text) and _PLAIN.fullmatch(lower) and not _OTHER_SPACE.search(text):
+        if is_plain(text) and is_plain(lower) and not has_other_space(text):
             return self.word.findall(lower), True
         return text.replace("\n", " ").split(" "), False
 
@@ -79,8 +99,17 @@ class Encoder:
 
     def _ids(self, units: list[str], words: bool) -> list[bytes]:
         """The ids of units that are not remembered; ``words``: they need no cutting."""
-        found = self.libraries[words].encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        if not words:
+            found = self.libraries[False].encode_batch_fast(units, add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() for e in found]
+        out = []
+        for at in range(0, len(units), 5000):  # words go as one list, and come back as one
+            some = units[at : at + 5000]
+            read = self.libraries[True].encode(some, is_pretokenized=True, add_special_tokens=False)
+            flat = np.array(read.ids, "<u4").tobytes()
+            stops = np.searchsorted(np.array(read.word_ids, np.int64), np.arange(len(some) + 1)) * 4
+            out += [flat[i:j] for i, j in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
+        return out
 
     def _new(self, units: list[str], words: bool) -> dict[str, bytes]:
         new = dict(zip(units, self._ids(units, words), strict=True))
@@ -129,6 +158,16 @@ class Encoder:
         return [b"".join(parts) for _, parts, _ in rows]
 
 
+class PlainEncoder(Encoder):
+    """Strings of special tokens are ordinary text."""
+
+    def __init__(self, path: str, style: ByteLevel | WordLevel) -> None:
+        super().__init__(path, style)
+        self.specials = None
+        for library in self.libraries.values():
+            library.encode_special_tokens = True
+
+
 _ENCODERS: dict[tuple[str, type, type], Encoder] = {}
 
 

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from fixtures import awkward, prose, table
 from skyledger.llm.alignment import EMPTY, Aligner, align, closed, compose, fragment
+from skyledger.llm.bpe import byte_letters
 from skyledger.llm.tokens import vocabulary
 
 A = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
@@ -22,6 +23,11 @@ B = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.mo
 SIZE = B.get_piece_size()
 BOTH = Aligner(vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
+BYTE_OF = {c: b for b, c in enumerate(byte_letters())}
+BYTES_A = [bytes(BYTE_OF.get(c, 0) for c in A.id_to_token(i)) for i in range(A.get_vocab_size())]
+BYTES_B = [b"" if B.is_control(i) or B.is_unknown(i) else bytes([int(B.id_to_piece(i)[3:5], 16)]) if B.is_byte(i)
+           else B.id_to_piece(i).replace("▁", " ").encode() for i in range(SIZE)]
+
 TRICKY = [
     "a▁b", "\nx", "  two  blanks ", "x\ty \t z\n\n w ", "<|endoftext|> <s></s> <0x41>", "\x00a \x1cb\x85 c  d", " ", "\n",
     "é ́ 漢字 かな 😀😀 \U0001f468‍\U0001f469", "12345  67", "it's they'll", "a  b 　　 c", "\t  ", "!\x1c !\n !",
@@ -33,10 +39,10 @@ def groups_of(text):
     want = (" " + text).encode() if text else b""
     a = A.encode(" " + text, add_special_tokens=False).ids if text else []
     b = B.encode(text) if text else []
-    if b"".join(BOTH.bytes_a[i] for i in a) != want or b"".join(BOTH.bytes_b[i] for i in b) != want:
+    if b"".join(BYTES_A[i] for i in a) != want or b"".join(BYTES_B[i] for i in b) != want:
         return []
     ends = []
-    for ids, held in ((a, BOTH.bytes_a), (b, BOTH.bytes_b)):
+    for ids, held in ((a, BYTES_A), (b, BYTES_B)):
         at, found = 0, []
         for i in ids:
             at += len(held[i])
@@ -67,7 +73,7 @@ def brute_force(rows):
         out.append((
             i or 0, sum(len(a) for a, _ in found), sum(len(b) for _, b in found), len(found), len(links),
             sum(counts[x] == highest[x[1]] for x in links), sum(counts[x] for x in links),
-            hashlib.sha256(spelled(found).encode()).hexdigest() if found else "",
+            digest(found),
         ))
     return sorted(out)
 
@@ -77,21 +83,36 @@ def rows_of(df):
     return sorted((r.doc_id or 0, *(r[c] for c in names)) for r in df.collect())
 
 
-def own_groups(text):
-    (units,) = BOTH.read([" " + text])
-    return "" if units is None else ";".join(u.groups for u in units)
+def digest(groups):
+    return hashlib.sha256(spelled(groups).encode()).hexdigest() if groups else ""
+
+
+def own(*texts):
+    return [(n_a, n_b, n, sha) for n_a, n_b, n, sha, *_ in BOTH.finish([" " + t for t in texts])]
+
+
+def wanted(*texts):
+    found = [groups_of(t) for t in texts]
+    return [(sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), digest(g)) for g in found]
 
 
 @pytest.mark.parametrize("text", TRICKY)
 def test_units_are_cut_where_both_tokenizers_cut(text):
-    assert BOTH.cuts
-    assert own_groups(text) == spelled(groups_of(text))
+    assert BOTH.b.cuts
+    assert own(text) == wanted(text)
+    assert own("one two", text, "three", text) == wanted("one two", text, "three", text)
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="aB' \n\t\r\x1c é1_.!́字😀▁", min_size=1, max_size=40))
-def test_units_of_any_text(text):
-    assert own_groups(text) == spelled(groups_of(text))
+@given(st.lists(st.text(alphabet="aB' \n\t\r\x1c é1_.!́字😀▁", min_size=1, max_size=40), min_size=1, max_size=4))
+def test_units_of_any_text(texts):
+    assert own(*texts) == wanted(*texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aB'é1.", min_size=1, max_size=9), min_size=1, max_size=9), st.sampled_from([" ", "\n"]))
+def test_simple_texts(words, space):
+    assert own(space.join(words)) == wanted(space.join(words))
 
 
 @pytest.mark.parametrize("seed", range(20))

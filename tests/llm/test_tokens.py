@@ -33,6 +33,7 @@ TRICKY = [
     "it's IT'S they'LL 'st ''s don't\n\n  two  blanks \n mixed\t tab\r\n end ",
     " lead", "\nlead", "trail ", "a b c \x1c d\x85e", "<|endoftext|> <|startoftext|> x",
     "<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|startoftext|>B <|endoftext|>\n\n c <|END|> <<|endoftext|>é ", "<b> < |endoftext|>",
+    " ", "\n", "a\nb c\n", "\n a", " a\n", "a\n\nb", "a b\u00a0c", "a\u2003b 字 c\n字", "x\n", "\nx y", "don't\n'tis it's 'll",
     "ẞtraße ΣΑΣ Σ İstanbul ﬁ é ́ a ́b", "漢字 かな 한글 😀😀 12345 ½²³ x²", "#### $$$ a_b-c", "\x00 \x07",
 ]
 
@@ -59,13 +60,11 @@ def test_full_memory_changes_nothing(style, monkeypatch):
 @given(st.lists(st.text(alphabet="aB' \n\t\r é1²_.!́ßΣ", max_size=40), max_size=4))
 def test_units_of_any_text(texts):
     for style in (ByteLevel, WordLevel):
-        encoder = ENCODERS.setdefault(style, Encoder(vocabulary(NAMES[style]), style()))
+        encoder = tokens.encoder(vocabulary(NAMES[style]), style)
         found = [np.frombuffer(f, "<u4").tolist() for f in encoder.encode(texts)]
         assert found == [library(style, t) for t in texts]
 
 
-ENCODERS = {}
-
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.just(0), st.integers(0, 1), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), min_size=1, max_size=90), max_size=6))
