@@ -229,6 +229,18 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def undisputed(scored: Column) -> Column:
+    """Of scored spans the best, then each next best that overlaps none of those taken before it."""
+    order = lambda c: F.struct(c["score"], c["size"], c["early"])
+    better = lambda c, d: F.when(order(c) > order(d), -1).when(order(c) < order(d), 1).otherwise(0)
+    ranked = F.array_sort(scored, better)
+    return F.aggregate(
+        ranked,
+        F.slice(ranked, 1, 0),
+        lambda taken, c: F.when(F.exists(taken, lambda t: _overlap(t, c)), taken).otherwise(F.array_append(taken, c)),
+    )
+
+
 def pii_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precision: float = 0.95
 ) -> DataFrame:
@@ -289,14 +301,6 @@ def pii_spans(
         ),
     )
     likely = F.filter(scored, lambda c: c["score"] >= threshold - 1e-9)
-    order = lambda c: F.struct(c["score"], c["size"], c["early"])
-
-    def undisputed(all_likely: Column) -> Column:
-        return F.filter(
-            all_likely,
-            lambda c: ~F.exists(all_likely, lambda d: _overlap(c, d) & (order(d) > order(c))),
-        )
-
     added = F.transform(
         _let(likely, undisputed),
         lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), c["end"].alias("end")),
@@ -329,7 +333,8 @@ def _fit(
 def redact_pii(docs: DataFrame, precision: float = 0.95, mark: str = "[PII]") -> DataFrame:
     """All rows and columns of ``docs``, each stretch of personal data in ``text`` replaced.
 
-    ``n_chars``, if there, follows a text that changed.
+    ``n_chars``, if there, follows a text that changed. Null and empty texts stay as they are, and rows
+    that are equal in id and text change alike.
     """
     found = pii_spans(docs, precision=precision).filter(F.size("spans") > 0)
     found = found.select("row_key", "spans").dropDuplicates(["row_key"])

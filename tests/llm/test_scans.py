@@ -124,13 +124,51 @@ def test_network_finds_secrets_of_other_names_and_spares_numbers(spark):
     assert sum(bool(spans[i]) for i in plain) <= 0.05 * len(plain)
 
 
+def test_windows_reach_every_place_of_a_candidate():
+    text = "before " + "p" * 60 + "q" * 61 + " after"
+    windows = secrets.windows_of(text, 7, 7 + 121)
+    rows = [windows[i : i + secrets.WINDOW] for i in range(0, len(windows), secrets.WINDOW)]
+    bodies = [r[secrets.LEFT : secrets.LEFT + secrets.BODY] for r in rows]
+    places = {b[i : i + secrets.WIDTH] for b in bodies for i in range(secrets.BODY - secrets.WIDTH + 1)}
+    run = text[7 : 7 + 121].encode()
+    assert {run[i : i + secrets.WIDTH] for i in range(len(run) - secrets.WIDTH + 1)} <= places
+    assert rows[0].startswith(b"\0" * 17 + b"before ") and rows[-1].endswith(b" after\0\0")
+    assert not any(r[: secrets.LEFT].strip(b"\0") for r in rows[1:])
+    for size in (1, 39, 40, 41, 76, 77):
+        assert len(secrets.windows_of("x" * size, 0, size)) == secrets.WINDOW * (1 if size <= 40 else 2 if size <= 76 else 3)
+
+
+def test_long_candidates_and_those_without_a_digit(spark):
+    """A value behind 60 characters of path, and one of letters alone, among words that are none."""
+    rng = random.Random(8)
+    path = "/" + "/".join("folder" for _ in range(9)) + "/"
+    hexa = "".join(rng.choices("0123456789abcdef", k=22))
+    letters = "".join(rng.choices("abcdef", k=22))
+    findings = [(x["window"], x["label"]) for _, t in planted("secrets") for x in secrets.scan(t)[1]]
+    model = secrets.train(findings)
+
+    def score(text):
+        windows = [x["window"] for x in secrets.scan(text)[1]]
+        return model.probability(secrets._codes(windows), secrets._sizes(windows))
+
+    # What stands at the end of a long run counts as what stands at its begin does.
+    assert score(f"see {path}{hexa} end")[0] > score(f"see {path}folder end")[0]
+    assert score(f"see {'x' * 60}{hexa} end")[0] > score(f"see {'x' * 82} end")[0]
+    # The network, and no test before it, judges runs of letters.
+    seen = secrets.scan(f"auth {letters} end internationalization")[1]
+    assert [(x["start"], x["digit"], x["label"]) for x in seen] == [(5, False, 0), (32, False, 0)]
+    rows = planted("secrets") + [(4, "internationalization straightforwardness")]
+    got = {r.doc_id: [s.kind for s in r.spans] for r in secret_spans(table(spark, rows)).collect()}
+    assert got[4] == []
+
+
 def test_training_is_calibrated_and_recalls():
     findings = []
     for _, text in planted("secrets"):
         findings += [(s["window"], s["label"]) for s in secrets.scan(text)[1]]
     model = secrets.train(findings, recall=0.98)
-    codes = secrets._codes([w for w, _ in findings])
-    p = model.probability(codes)
+    windows = [w for w, _ in findings]
+    p = model.probability(secrets._codes(windows), secrets._sizes(windows))
     good = [x for x, (_, y) in zip(p, findings, strict=True) if y]
     assert sum(x >= model.threshold for x in good) >= 0.95 * len(good)
     assert 0.5 <= model.threshold <= 1
@@ -217,3 +255,16 @@ def test_personal_data_is_found_without_python(spark):
     plan = pii._proposals(F.col("text"))
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(pii._base(F.col("text")), plan)
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString())
+
+
+def test_of_overlapping_proposals_each_is_kept_that_no_kept_one_covers(spark):
+    """A chain: the best takes the middle one along, and the last stays."""
+    from skyledger.llm import pii
+
+    spans = [(0, 10, 0.9), (8, 14, 0.8), (12, 20, 0.7), (30, 34, 0.7), (32, 36, 0.7)]
+    rows = spark.createDataFrame([([{"start": a, "end": b, "score": s} for a, b, s in spans],)],
+                                 "c array<struct<start: int, end: int, score: double>>")
+    scored = F.transform("c", lambda c: F.struct(c["score"].alias("score"), (c["end"] - c["start"]).alias("size"),
+                                                 (-c["start"]).alias("early"), c["start"].alias("start"), c["end"].alias("end")))
+    (got,) = rows.select(pii.undisputed(scored).alias("k")).first()
+    assert sorted((x.start, x.end) for x in got) == [(0, 10), (12, 20), (30, 34)]
