@@ -169,7 +169,15 @@ def quality_verdicts(
 
 
 def drop_low_quality(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that ``quality_verdicts`` keeps, with all their columns.
+
+    Needs the columns ``doc_id``, ``text`` and ``source``. A verdict belongs to a text and its host: of
+    copies on two hosts the one on a rejected host goes and the other stays. Rows with null or empty
+    texts go; rows without host or id are judged like any other, and equal rows alike.
+    """
     verdicts = quality_verdicts(docs, max_rate=max_rate)
-    gone = verdicts.filter(~F.col("kept")).select("row_key").distinct()
-    return keyed_rows(docs).join(gone, "row_key", "left_anti").select("row.*")
+    host = F.coalesce(F.col("host"), F.lit("")), F.col("host").isNull()
+    gone = verdicts.filter(~F.col("kept")).select(F.xxhash64("row_key", *host).alias("verdict_key")).distinct()
+    source = F.col("row.source").cast("string")
+    own = F.xxhash64("row_key", F.coalesce(source, F.lit("")), source.isNull())
+    return keyed_rows(docs).withColumn("verdict_key", own).join(gone, "verdict_key", "left_anti").select("row.*")

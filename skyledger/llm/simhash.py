@@ -148,7 +148,9 @@ def simhash_groups(
 def one_per_group(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their group, with all their columns.
 
-    Rows repeated under one doc_id count as one document and stay together.
+    Rows that share a doc_id are judged by their own texts: each stays if no text of its group has a
+    smaller id. Null and empty texts are a group of their own, as are rows without an id among
+    themselves only where no other row of the group has one.
     """
     groups = simhash_groups(docs, shingle=shingle, distance=distance)
     kept = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))

@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from fixtures import awkward, table
+from fixtures import awkward, table, prose
 from skyledger.llm.common import table as given
 from skyledger.llm.common import written
 from skyledger.llm.decontaminate import contamination, is_contaminated
@@ -79,3 +79,19 @@ def test_every_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in names if k != "pipeline") == list(range(1, 11))
     assert "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_copies_on_two_hosts_are_judged_by_host(spark):
+    """One id and text under a good and a rejected host: the stage keeps what the verdict keeps."""
+    from skyledger.llm.quality_rules import drop_low_quality, quality_verdicts
+
+    good = prose(80, 61)
+    rows = [(i, "short", "bad") for i in range(40)] + [(100 + i, prose(60, 70 + i), "good") for i in range(40)]
+    rows += [(7777, good, "bad"), (7777, good, "good"), (None, good, "bad"), (None, good, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = quality_verdicts(docs).filter("kept").count()
+    left = drop_low_quality(docs)
+    assert left.count() == kept == 42
+    assert sorted((str(r.doc_id), str(r.source)) for r in left.filter(F.col("text") == good).collect()) == [
+        ("7777", "good"), ("None", "None")
+    ]
