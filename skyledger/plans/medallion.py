@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators.cities import configured_cities
 from skyledger.operators.climate import climate_table, observed_months
 from skyledger.operators.daily import parse_daily, typed_daily
 from skyledger.operators.envelope import (
@@ -39,7 +40,7 @@ from skyledger.operators.moments import (
 )
 from skyledger.operators.quality import quarantine
 from skyledger.operators.risk import daily_risk
-from skyledger.sources.bronze import landed_bytes, read_landing, write_bronze
+from skyledger.sources.bronze import landed_bytes, load_cities, read_landing, write_bronze
 from skyledger.sources.dimensions import cities_dim, weathercode_dim
 from skyledger.sources.schemas import (
     DAILY_CLEAN_COLUMNS,
@@ -210,18 +211,20 @@ def refresh_silver(
     run_at: datetime | None = None,
     log_once: bool = False,
     batch: Batch | None = None,
+    cities: str | None = None,
 ) -> None:
     """Rebuild the dimensions, then insert accepted unseen rows and log the rejects.
 
     The whole staging table is parsed, once. Rejects are logged again on every run unless
-    ``log_once`` is set. All appends are one batch, or part of ``batch``, whose owner commits it.
+    ``log_once`` is set. ``cities`` is the path of a city configuration; without one the dimension has
+    the built-in cities. All appends are one batch, or part of ``batch``, whose owner commits it.
     """
     create_silver(spark, layers)
     if batch is None:
         with Batch(spark, layers.batches) as own:
-            refresh_silver(spark, layers, run_at=run_at, log_once=log_once, batch=own)
+            refresh_silver(spark, layers, run_at=run_at, log_once=log_once, batch=own, cities=cities)
         return
-    replace(cities_dim(spark), layers.cities)
+    replace(cities_dim(spark) if cities is None else configured_cities(load_cities(spark, cities)), layers.cities)
     replace(weathercode_dim(spark), layers.codes)
     parsed = typed_daily(parse_daily(batch.visible(layers.raw)))
     insert_parsed(parsed, layers, batch, run_at=run_at, log_once=log_once)
@@ -286,11 +289,17 @@ def refresh_gold(spark: SparkSession, layers: Layers = Layers(), *, run_at: date
 
 
 def run_all(
-    spark: SparkSession, root: str, store_uri: str, layers: Layers = Layers(), *, run_at: datetime | None = None
+    spark: SparkSession,
+    root: str,
+    store_uri: str,
+    layers: Layers = Layers(),
+    *,
+    run_at: datetime | None = None,
+    cities: str | None = None,
 ) -> None:
     """Landed files to Gold. Staging, Silver and all logs are one batch, there whole or not at all."""
     create_silver(spark, layers)
     with Batch(spark, layers.batches) as batch:
         stage_landing(spark, root, store_uri, layers, run_at=run_at, batch=batch)
-        refresh_silver(spark, layers, run_at=run_at, batch=batch)
+        refresh_silver(spark, layers, run_at=run_at, batch=batch, cities=cities)
     refresh_gold(spark, layers, run_at=run_at)

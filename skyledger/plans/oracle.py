@@ -354,6 +354,10 @@ GROUP BY ALL""",
     "event_high_wind": _event_query("HIGH_WIND"),
     "event_storm": _event_query("STORM"),
     "cities_dim": f"{_TYPED} SELECT c.*, count(*) AS days FROM clean w JOIN cities c USING (city_id) GROUP BY ALL",
+    "cities_config": """
+SELECT lower(replace(n_name, ' ', '_')) AS city_id, n_name AS city_name, n_nationkey / CAST(2 AS DOUBLE) AS latitude,
+  n_regionkey * CAST(-1.5 AS DOUBLE) AS longitude, CAST(n_nationkey * 10 AS BIGINT) AS elevation_m,
+  CAST(NULL AS VARCHAR) AS department, CAST(NULL AS VARCHAR) AS region FROM nation""",
     "weathercode_dim": f"""{_TYPED}, codes AS ({_CODES})
 SELECT coalesce(t.weathercode, codes.weathercode) AS weathercode, weather_description, count(t.obs_id) AS days
 FROM typed t FULL JOIN codes ON codes.weathercode = t.weathercode GROUP BY ALL""",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.jsontext import json_scalar, member
 from skyledger.functions.labels import city_key
 from skyledger.functions.numeric import clamp, round2
+from skyledger.operators.cities import configured_cities
 from skyledger.operators.climate import climate_monthly, month_calendar
 from skyledger.operators.daily import parse_daily, typed_daily
 from skyledger.operators.envelope import (
@@ -43,7 +44,7 @@ from skyledger.operators.quality import accept, quarantine
 from skyledger.operators.risk import daily_risk, risk_base, risk_level_counts, temp_baseline
 from skyledger.plans import fixture
 from skyledger.session import keep, shared_dir
-from skyledger.sources.bronze import bronze_path, file_columns, read_bronze, read_landing, write_bronze, write_landing
+from skyledger.sources.bronze import bronze_path, file_columns, load_cities, read_bronze, read_landing, write_bronze, write_landing
 from skyledger.sources.dimensions import CITIES, cities_dim, weathercode_dim
 from skyledger.sources.schemas import DAILY_VARIABLES
 
@@ -217,6 +218,21 @@ def q_cities_dim(spark: SparkSession, sf: str) -> DataFrame:
     return joined.groupBy(*cities_dim(spark).columns).agg(F.count("*").alias("days"))
 
 
+def q_cities_config(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimension of a written configuration that has a city for each nation."""
+    city = F.struct(
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"),
+        F.col("n_name").alias("name"),
+        (F.col("n_nationkey") / 2.0).alias("lat"),
+        (F.col("n_regionkey") * -1.5).alias("lon"),
+        (F.col("n_nationkey") * 10).alias("elevation_m"),
+    )
+    nations = fixture.table(spark, sf, "nation").agg(F.collect_list(city).alias("cities"))
+    folder = _folder(spark, "config")
+    nations.select(F.to_json(F.struct("cities")).alias("value")).coalesce(1).write.text(folder)
+    return configured_cities(load_cities(spark, folder))
+
+
 def q_weathercode_dim(spark: SparkSession, sf: str) -> DataFrame:
     """Observations by weather code: codes without a description and codes never seen are kept."""
     days = fixture.observations(spark, sf).groupBy("weathercode").agg(F.count("*").alias("days"))
@@ -401,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "event_high_wind": _detector_query(HIGH_WIND),
     "event_storm": _detector_query(STORM),
     "cities_dim": q_cities_dim,
+    "cities_config": q_cities_config,
     "weathercode_dim": q_weathercode_dim,
     "city_key": q_city_key,
     "typed_daily": q_typed_daily,

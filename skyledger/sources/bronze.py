@@ -82,7 +82,7 @@ def load_cities(spark: SparkSession, path: str) -> DataFrame:
         F.from_json(text, "cities array<string>").getField("cities").alias("cities")
     )
     if config.filter(F.size("cities") > 0).isEmpty():
-        raise ValueError(f"{path} has no list of cities")
+        raise ValueError(f"{path}: 'cities' is not a list with entries")
     records = config.select(F.posexplode("cities").alias("position", "record")).select(
         (F.col("position") + 1).alias("position"),
         F.from_json("record", "map<string, string>").alias("city"),
@@ -91,14 +91,14 @@ def load_cities(spark: SparkSession, path: str) -> DataFrame:
     missing = F.array_except(F.array(*[F.lit(name) for name in REQUIRED_CITY]), keys)
     latitude, longitude = safe_double(F.col("city.lat")), safe_double(F.col("city.lon"))
     problem = (
-        F.when(F.col("city").isNull(), "must be a JSON object")
-        .when(F.size(missing) > 0, F.concat(F.lit("is missing fields: "), F.concat_ws(", ", missing)))
-        .when(latitude.isNull() | longitude.isNull(), "has invalid lat/lon values")
+        F.when(F.col("city").isNull(), "is no object")
+        .when(F.size(missing) > 0, F.concat(F.lit("lacks "), F.concat_ws(", ", missing)))
+        .when(latitude.isNull() | longitude.isNull(), "lies at no place: lat or lon is no number")
     )
     bad = records.select("position", problem.alias("problem")).filter("problem IS NOT NULL")
     first = bad.orderBy("position").first()
     if first is not None:
-        raise ValueError(f"city record #{first.position} {first.problem}")
+        raise ValueError(f"{path}: entry {first.position} {first.problem}")
     return records.select(
         F.col("city.id").alias("city_id"),
         F.col("city.name").alias("city_name"),

@@ -287,11 +287,11 @@ def test_city_config(spark, tmp_path):
 @pytest.mark.parametrize(
     ("cities", "message"),
     [
-        ([], "has no list of cities"),
-        ("x", "has no list of cities"),
-        ([{"id": "a", "name": "A", "lat": 1, "lon": 2}, 5], "#2 must be a JSON object"),
-        ([{"id": "a", "lat": 1}], "#1 is missing fields: lon, name"),
-        ([{"id": "a", "name": "A", "lat": "north", "lon": 2}], "#1 has invalid lat/lon"),
+        ([], "not a list with entries"),
+        ("x", "not a list with entries"),
+        ([{"id": "a", "name": "A", "lat": 1, "lon": 2}, 5], "entry 2 is no object"),
+        ([{"id": "a", "lat": 1}], "entry 1 lacks lon, name"),
+        ([{"id": "a", "name": "A", "lat": "north", "lon": 2}], "entry 1 lies at no place"),
     ],
 )
 def test_bad_city_config(spark, tmp_path, cities, message):

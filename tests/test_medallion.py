@@ -66,6 +66,22 @@ def test_files_to_gold_and_rerun(spark, layers, tmp_path):
     assert spark.table(layers.rejects).count() == 4
 
 
+def test_a_configured_city_reaches_gold(spark, layers, tmp_path):
+    """A city that is not built in, and one whose key is not its id."""
+    config = tmp_path / "cities.json"
+    cities = [{"id": "rio", "name": "Rio Negro", "lat": -1, "lon": 2.5, "elevation_m": 7.4},
+              {"id": "scz", "name": "Santa Cruz de la Sierra", "lat": -17, "lon": -63}]
+    config.write_text(json.dumps({"cities": cities}))
+    land(tmp_path / "in", "a.json", payload("Rio Negro", ["2024-01-01"]))
+    land(tmp_path / "in", "b.json", payload("Santa Cruz de la Sierra", ["2024-01-02"]))
+    land(tmp_path / "in", "c.json", payload("La Paz", ["2024-01-03"]))
+    run_all(spark, str(tmp_path / "in"), "s", layers, cities=str(config))
+    found = {r.city_id: (r.elevation_m, r.department) for r in spark.table(layers.cities).collect()}
+    assert found == {"rio_negro": (7, None), "santa_cruz": (None, "Santa Cruz")}
+    assert sorted(r.city_id for r in spark.table(layers.risk).collect()) == ["rio_negro", "santa_cruz"]
+    assert spark.table(layers.climate).count() == 24
+
+
 def test_first_write_wins(spark, layers, tmp_path):
     land(tmp_path, "f.json", payload("La Paz", ["2024-01-01"], "forecast", temperature_2m_max=[25.0]))
     stage_landing(spark, str(tmp_path), "s", layers)
