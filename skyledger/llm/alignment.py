@@ -32,8 +32,9 @@ CHUNK = 1 << 14
 FAN = 4
 #: Texts that are read at a time.
 TEXTS = 300
+PIECES = 20
 #: Remembered parts of texts; beyond that nothing more is remembered.
-PARTS = 400_000
+PARTS = 220_000
 #: Pairs of ids, the most frequent ones, whose counts every task holds; the others are joined.
 HELD_PAIRS = 1_000_000
 
@@ -213,6 +214,7 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a = encoder(path_a, ByteLevel, PlainEncoder)
+        self.a.most = PARTS
         self.b = PieceEncoder(path_b)
         self.sizes_a = np.array([len(name) for name in token_names(path_a)], np.int64)  # a letter for a byte
         self.size_a, self.size_b = len(self.sizes_a), len(self.b.sizes)
@@ -272,9 +274,12 @@ class Aligner:
             begin = end
         return out
 
-    def ranges(self, piece: str, start: int, chunk_size: int) -> Iterator[tuple[int, Fragment, int, int]]:
-        """The fragments of the byte ranges that a stretch beginning at byte ``start`` touches."""
-        ids = [np.frombuffer(x[0], "<u4").astype(np.int64) for x in self.read([piece])]
+    def ranges(self, read: list[bytes], start: int, chunk_size: int) -> Iterator[tuple[int, Fragment, int, int]]:
+        """The fragments of the byte ranges that a stretch beginning at byte ``start`` touches.
+
+        ``read`` has the ids of both for the stretch.
+        """
+        ids = [np.frombuffer(x, "<u4").astype(np.int64) for x in read]
         ends = [start + np.cumsum(sizes[i]) for i, sizes in zip(ids, (self.sizes_a, self.b.sizes), strict=True)]
         chunks = [(e - 1) // chunk_size for e in ends]
         for chunk in np.unique(np.concatenate(chunks)).tolist():
@@ -372,41 +377,49 @@ def _read_pieces(path_a: str, path_b: str, chunk_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
         for batch in batches:
-            for row in batch.to_pylist():
-                uid, doc_id, start = row["uid"], row["doc_id"], row["start"]
-                made = [
-                    [uid, doc_id, chunk, start, True, n_a, n_b, *found]
-                    for chunk, found, n_a, n_b in both.ranges(row["piece"], start, chunk_size)
-                ]
-                made = made or [[uid, doc_id, start // chunk_size, start, False, 0, 0, *EMPTY]]
-                yield batch_of(_FRAGMENTS, *zip(*made, strict=True))
+            for at in range(0, batch.num_rows, PIECES):
+                rows = batch.slice(at, PIECES).to_pylist()
+                found = zip(*both.read([row["piece"] for row in rows]), strict=True)
+                for row, read in zip(rows, found, strict=True):
+                    uid, doc_id, start = row["uid"], row["doc_id"], row["start"]
+                    made = [
+                        [uid, doc_id, chunk, start, True, n_a, n_b, *part]
+                        for chunk, part, n_a, n_b in both.ranges(list(read), start, chunk_size)
+                    ]
+                    made = made or [[uid, doc_id, start // chunk_size, start, False, 0, 0, *EMPTY]]
+                    yield batch_of(_FRAGMENTS, *zip(*made, strict=True))
 
     return run
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as objects, one at a time: each may be a whole long document."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield from batch.slice(at, 1).to_pylist()
+
+
 def _compose_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One fragment of each list of neighbouring ones."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            parts = sorted(row["parts"], key=itemgetter("chunk", "at"))
-            whole = EMPTY
-            for part in parts:
-                whole = compose(whole, Fragment(*(part[f] for f in Fragment._fields)))
-            counts = [sum(p["n_a"] for p in parts), sum(p["n_b"] for p in parts)]
-            good = all(p["good"] for p in parts)
-            head = [row["uid"], parts[0]["doc_id"], row["up"], parts[0]["at"], good, *counts]
-            yield batch_of(_FRAGMENTS, *([v] for v in [*head, *whole]))
+    for row in _one_by_one(batches):
+        parts = sorted(row["parts"], key=itemgetter("chunk", "at"))
+        whole = EMPTY
+        for part in parts:
+            whole = compose(whole, Fragment(*(part[f] for f in Fragment._fields)))
+        counts = [sum(p["n_a"] for p in parts), sum(p["n_b"] for p in parts)]
+        good = all(p["good"] for p in parts)
+        head = [row["uid"], parts[0]["doc_id"], row["up"], parts[0]["at"], good, *counts]
+        yield batch_of(_FRAGMENTS, *([v] for v in [*head, *whole]))
 
 
 def _finish_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            whole = Fragment(*(row[f] for f in Fragment._fields))
-            made = _NOTHING
-            if row["good"]:
-                links = len(whole.links) // 8
-                made = [row["n_a"], row["n_b"], links, _digest(closed(whole)), *_distinct(whole.links)]
-            yield batch_of(_ROWS, *([v] for v in [row["uid"], row["doc_id"], *made, None, None]))
+    for row in _one_by_one(batches):
+        whole = Fragment(*(row[f] for f in Fragment._fields))
+        made = _NOTHING
+        if row["good"]:
+            links = len(whole.links) // 8
+            made = [row["n_a"], row["n_b"], links, _digest(closed(whole)), *_distinct(whole.links)]
+        yield batch_of(_ROWS, *([v] for v in [row["uid"], row["doc_id"], *made, None, None]))
 
 
 def _long_documents(pieces: DataFrame, path_a: str, path_b: str, chunk: int, fan: int) -> DataFrame:

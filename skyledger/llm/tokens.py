@@ -16,7 +16,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Remembered units; beyond that nothing more is remembered.
-UNITS = 500_000
+UNITS = 400_000
 #: Below U+0250 Unicode's classes have not changed for long and nothing composes or decomposes.
 _PLAIN = re.compile(r"[\x00-ɏ]*")
 #: White space other than blank and line feed: such texts are not cut.
@@ -88,6 +88,9 @@ class WordLevel:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
+    #: Remembered units where not ``UNITS``.
+    most: int | None = None
+
     def __init__(self, path: str, style: ByteLevel | WordLevel) -> None:
         self.style = style
         self.libraries = {words_only: _read(path, words_only) for words_only in (True, False)}
@@ -113,7 +116,7 @@ class Encoder:
 
     def _new(self, units: list[str], words: bool) -> dict[str, bytes]:
         new = dict(zip(units, self._ids(units, words), strict=True))
-        if len(self.known) < UNITS:
+        if len(self.known) < (self.most or UNITS):
             self.known |= {u: ids for u, ids in new.items() if len(u) < 100}
         return new
 
