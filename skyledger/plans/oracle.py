@@ -337,6 +337,10 @@ FROM (SELECT *, l_extendedprice * (1 - l_discount) * (1 + l_tax)
     "silver_incremental": f"""{_TYPED},
 existing AS (SELECT * FROM clean WHERE obs_id % 4 = 0)
 SELECT obs_id, city_id, {_DAY}, {_MEASURES} FROM clean n
+WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.city_id = n.city_id AND e.date = n.date)""",
+    "backfill_insert": f"""{_TYPED},
+existing AS (SELECT * FROM clean WHERE obs_id % 4 = 1)
+SELECT obs_id, city_id, {_DAY}, {_MEASURES} FROM clean n
 WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.city_id = n.city_id AND e.date = n.date)""",
     "dq_invariants": f"{_risk('city_id')},{_CLIMATE},{_EVENTS} "
     + " UNION ALL ".join(_invariant(*rule) for rule in _INVARIANTS),

@@ -28,7 +28,7 @@ from skyledger.operators.envelope import (
     staging_rows,
 )
 from skyledger.operators.events import FROST, HEAT_WAVE, HEAVY_RAIN, HIGH_WIND, STORM, Detector, extreme_events, in_report_order
-from skyledger.operators.incremental import incremental_insert
+from skyledger.operators.incremental import SILVER_KEYS, incremental_insert
 from skyledger.operators.invariants import (
     REPORT_SCHEMA,
     Watched,
@@ -46,7 +46,11 @@ from skyledger.plans import fixture
 from skyledger.session import keep, shared_dir
 from skyledger.sources.bronze import bronze_path, file_columns, load_cities, read_bronze, read_landing, write_bronze, write_landing
 from skyledger.sources.dimensions import CITIES, cities_dim, weathercode_dim
-from skyledger.sources.schemas import DAILY_VARIABLES
+from skyledger.sources.schemas import DAILY_CLEAN_COLUMNS, DAILY_VARIABLES
+from skyledger.sources.tables import append_bucketed, ensure_bucketed
+
+#: Buckets of the stored keys in ``backfill_insert``; a large history takes a few thousand.
+HISTORY_BUCKETS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,6 +156,18 @@ def q_silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return incremental_insert(batch, existing).select("obs_id", "city_id", _iso("date"), *DAILY_VARIABLES)
 
 
+def q_backfill_insert(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of all years against a history whose keys lie in buckets: only the batch is shuffled."""
+    batch = fixture.typed_observations(spark, sf)
+    name = f"history_{uuid.uuid4().hex}"
+    kinds = {key: DAILY_CLEAN_COLUMNS[key] for key in SILVER_KEYS}
+    ensure_bucketed(spark, name, kinds, SILVER_KEYS, HISTORY_BUCKETS, _folder(spark, "history"))
+    history = accept(batch).filter("obs_id % 4 = 1")
+    append_bucketed(history.select(*SILVER_KEYS), name, SILVER_KEYS, HISTORY_BUCKETS)
+    new = incremental_insert(batch, spark.table(name))
+    return new.select("obs_id", "city_id", _iso("date"), *DAILY_VARIABLES)
+
+
 def _stored(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written once, as a layer's table is, and read back."""
     path = _folder(rows.sparkSession, name)
@@ -406,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "silver_accept": q_silver_accept,
     "quarantine": q_quarantine,
     "silver_incremental": q_silver_incremental,
+    "backfill_insert": q_backfill_insert,
     "dq_invariants": q_dq_invariants,
     "dq_gate": q_dq_gate,
     "month_calendar": q_month_calendar,

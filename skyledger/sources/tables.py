@@ -26,6 +26,25 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(columns)}) USING parquet{clause}")
 
 
+def ensure_bucketed(
+    spark: SparkSession, name: str, columns: dict[str, str], keys: tuple[str, ...], buckets: int, path: str | None = None
+) -> None:
+    """Create a parquet table dealt into buckets by ``keys`` unless it exists.
+
+    A join or aggregate on just these keys reads it without a shuffle. ``path`` is its folder, if it
+    is not to lie in the warehouse.
+    """
+    by = f"CLUSTERED BY ({', '.join(keys)}) INTO {buckets} BUCKETS"
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(columns)}) USING parquet {by}{place}")
+
+
+def append_bucketed(rows: DataFrame, name: str, keys: tuple[str, ...], buckets: int) -> None:
+    """Insert into a bucketed table, one file for each bucket that has rows."""
+    columns = rows.sparkSession.table(name).columns
+    rows.select(*columns).repartition(buckets, *keys).write.insertInto(name)
+
+
 def append(rows: DataFrame, name: str, rebalance_by: tuple[str, ...] | None = None) -> None:
     """Insert by column name.
 

@@ -15,8 +15,10 @@ from skyledger.operators.envelope import _first_by_path
 from skyledger.operators.events import extreme_events
 from skyledger.operators.quality import accept, quarantine
 from skyledger.operators.risk import daily_risk
+from skyledger.operators.incremental import unseen
 from skyledger.plans import fixture, workload
 from skyledger.sources.dimensions import CITIES, cities_dim
+from skyledger.sources.tables import append_bucketed, ensure_bucketed
 from support import plan_of
 
 
@@ -110,3 +112,23 @@ def test_copies_are_ranked_before_the_shuffle(spark):
     )
     plan = tree(plan_of(_first_by_path(documents.union(documents))))
     assert re.search(r"WindowGroupLimit[\s\S]*Exchange[\s\S]*WindowGroupLimit", plan)
+
+
+def test_a_bucketed_history_is_not_shuffled(spark):
+    """Two appends, so that buckets have several files; the batch alone has an exchange."""
+    keys = ("city_id", "date")
+    rows = spark.range(900).selectExpr("concat('c', id % 9) AS city_id", "date_add(date'2020-01-01', CAST(id / 9 AS INT)) AS date")
+    name = "bucketed_history"
+    ensure_bucketed(spark, name, {"city_id": "string", "date": "date"}, keys, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for part in (0, 1):
+            append_bucketed(rows.filter(f"day(date) % 3 = {part}"), name, keys, 4)
+        new = unseen(rows, spark.table(name), keys)
+        plan = tree(plan_of(new))
+        assert new.count() == rows.filter("day(date) % 3 = 2").count()
+        history = plan[plan.index("Scan parquet") - 400 :] if "Scan parquet" in plan else plan
+        assert shuffles(plan_of(new)) == 1 and "Exchange" not in history[history.index("HashAggregate") :]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE {name}")
