@@ -16,7 +16,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Remembered units; beyond that nothing more is remembered.
-UNITS = 400_000
+UNITS = 1_000_000
 #: Below U+0250 Unicode's classes have not changed for long and nothing composes or decomposes.
 _PLAIN = re.compile(r"[\x00-ɏ]*")
 #: White space other than blank and line feed: such texts are not cut.
