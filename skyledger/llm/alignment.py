@@ -10,6 +10,7 @@ those of many texts are made at once on flat arrays.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -34,7 +35,7 @@ FAN = 4
 TEXTS = 300
 PIECES = 20
 #: Remembered parts of texts; beyond that nothing more is remembered.
-PARTS = 220_000
+PARTS = 180_000
 #: Pairs of ids, the most frequent ones, whose counts every task holds; the others are joined.
 HELD_PAIRS = 1_000_000
 
@@ -290,6 +291,15 @@ class Aligner:
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
+def forget() -> None:
+    """Give up what this worker remembers of texts; steps after the reading have no use for it."""
+    for both in _ALIGNERS.values():
+        both.a.known = {"": b""}
+        both.b.bare, both.b.after_blank = {"": b""}, {"": both.b.after_blank[""]}
+    if _ALIGNERS:
+        gc.collect()
+
+
 def aligner(path_a: str, path_b: str) -> Aligner:
     if (path_a, path_b) not in _ALIGNERS:
         _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
@@ -401,6 +411,7 @@ def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def _compose_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One fragment of each list of neighbouring ones."""
+    forget()
     for row in _one_by_one(batches):
         parts = sorted(row["parts"], key=itemgetter("chunk", "at"))
         whole = EMPTY
@@ -413,6 +424,7 @@ def _compose_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _finish_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for row in _one_by_one(batches):
         whole = Fragment(*(row[f] for f in Fragment._fields))
         made = _NOTHING
@@ -438,6 +450,7 @@ def _long_documents(pieces: DataFrame, path_a: str, path_b: str, chunk: int, fan
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of a few million links at a time, so that a task sends each pair a few times only."""
+    forget()
     schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
     pairs, times, held = [], [], 0
 
