@@ -135,6 +135,8 @@ class MergeEncoder(Encoder):
     tables decide what a letter is.
     """
 
+    most = 400_000  # the decoder's worker stands beside this one
+
     @cached_property
     def merges(self) -> Merges:
         model = json.loads(self.libraries[False].to_str())["model"]

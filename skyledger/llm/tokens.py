@@ -88,8 +88,8 @@ class WordLevel:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    #: Remembered units where not ``UNITS``.
-    most: int | None = None
+    #: Remembered units where fewer than ``UNITS``.
+    most = UNITS
 
     def __init__(self, path: str, style: ByteLevel | WordLevel) -> None:
         self.style = style
@@ -116,7 +116,7 @@ class Encoder:
 
     def _new(self, units: list[str], words: bool) -> dict[str, bytes]:
         new = dict(zip(units, self._ids(units, words), strict=True))
-        if len(self.known) < (self.most or UNITS):
+        if len(self.known) < min(self.most, UNITS):
             self.known |= {u: ids for u, ids in new.items() if len(u) < 100}
         return new
 
