@@ -1,14 +1,17 @@
 """Secret scan: fixed patterns, and a character convolutional network over all other candidates.
 
-A candidate is any run of token characters that is long enough and holds a digit. The network sees
-its characters and those around it. It is trained on the corpus's own labelled findings: values
-that a fixed pattern found are positive, all other candidates negative; both also appear with
-their surroundings blanked, so that the form of the value counts and not its keyword alone.
+A candidate is any run of token characters that is long enough. The network sees its characters and
+those around it. It is trained on all of the corpus's own labelled findings: values that a fixed
+pattern found are positive, all other candidates negative; both also appear with their surroundings
+blanked, so that the form of the value counts and not its keyword alone. Tasks train on one share of
+the findings each, beginning from common parameters, and what they arrive at is averaged. A fourth of
+the findings, kept apart, calibrates the network: tasks score them and count them by score.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +35,13 @@ LEFT, BODY, RIGHT = 24, 40, 8
 WINDOW = LEFT + BODY + RIGHT
 #: Characters that the convolution spans. Windows of a long candidate overlap by one less.
 WIDTH = 5
-#: Findings that the network is trained on, and those kept apart to calibrate it.
-SAMPLE = 4000
+#: Windows in one share of the findings, and rounds in which all shares are trained on and averaged.
+SHARE = 20_000
+ROUNDS = 2
+#: Windows of one step, and those that the first share is shown before the rounds.
+STEP, SHOWN = 64, 24_000
+#: Logits count in steps of one ``GRAIN``th up to ``MOST``, so that all scores are a bounded table.
+GRAIN, MOST = 1024, 60.0
 #: Share of the findings kept apart that a threshold must recall.
 RECALL = 0.98
 
@@ -118,83 +126,115 @@ class CharCNN:
         self.scale, self.shift, self.threshold = 1.0, 0.0, 1.0
         self.segment = np.repeat([0, 128, 256], [LEFT, BODY, RIGHT])
 
-    def _windows(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _maps(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the characters, and every filter at every place."""
         ids = codes.astype(np.int64) + self.segment
-        slides = np.lib.stride_tricks.sliding_window_view(ids, self.width, axis=1)
-        return slides, self.table[slides].reshape(*slides.shape[:2], -1)
-
-    def _forward(self, codes: np.ndarray):
-        slides, inputs = self._windows(codes)
-        maps = inputs @ self.kernel + self.bias
-        top = maps.argmax(1)
-        pooled = np.maximum(np.take_along_axis(maps, top[:, None], 1)[:, 0], 0)
-        return slides, inputs, top, pooled, pooled @ self.weight + self.offset
+        places = ids.shape[1] - self.width + 1
+        maps = np.zeros((len(ids), places, len(self.bias)))
+        for i, part in enumerate(self.kernel.reshape(self.width, self.dims, -1)):
+            each = self.table @ part + self.bias / self.width  # what a character adds at this place
+            maps += np.take(each, ids[:, i : i + places], axis=0, mode="clip")
+        return ids, maps
 
     def logits(self, codes: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
         """One number for each candidate; ``sizes`` has its number of windows, one if not given."""
-        parts = [self._forward(codes[i : i + 512])[-2] for i in range(0, len(codes), 512)]
+        parts = [np.maximum(self._maps(codes[i : i + STEP])[1].max(1), 0) for i in range(0, len(codes), STEP)]
         pooled = np.concatenate([*parts, np.zeros((0, len(self.weight)))])
         if sizes is not None and len(sizes):
             pooled = np.maximum.reduceat(pooled, np.cumsum(sizes) - sizes)
         return pooled @ self.weight + self.offset
 
+    def bins(self, codes: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+        """The logits in whole grains."""
+        return np.rint(np.clip(self.logits(codes, sizes), -MOST, MOST) * GRAIN).astype(np.int64)
+
+    def _calibrated(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -50, 50)))
+
     def probability(self, codes: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(codes, sizes) + self.shift, -50, 50)))
+        return self._calibrated(self.bins(codes, sizes) / GRAIN)
 
     def _gradients(self, codes: np.ndarray, labels: np.ndarray, weights: np.ndarray):
-        slides, inputs, top, pooled, logit = self._forward(codes)
+        ids, maps = self._maps(codes)
+        top = maps.argmax(1)
+        pooled = np.maximum(np.take_along_axis(maps, top[:, None], 1)[:, 0], 0)
+        logit = pooled @ self.weight + self.offset
         error = (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - labels) * weights / len(labels)
         to_pool = error[:, None] * self.weight * (pooled > 0)
-        rows = np.arange(len(codes))[:, None]
-        chosen = inputs[rows, top]  # the input patch of each filter's maximum
+        # The characters under each filter's maximum, and what they are in the table.
+        under = ids[np.arange(len(codes))[:, None, None], top[:, :, None] + np.arange(self.width)]
+        chosen = self.table[under].reshape(*top.shape, -1)
         to_kernel = np.einsum("nfd,nf->df", chosen, to_pool)
-        to_patch = (to_pool[:, :, None] * self.kernel.T).reshape(-1, self.dims)
-        to_table = np.zeros_like(self.table)
-        np.add.at(to_table, slides[rows, top].reshape(-1), to_patch)
+        to_patch = to_pool[:, :, None] * self.kernel.T
+        cells = under[..., None] * self.dims + np.arange(self.dims)
+        to_table = np.bincount(cells.reshape(-1), to_patch.reshape(-1), self.table.size).reshape(self.table.shape)
         return to_table, to_kernel, to_pool.sum(0), pooled.T @ error, error.sum(keepdims=True)
 
-    def fit(self, codes: np.ndarray, labels: np.ndarray, epochs: int = 8, rate: float = 0.01) -> None:
-        """Adam on the logistic loss, the classes weighted alike."""
+    @property
+    def values(self) -> list[np.ndarray]:
+        return [self.table, self.kernel, self.bias, self.weight, self.offset]
+
+    def flat(self) -> np.ndarray:
+        """All parameters in one row."""
+        return np.concatenate([v.reshape(-1) for v in self.values])
+
+    def take(self, flat: np.ndarray) -> None:
+        """Parameters from one row."""
+        at = 0
+        for v in self.values:
+            v[...] = flat[at : at + v.size].reshape(v.shape)
+            at += v.size
+
+    def fit(
+        self, codes: np.ndarray, labels: np.ndarray, weights: np.ndarray, epochs: int = 4, rate: float = 0.01
+    ) -> None:
+        """Adam on the logistic loss."""
         rng = np.random.default_rng(11)
-        share = labels.mean()
-        weights = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-        values = [self.table, self.kernel, self.bias, self.weight, self.offset]
-        first, second = ([np.zeros_like(v) for v in values] for _ in range(2))
+        first, second = ([np.zeros_like(v) for v in self.values] for _ in range(2))
         step = 0
         for _ in range(epochs):
             order = rng.permutation(len(codes))
-            for at in range(0, len(order), 64):
-                pick, step = order[at : at + 64], step + 1
+            for at in range(0, len(order), STEP):
+                pick, step = order[at : at + STEP], step + 1
                 for v, m, s, g in zip(
-                    values, first, second, self._gradients(codes[pick], labels[pick], weights[pick]), strict=True
+                    self.values, first, second, self._gradients(codes[pick], labels[pick], weights[pick]), strict=True
                 ):
                     m += 0.1 * (g - m)
                     s += 0.001 * (g * g - s)
                     v -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
 
-    def calibrate(
-        self, codes: np.ndarray, labels: np.ndarray, recall: float = RECALL, sizes: np.ndarray | None = None
-    ) -> None:
+    def calibrate(self, bins: np.ndarray, labels: np.ndarray, times: np.ndarray, recall: float = RECALL) -> None:
         """Platt scaling, then a threshold that recalls enough of the positives.
 
-        Of those from 0.5 on, the one of the best precision, and the lowest if several are.
+        ``times``: how many findings have this bin and label. Of the thresholds from 0.5 on, the one
+        of the best precision, and the lowest if several are.
         """
-        x = self.logits(codes, sizes)
-        n1, n0 = (labels == 1).sum(), (labels == 0).sum()
+        x = bins / GRAIN
+        n1, n0 = (times[labels == y].sum() for y in (1, 0))
         goal = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
         design, beta = np.column_stack([x, np.ones_like(x)]), np.array([1.0, 0.0])
+
+        def loss(at: np.ndarray) -> float:
+            return float(times @ (np.logaddexp(0, design @ at) - goal * (design @ at)))
+
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(design @ beta, -50, 50)))
-            hessian = design.T @ (design * (p * (1 - p) + 1e-9)[:, None]) + 1e-6 * np.eye(2)
-            beta -= np.clip(np.linalg.solve(hessian, design.T @ (p - goal)), -2, 2)
+            hessian = design.T @ (design * (times * (p * (1 - p) + 1e-9))[:, None]) + 1e-6 * np.eye(2)
+            step = np.clip(np.linalg.solve(hessian, design.T @ (times * (p - goal))), -2, 2)
+            while loss(beta - step) > loss(beta) and np.abs(step).max() > 1e-9:
+                step /= 2
+            beta = beta - step
         self.scale, self.shift = max(float(beta[0]), 1e-3), float(beta[1])
-        found = self.probability(codes, sizes)
-        good, bad = (np.sort(found[labels == y]) for y in (1, 0))
-        highest = good[int((1 - recall) * len(good))]
+        found = self._calibrated(x)
+        order = np.argsort(found, kind="stable")
+        (good, n_good), (bad, n_bad) = (
+            (found[order][labels[order] == y], np.append(0, np.cumsum(times[order][labels[order] == y]))) for y in (1, 0)
+        )
+        highest = good[np.searchsorted(n_good[1:], int((1 - recall) * n1), side="right")]
         tries = np.unique(np.append(np.nextafter(bad, 2.0), 0.5))
         tries = tries[(tries >= 0.5) & (tries <= highest)]
-        hits = len(good) - np.searchsorted(good, tries)
-        misses = len(bad) - np.searchsorted(bad, tries)
+        hits = n1 - n_good[np.searchsorted(good, tries)]
+        misses = n0 - n_bad[np.searchsorted(bad, tries)]
         precision = hits / (hits + misses)
         self.threshold = float(tries[precision.argmax()]) if len(tries) else float(max(highest, 0.5))
 
@@ -213,8 +253,24 @@ def _blanked(codes: np.ndarray) -> np.ndarray:
     return bare
 
 
+def _shown(model: CharCNN, windows: list[bytes], labels: np.ndarray, weights: dict[int, float], epochs: int) -> None:
+    """Train on findings, as they are and with their surroundings blanked; ``weights`` by label."""
+    codes, each = _codes(windows), np.repeat(labels, _sizes(windows))
+    heavy = np.where(each == 1, weights[1], weights[0])
+    model.fit(np.concatenate([codes, _blanked(codes)]), np.tile(each, 2), np.tile(heavy, 2), epochs)
+
+
+def _epochs(size: int) -> int:
+    """How often the first share is shown, by its windows.
+
+    Secrets that no fixed pattern finds are among the negatives. A network that is shown them more
+    often learns them by heart.
+    """
+    return min(max(SHOWN // max(size, 1), 2), 4)
+
+
 def train(findings: list[tuple[bytes, int]], recall: float = RECALL) -> CharCNN | None:
-    """A network from (window, label) findings; None if one of the classes is missing."""
+    """A network from (window, label) findings that are one share; None if one of the classes is missing."""
     labels = np.array([y for _, y in findings], np.float64)
     if len(set(labels.tolist())) < 2:
         return None
@@ -223,12 +279,89 @@ def train(findings: list[tuple[bytes, int]], recall: float = RECALL) -> CharCNN
         apart = np.zeros(len(labels), bool)
     windows = [w for w, _ in findings]
     rest = [w for w, aside in zip(windows, apart.tolist(), strict=True) if not aside]
-    codes, each = _codes(rest), np.repeat(labels[~apart], _sizes(rest))
+    sizes = _sizes(rest)
+    share = np.average(labels[~apart], weights=sizes)
     model = CharCNN()
-    model.fit(np.concatenate([codes, _blanked(codes)]), np.tile(each, 2))
+    _shown(model, rest, labels[~apart], {1: 0.5 / share, 0: 0.5 / (1 - share)}, _epochs(int(sizes.sum())))
     held = apart if apart.any() else ~apart
     kept = [w for w, aside in zip(windows, held.tolist(), strict=True) if aside]
-    model.calibrate(_codes(kept), labels[held], recall, _sizes(kept))
+    model.calibrate(model.bins(_codes(kept), _sizes(kept)), labels[held], np.ones(int(held.sum())), recall)
+    return model
+
+
+def _trained(shares: DataFrame, model: CharCNN, weights: dict[int, float], epochs: int) -> np.ndarray:
+    """The mean of the parameters that tasks arrive at on one share each, weighted by its windows."""
+    shared = shares.sparkSession.sparkContext.broadcast(model.flat())
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fitted() -> pa.RecordBatch:
+            mine = CharCNN()
+            mine.take(shared.value)
+            _shown(mine, windows, np.array(labels, np.float64), weights, epochs)
+            size = sum(map(len, windows)) / WINDOW
+            flat = mine.flat()
+            columns = [pa.array(np.arange(len(flat))), pa.array(flat * size), pa.array(np.full(len(flat), size))]
+            return pa.RecordBatch.from_arrays(columns, names=["at", "value", "size"])
+
+        share, windows, labels = None, [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["share"] != share:
+                    if windows:
+                        yield fitted()
+                    share, windows, labels = row["share"], [], []
+                windows.append(row["window"])
+                labels.append(row["label"])
+        if windows:
+            yield fitted()
+
+    fits = shares.select("share", "window", "label").mapInArrow(fit, "at long, value double, size double")
+    mean = fits.groupBy("at").agg((F.sum("value") / F.sum("size")).alias("value")).orderBy("at").toArrow()
+    return mean["value"].to_numpy()
+
+
+def learn(findings: DataFrame, recall: float = RECALL) -> CharCNN | None:
+    """A network from all rows ``window, label, o``; None if one of the classes is missing.
+
+    ``o`` is a hash that tells findings apart: by it a fourth is kept apart for the calibration, and
+    the others are dealt to shares. The rarer label is shown several times, so that it is a fifth of
+    what a share sees; both labels weigh alike. The first share makes the network that the rounds
+    begin from; each round goes through all shares.
+    """
+    windows = F.length("window") / WINDOW
+    aside = F.pmod("o", F.lit(4)) == 0
+    sums = findings.groupBy("label", aside.alias("apart")).agg(F.sum(windows).alias("n")).collect()
+    size = {(r["label"], r["apart"]): r["n"] for r in sums}
+    if len({y for y, _ in size}) < 2:
+        return None
+    if len(size) < 4:  # too few to keep some apart
+        aside = F.lit(None)
+        size = {(y, False): size.get((y, False), 0) + size.get((y, True), 0) for y in (0, 1)}
+    n = {y: size[y, False] for y in (0, 1)}
+    turns = {y: max(int(n[1 - y] // (4 * n[y])), 1) for y in (0, 1)}
+    rows = {y: n[y] * turns[y] for y in (0, 1)}
+    weights = {y: 0.5 * sum(rows.values()) / rows[y] for y in (0, 1)}
+    count = int(-(-sum(rows.values()) // SHARE))
+    turn = F.explode(F.expr(f"sequence(1, if(label = 1, {turns[1]}, {turns[0]}))")).alias("turn")
+    dealt = findings.filter(~F.coalesce(aside, F.lit(False))).select("window", "label", "o", turn)
+    dealt = dealt.withColumn("o", F.xxhash64("o", "turn")).drop("turn").repartition(count, "o")
+    dealt = dealt.sortWithinPartitions("o", "window", "label").withColumn("share", F.spark_partition_id())
+    shares = written(dealt, "shares")
+    model = CharCNN()
+    first = shares.agg(F.min("share")).first()[0]
+    model.take(_trained(shares.filter(F.col("share") == first), model, weights, _epochs(int(sum(rows.values()) / count))))
+    for _ in range(ROUNDS if count > 1 else 0):
+        model.take(_trained(shares, model, weights, 1))
+    shared = findings.sparkSession.sparkContext.broadcast(model)
+
+    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        seen = batch["window"].to_pylist()
+        found = shared.value.bins(_codes(seen), _sizes(seen))
+        return pa.RecordBatch.from_arrays([pa.array(found), batch["label"]], names=["bin", "label"])
+
+    held = findings.filter(F.coalesce(aside, F.lit(True))).select("window", "label")
+    table = map_slices(held, score, "bin long, label int").groupBy("bin", "label").count().toArrow()
+    model.calibrate(*(table[c].to_numpy().astype(np.float64) for c in ("bin", "label", "count")), recall)
     return model
 
 
@@ -236,16 +369,15 @@ def secret_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    sample: int = SAMPLE,
     recall: float = RECALL,
 ) -> DataFrame:
     """``doc_id, row_key, spans`` for every row.
 
     ``spans`` are (start, end, kind) in code points, end exclusive, by start and then kind:
     assign, access, hex, and ``model`` for candidates apart from those that the network finds: runs
-    of at least 12 characters of ``A-Za-z0-9+/_-``, with or without a digit, read from end to end. At
-    most ``sample`` findings of each label, taken in the order of a hash, train it, of the negative
-    ones half with a digit and half without; every candidate of every text is scored. Without findings of both labels there is no network and
+    of at least 12 characters of ``A-Za-z0-9+/_-``, with or without a digit, read from end to end. All
+    findings of both labels train and calibrate it, repeated ones as often as they occur, and every
+    candidate of every text is scored. Without findings of both labels there is no network and
     only fixed spans remain. Null and empty texts have no spans; null ids and repeated rows are
     scanned like any other; other columns are ignored.
     """
@@ -269,14 +401,7 @@ def secret_spans(
     )
     scanned = written(map_slices(rows, find, schema), "candidates")
     each = scanned.select("row_key", F.explode("seen").alias("s")).select("row_key", "s.*")
-    order = F.xxhash64("window", "row_key", "start")
-    findings = []
-    kinds = ((1, F.lit(True), sample), (0, F.col("digit"), sample // 2), (0, ~F.col("digit"), sample // 2))
-    for label, kind, most in kinds:
-        taken = each.filter((F.col("label") == label) & kind).select("window", order.alias("o"))
-        findings += [(bytes(r["window"]), label, r["o"]) for r in taken.orderBy("o").limit(most).collect()]
-    findings.sort(key=lambda f: (f[2], f[0]))
-    model = train([(w, y) for w, y, _ in findings], recall)
+    model = learn(each.select("window", "label", F.xxhash64("window", "row_key", "start").alias("o")), recall)
     if model is None:
         return scanned.select("doc_id", "row_key", "spans")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -311,13 +436,13 @@ def redact(text: str, spans: list[dict], mark: str = "[SECRET]") -> str:
     return "".join([*kept, text[at:]])
 
 
-def redact_secrets(docs: DataFrame, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def redact_secrets(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """All rows and columns of ``docs``, the secrets in ``text`` replaced by a mark.
 
     ``n_chars``, if there, follows a text that changed. No row is dropped: null and empty texts stay
     as they are, and rows that are equal in id and text change alike.
     """
-    found = secret_spans(docs, sample=sample, recall=recall).filter(F.size("spans") > 0)
+    found = secret_spans(docs, recall=recall).filter(F.size("spans") > 0)
     found = found.select("row_key", "spans").dropDuplicates(["row_key"])
     state = keyed_rows(docs).join(found, "row_key", "left").select("row", "spans")
 

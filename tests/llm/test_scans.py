@@ -175,6 +175,56 @@ def test_training_is_calibrated_and_recalls():
     assert secrets.train([]) is None and secrets.train([f for f in findings if f[1]]) is None
 
 
+def _findings(spark, rows):
+    seen = [(bytearray(x["window"]), x["label"], i * 100 + n) for i, t in rows for n, x in enumerate(secrets.scan(t)[1])]
+    found = spark.createDataFrame(seen, "window binary, label int, at long")
+    return found.select("window", "label", F.xxhash64("window", "at").alias("o"))
+
+
+def test_every_finding_trains_or_calibrates(spark, monkeypatch):
+    """Over several shares: what tasks are shown and what is calibrated on is the whole table."""
+    findings = _findings(spark, planted("secrets")).repartition(3)
+    monkeypatch.setattr(secrets, "SHARE", 60)
+    shown, calibrated = [], []
+    trained, calibrate = secrets._trained, secrets.CharCNN.calibrate
+
+    def see_trained(shares, model, weights, epochs):
+        shown.append((shares.count(), shares.select("share").distinct().count(), shares.select("window").distinct().count()))
+        return trained(shares, model, weights, epochs)
+
+    def see_calibrate(self, bins, labels, times, recall):
+        calibrated.append([int(times[labels == y].sum()) for y in (0, 1)])
+        calibrate(self, bins, labels, times, recall)
+
+    monkeypatch.setattr(secrets, "_trained", see_trained)
+    monkeypatch.setattr(secrets.CharCNN, "calibrate", see_calibrate)
+    model = secrets.learn(findings)
+    aside = F.pmod("o", F.lit(4)) == 0
+    held = [findings.filter(aside & (F.col("label") == y)).count() for y in (0, 1)]
+    rest = findings.filter(~aside)
+    whole = (rest.count(), rest.select("window").distinct().count())
+    assert calibrated == [held]
+    assert len(shown) == 1 + secrets.ROUNDS and shown[0][1] == 1 and shown[0][0] < whole[0]
+    assert all((n, windows) == whole and shares > 2 for n, shares, windows in shown[1:])
+    values = model.flat()
+    again = secrets.learn(findings.repartition(5)).flat()
+    assert abs(values - again).max() < 1e-6  # how the rows are dealt changes nothing
+
+
+def test_the_rarer_label_is_shown_more_often_and_calibration_ends(spark):
+    import numpy as np
+
+    rows = planted("secrets")
+    few = [r for r in rows if secret_base(r[1])][:8] + [r for r in rows if not secret_base(r[1])]
+    model = secrets.learn(_findings(spark, few))
+    windows = [x["window"] for _, t in rows for x in secrets.scan(t)[1] if x["label"]]
+    assert (model.probability(secrets._codes(windows), secrets._sizes(windows)) >= model.threshold).mean() > 0.5
+    bins, labels = np.array([-9, -8, -7, 6, 7, 8.0]) * secrets.GRAIN, np.array([0, 0, 0, 1, 1, 1.0])
+    model.calibrate(bins, labels, np.array([50.0, 1, 1, 1, 1, 90]))
+    assert 0 < model.scale < 1 and 0.5 <= model.threshold
+    assert secrets.learn(_findings(spark, few[:8]).filter("label = 1")) is None
+
+
 def test_gradients_of_the_network():
     import numpy as np
 
