@@ -280,6 +280,18 @@ def test_redaction_keeps_rows_and_columns(spark, name):
             assert t in texts[i]
 
 
+def test_redaction_learns_from_more_findings_than_a_sample(spark, monkeypatch):
+    """9,100 findings, over 4,000 of each label."""
+    rng = random.Random(5)
+    value = lambda: "".join(rng.choices("0123456789abcdef", k=12))
+    rows = [(i, " ".join(f"token={value()} item-number-{rng.randint(100, 999)}" for _ in range(91))) for i in range(50)]
+    learned = []
+    monkeypatch.setattr(secrets, "learn", lambda findings, recall: learned.append(findings.groupBy("label").count().collect()))
+    out = redact_secrets(table(spark, rows)).select("text").collect()
+    assert [{r["label"]: r["count"] for r in found} for found in learned] == [{0: 4550, 1: 4550}]
+    assert sum(r.text.count("[SECRET]") for r in out) == 4550
+
+
 def test_empty_tables(spark):
     docs = table(spark, awkward()).filter(F.lit(False))
     for f in (secret_spans, pii_spans, redact_secrets, redact_pii):
