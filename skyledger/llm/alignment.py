@@ -31,6 +31,8 @@ PIECE = 1 << 15
 CHUNK = 1 << 14
 #: Fragments of so many ranges meet in one row at each level of the tree.
 FAN = 4
+#: Fragments of one byte range, or as much of longer ones, that a task composes.
+COMPOSED = 128
 #: Texts that are read at a time.
 TEXTS = 300
 PIECES = 20
@@ -409,43 +411,50 @@ def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield from batch.slice(at, 1).to_pylist()
 
 
+def _composed(row: dict) -> list:
+    """One fragment of a list of neighbouring ones."""
+    parts = sorted(row["parts"], key=itemgetter("chunk", "at"))
+    whole = EMPTY
+    for part in parts:
+        whole = compose(whole, Fragment(*(part[f] for f in Fragment._fields)))
+    counts = [sum(p["n_a"] for p in parts), sum(p["n_b"] for p in parts)]
+    good = all(p["good"] for p in parts)
+    return [row["uid"], parts[0]["doc_id"], row["up"], parts[0]["at"], good, *counts, *whole]
+
+
 def _compose_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One fragment of each list of neighbouring ones."""
     forget()
     for row in _one_by_one(batches):
-        parts = sorted(row["parts"], key=itemgetter("chunk", "at"))
-        whole = EMPTY
-        for part in parts:
-            whole = compose(whole, Fragment(*(part[f] for f in Fragment._fields)))
-        counts = [sum(p["n_a"] for p in parts), sum(p["n_b"] for p in parts)]
-        good = all(p["good"] for p in parts)
-        head = [row["uid"], parts[0]["doc_id"], row["up"], parts[0]["at"], good, *counts]
-        yield batch_of(_FRAGMENTS, *([v] for v in [*head, *whole]))
+        yield batch_of(_FRAGMENTS, *([v] for v in _composed(row)))
 
 
 def _finish_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last fragment of each document, and at once its row: one worker does both."""
     forget()
     for row in _one_by_one(batches):
-        whole = Fragment(*(row[f] for f in Fragment._fields))
-        made = _NOTHING
-        if row["good"]:
-            links = len(whole.links) // 8
-            made = [row["n_a"], row["n_b"], links, _digest(closed(whole)), *_distinct(whole.links)]
-        yield batch_of(_ROWS, *([v] for v in [row["uid"], row["doc_id"], *made, None, None]))
+        uid, doc_id, _, _, good, n_a, n_b, *fields = _composed(row)
+        whole, made = Fragment(*fields), _NOTHING
+        if good:
+            made = [n_a, n_b, len(whole.links) // 8, _digest(closed(whole)), *_distinct(whole.links)]
+        yield batch_of(_ROWS, *([v] for v in [uid, doc_id, *made, None, None]))
 
 
 def _long_documents(pieces: DataFrame, path_a: str, path_b: str, chunk: int, fan: int) -> DataFrame:
     """Finished rows of documents in pieces: fragments by byte range, composed level by level."""
     dealt = pieces.select("uid", "doc_id", "piece", "start").repartition("uid", "start")
     fragments = written(dealt.mapInArrow(_read_pieces(path_a, path_b, chunk), _FRAGMENTS_DDL), "fragments")
-    top = fragments.agg(F.max("chunk")).first()[0] or 0
+    found = fragments.agg(F.max("chunk").alias("top"), F.count("*").alias("n")).first()
+    top, tasks = found["top"] or 0, found["n"] // COMPOSED + 1
     while True:
-        parts = F.struct(*(c for c in fragments.columns if c != "uid"))
-        grouped = fragments.groupBy("uid", F.expr(f"chunk div {fan}").alias("up"))
-        fragments = grouped.agg(F.collect_list(parts).alias("parts")).mapInArrow(_compose_rows, _FRAGMENTS_DDL)
         top //= fan
+        # So many partitions that a task's rows are few megabytes; Spark would join them to 64 MB,
+        # all of which are one list of rows in the JVM and one batch in the worker.
+        level = fragments.withColumn("up", F.expr(f"chunk div {fan}")).repartition(tasks, "uid", "up")
+        parts = F.struct(*(c for c in fragments.columns if c != "uid"))
+        grouped = level.groupBy("uid", "up").agg(F.collect_list(parts).alias("parts"))
         if top == 0:
-            return fragments.mapInArrow(_finish_rows, _ROWS_DDL)
+            return grouped.select("uid", "up", "parts").mapInArrow(_finish_rows, _ROWS_DDL)
+        fragments = grouped.mapInArrow(_compose_rows, _FRAGMENTS_DDL)
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
