@@ -43,6 +43,8 @@ RARE = 1 << 61
 WINDOW = 4_000_000
 #: Bits below a count that hold a class and the side it is on.
 LOW = 12
+#: Pairs of units in a row of their table, and those that a task puts in order at a time.
+PACKED, ORDERED = 512, 1 << 20
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -246,11 +248,51 @@ def _cells(df: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator], size:
     return total
 
 
+def _packed(sides: DataFrame, size: int) -> DataFrame:
+    """Rows ``w, side, v, n`` of ``size`` units, many to a row, as the bytes of three arrays.
+
+    Passes go through them many times, and read bytes far faster than rows.
+    """
+    narrowest = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            w, side, v, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            key = w.astype(np.int64) * 2 + side
+            order = np.argsort(key, kind="stable")
+            columns = key[order].astype("<u4"), v[order].astype(narrowest), n[order].astype("<i8")
+            starts = range(0, len(order), PACKED)
+            packed = [pa.array([c[at : at + PACKED].tobytes() for at in starts], pa.binary()) for c in columns]
+            yield pa.RecordBatch.from_arrays(packed, names=["w", "v", "n"])
+
+        for batch in batches:
+            held.append([c.to_numpy() for c in batch.columns])
+            count += batch.num_rows
+            if count >= ORDERED:
+                yield from rows()
+                held, count = [], 0
+        if count:
+            yield from rows()
+
+    return sides.select("w", "side", "v", "n").mapInArrow(pack, "w binary, v binary, n binary")
+
+
+def _unpacked(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``w, side, v, n`` of packed rows."""
+    kinds = "<u4", "<u2" if size <= 1 << 16 else "<u4", "<i8"
+    key, v, n = (
+        np.frombuffer(b"".join(c.to_pylist()), kind).astype(np.int64) for c, kind in zip(batch.columns, kinds, strict=True)
+    )
+    return key >> 1, key & 1, v, n
+
+
 def _head_bigrams(sides: DataFrame, units: np.ndarray, size: int) -> np.ndarray:
-    """Counts of pairs of the first ``size`` units and groups, a bounded square."""
+    """Counts of pairs of the first ``size`` units and groups, a bounded square, from packed rows."""
 
     def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        w, side, v, n = (c.to_numpy() for c in batch.columns)
+        w, side, v, n = _unpacked(batch, len(units))
         right = side == 0
         yield units[w[right]] * size + units[v[right]], n[right]
 
@@ -306,20 +348,22 @@ def _moves(table: np.ndarray, right: np.ndarray, left: np.ndarray, old: np.ndarr
 class UnitExchange:
     """Classes of the units, moved in batches.
 
-    The neighbours of each unit lie in a table ``w, side, v, n`` with a row for each pair of units,
-    at most the square of their number, whatever the size of the corpus. A pass over it gives the
+    The neighbours of each unit lie in a packed table ``w, side, v, n`` with each pair of units, at
+    most the square of their number, whatever the size of the corpus. A pass over it gives the
     table of classes and, for the units of one batch, their counts by the classes beside them.
     """
 
     def __init__(self, sides: DataFrame, of: np.ndarray, turn: np.ndarray, classes: int) -> None:
-        """``turn`` deals the units out to batches."""
+        """``turn`` deals the units out to batches; ``sides`` may come with a row for each pair."""
+        if "side" in sides.columns:
+            sides = written(_packed(sides.repartition("w"), len(of)), "sides")
         self.sides, self.of, self.turn, self.classes = sides, of, turn, classes
 
     def _measure(self, of: np.ndarray, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
         size, k, mine = len(of), self.classes, self.turn % parts == part
 
         def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            w, side, v, n = (c.to_numpy() for c in batch.columns)
+            w, side, v, n = _unpacked(batch, size)
             right = side == 0
             yield of[w[right]] * k + of[v[right]], n[right]
             some = mine[w]
@@ -595,7 +639,7 @@ def class_scores(
         of_units.select(F.col(w).alias("w"), F.lit(side).alias("side"), F.col(v).alias("v"), "n")
         for w, v, side in (("a", "b", 0), ("b", "a", 1))
     ]
-    sides = written(ways[0].unionByName(ways[1]).repartition("w"), "sides")
+    sides = written(_packed(ways[0].unionByName(ways[1]).repartition("w"), units.size), "sides")
     few_of = np.array([END, *map(few.__getitem__, frequent), *range(few.size - GROUPS, few.size)], np.int64)
     model = ClassModel(few, _head_bigrams(sides, few_of, few.size), np.zeros(few.size), classes)
     turn = np.array([0, *(rare_id(word) >> 8 for word in frequent), *range(GROUPS)], np.int64)
@@ -604,11 +648,11 @@ def class_scores(
     of, own = unit_moves.of, units.size - GROUPS
 
     def inner(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        w, v, n = (c.to_numpy() for c in batch.columns)
-        yield of[w] * classes + of[v], n
+        w, side, v, n = _unpacked(batch, len(of))
+        some = (side == 0) & (w < own) & (v < own)
+        yield of[w[some]] * classes + of[v[some]], n[some]
 
-    among = sides.filter((F.col("side") == 0) & (F.col("w") < own) & (F.col("v") < own)).select("w", "v", "n")
-    table = _cells(among, inner, classes * classes).reshape(classes, classes)
+    table = _cells(sides, inner, classes * classes).reshape(classes, classes)
     far = pairs.filter(F.col("a") >= RARE)
     rare_moves = RareExchange(_beside_units(train, units, of), far, table, of[own:], classes)
     rare_moves.run()

@@ -261,6 +261,19 @@ def test_units_move_and_each_batch_raises_the_likelihood(spark, hot=30):
     assert moves.of[0] == 0 and 0 not in moves.of[1:]
 
 
+@pytest.mark.parametrize("size", [400, 1 << 17])
+def test_packed_pairs_are_the_pairs(spark, size, monkeypatch):
+    """Passes read few rows of many pairs each, whatever the width of the numbers."""
+    monkeypatch.setattr(brown, "PACKED", 7)
+    rng = random.Random(4)
+    rows = [(rng.randrange(size), i % 2, size - 1 - i, (1 << 40) + i) for i in range(100)]
+    sides = spark.createDataFrame(rows, "w long, side int, v long, n long").coalesce(1)
+    packed = brown._packed(sides, size).toArrow()
+    assert packed.num_rows == 15
+    found = [brown._unpacked(b, size) for b in packed.to_batches()]
+    assert sorted(zip(*(np.concatenate(c).tolist() for c in zip(*found, strict=True)), strict=True)) == sorted(rows)
+
+
 def test_every_training_word_has_a_class_of_its_own(spark, hot=9):
     texts = [t.encode().split() for t in two_kinds()] + [[], [b"the"]]
     train, frequent, units, pairs, moves = clustered(spark, texts, hot)
