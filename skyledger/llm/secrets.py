@@ -344,9 +344,11 @@ def learn(findings: DataFrame, recall: float = RECALL) -> CharCNN | None:
     count = int(-(-sum(rows.values()) // SHARE))
     turn = F.explode(F.expr(f"sequence(1, if(label = 1, {turns[1]}, {turns[0]}))")).alias("turn")
     dealt = findings.filter(~F.coalesce(aside, F.lit(False))).select("window", "label", "o", turn)
-    dealt = dealt.withColumn("o", F.xxhash64("o", "turn")).drop("turn").repartition(count, "o")
-    dealt = dealt.sortWithinPartitions("o", "window", "label").withColumn("share", F.spark_partition_id())
-    shares = written(dealt, "shares")
+    dealt = dealt.withColumn("o", F.xxhash64("o", "turn")).drop("turn")
+    # By the hash alone: in however many partitions Spark puts them, there are as many shares. Twice
+    # as many ranges as shares give each share a task of its own.
+    dealt = dealt.withColumn("share", F.pmod(F.hash("o"), F.lit(count))).repartitionByRange(2 * count, "share")
+    shares = written(dealt.sortWithinPartitions("share", "o", "window", "label"), "shares")
     model = CharCNN()
     first = shares.agg(F.min("share")).first()[0]
     model.take(_trained(shares.filter(F.col("share") == first), model, weights, _epochs(int(sum(rows.values()) / count))))

@@ -211,6 +211,29 @@ def test_every_finding_trains_or_calibrates(spark, monkeypatch):
     assert abs(values - again).max() < 1e-6  # how the rows are dealt changes nothing
 
 
+def test_shares_follow_the_findings_and_not_the_partitions(spark, monkeypatch):
+    """More partitions make neither more shares, with a row for each parameter of each, nor another network."""
+    findings = _findings(spark, planted("secrets"))
+    monkeypatch.setattr(secrets, "SHARE", 60)
+    fits, trained = [], secrets._trained
+
+    def see_trained(shares, *rest):
+        fits.append(sorted((r["share"], r["count"]) for r in shares.groupBy("share").count().collect()))
+        return trained(shares, *rest)
+
+    monkeypatch.setattr(secrets, "_trained", see_trained)
+    values, few = secrets.learn(findings).flat(), [*fits]
+    fits.clear()
+    kind = type(findings)
+    for name in ("repartition", "repartitionByRange"):
+        more = lambda self, n, *by, dealt=getattr(kind, name): dealt(self, max(n, 61) if by else n, *by)
+        monkeypatch.setattr(kind, name, more)
+    again = secrets.learn(findings).flat()
+    assert len(few) == 1 + secrets.ROUNDS and 2 < len(few[1]) < 20
+    assert fits == few
+    assert abs(values - again).max() < 1e-6
+
+
 def test_the_rarer_label_is_shown_more_often_and_calibration_ends(spark):
     import numpy as np
 
