@@ -12,17 +12,18 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import LOWER_ASCII, drop_folder, narrow, scratch_path, utf8, written
+from skyledger.llm.common import LOWER_ASCII, drop_folder, narrow, release_shuffles, scratch_path, utf8, written
 
 #: Words that are clustered one by one, groups, classes, and sweeps of the exchange.
 HEAD, GROUPS, CLASSES, SWEEPS = 1000, 256, 32, 3
@@ -30,7 +31,7 @@ HEAD, GROUPS, CLASSES, SWEEPS = 1000, 256, 32, 3
 UNIT_BATCHES, RARE_BATCHES = 4, 2
 #: Most frequent words whose counts every task holds; those of the others are joined.
 COUNTED = 200_000
-#: Words that a task counts before it passes the counts on.
+#: Distinct words whose pairs a task counts before it passes the counts on.
 FLUSH = 300_000
 #: Weight of the class frequencies in the transitions.
 PRIOR = 10.0
@@ -39,8 +40,10 @@ END = 0
 HOT = 50_000
 #: Ids of the other words begin here; the last byte is the group.
 RARE = 1 << 61
-#: Tokens whose pairs a task counts before it passes them on.
-WINDOW = 4_000_000
+#: Tokens that a task counts before it passes the counts on, and texts that it encodes at a time.
+WINDOW, TEXTS = 4_000_000, 4000
+#: Neighbours that a pass looks at together.
+PIECE = 1 << 16
 #: Bits below a count that hold a class and the side it is on.
 LOW = 12
 #: Pairs of units in a row of their table, and those that a task puts in order at a time.
@@ -79,28 +82,33 @@ class Units(dict):
         return out
 
 
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts one after the other, and the number of words of each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = lists.flatten()
+    full = pc.binary_length(words).to_numpy() > 0  # white space at an end leaves an empty one
+    before = np.concatenate([[0], np.cumsum(full)])[lists.offsets.to_numpy()]
+    return words.filter(pa.array(full)).cast(pa.binary()), np.diff(before)
+
+
 def _word_counts(train: DataFrame) -> DataFrame:
     """``word, c``: tasks count what fits, the sums are aggregated."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[pa.RecordBatch]:
-            words, counts = list(seen), list(seen.values())
-            for at in range(0, len(words), 50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(words[at : at + 50_000], pa.binary()),
-                        pa.array(counts[at : at + 50_000], pa.int64()),
-                    ],
-                    names=["word", "c"],
-                )
+            seen = pc.value_counts(pa.chunked_array(held, pa.binary()))
+            for at in range(0, len(seen), 50_000):
+                yield pa.RecordBatch.from_arrays(seen[at : at + 50_000].flatten(), names=["word", "c"])
 
-        seen: Counter[bytes] = Counter()
+        held, tokens = [], 0
         for batch in batches:
-            for text in utf8(batch["text"]):
-                seen.update(_words(text))
-                if len(seen) >= FLUSH:
+            for at in range(0, batch.num_rows, TEXTS):
+                words, _ = _split(batch["text"].slice(at, TEXTS))
+                held.append(words)
+                tokens += len(words)
+                if tokens >= WINDOW:
                     yield from rows()
-                    seen.clear()
+                    held, tokens = [], 0
         yield from rows()
 
     parts = train.select("text").mapInArrow(count, "word binary, c long")
@@ -112,12 +120,100 @@ def rare_id(word: bytes) -> int:
     return RARE + (int(hashlib.md5(word, usedforsecurity=False).hexdigest()[:13], 16) << 8) + group_of(word)
 
 
+@cache
+def _group_of_ending(ending: bytes) -> int:
+    return group_of(ending)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """``rare_id`` of each word, by which it has a class, and the next 60 bits of the hash."""
+    digests = b"".join([hashlib.md5(w, usedforsecurity=False).digest() for w in words])
+    high, low = np.frombuffer(digests, ">u8").reshape(-1, 2).astype(np.uint64).T
+    groups = np.fromiter((_group_of_ending(w[-2:]) for w in words), np.int64, len(words))
+    ids = RARE + ((high >> 12) << 8).astype(np.int64) + groups
+    return np.stack([ids, ((high & 0xFFF) << 48 | low >> 16).astype(np.int64)], axis=1)
+
+
 def _rare_id(word: str) -> Column:
     bits = F.conv(F.substring(F.md5(word), 1, 13), 16, 10).cast("long")
     group = F.expr(f"crc32(substring({word}, -2, 2))") % GROUPS
     return F.lit(RARE) + F.shiftleft(bits, 8) + group
 
 
+def _tail(word: str) -> Column:
+    return F.conv(F.substring(F.md5(word), 14, 15), 16, 10).cast("long")
+
+
+def _width(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def _bytes_of(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The values as one binary string for each of the parts that end there."""
+    offsets = np.concatenate([[0], ends * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _numbers(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _encoded(rows: DataFrame, units: Units) -> DataFrame:
+    """``uid, units, rare, tails`` in place of ``text``, as bytes.
+
+    ``units`` has the unit of each word and then the end, which closes a text as it opens the next.
+    ``rare`` and ``tails`` have the ids and further hash bits of the words that are no units, in order.
+    Texts are split and their words looked up here once; every later pass reads numbers.
+    """
+    size, kept = units.size, rows.drop("text")
+    shared = rows.sparkSession.sparkContext.broadcast(list(units))
+    own, kind = size - GROUPS, _width(size)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = pa.array(shared.value, pa.binary())
+        uid = TaskContext.get().partitionId() << 40
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
+                words, n = _split(batch["text"])
+                codes = words.dictionary_encode()
+                found = pc.index_in(codes.dictionary, value_set=frequent).fill_null(-1).to_numpy()
+                unit = found.astype(np.int64) + 1
+                others = np.flatnonzero(found < 0)
+                hashes = np.zeros((len(found), 2), np.int64)
+                if len(others):
+                    hashes[others] = _hashes(codes.dictionary.take(pa.array(others)).to_pylist())
+                    unit[others] = own + (hashes[others, 0] & 255)
+                codes = codes.indices.to_numpy()
+                of_words = unit[codes].astype(kind)
+                is_rare = of_words >= own
+                lines = np.full(len(codes) + len(n), END, kind)
+                lines[np.arange(len(codes)) + np.repeat(np.arange(len(n)), n)] = of_words
+                ends = np.cumsum(n)
+                rare = hashes[codes[is_rare]]
+                rare_ends = np.concatenate([[0], np.cumsum(is_rare)])[ends]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch[c] for c in names),
+                        pa.array(np.arange(uid, uid + len(n))),
+                        _bytes_of(lines, ends + np.arange(1, len(n) + 1)),
+                        *(_bytes_of(np.ascontiguousarray(rare[:, i]), rare_ends) for i in (0, 1)),
+                    ],
+                    names=[*names, "uid", "units", "rare", "tails"],
+                )
+                uid += len(n)
+
+    names = kept.columns
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
+    schema = ", ".join([*fields, "uid long, units binary, rare binary, tails binary"])
+    return rows.select(*names, "text").mapInArrow(encode, schema)
+
+
+def _lines(column: pa.Array, size: int) -> np.ndarray:
+    """The units of encoded texts between their ends: neighbours are pairs, and there are no others."""
+    return np.concatenate([np.array([END], np.int64), _numbers(column, _width(size))])
+
+
 class _Local(dict):
     """Numbers of words in the order in which a task meets them; 0 is the end."""
 
@@ -190,62 +286,89 @@ def _pairs(train: DataFrame, units: Units) -> DataFrame:
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def _beside_units(train: DataFrame, units: Units, of: np.ndarray) -> DataFrame:
-    """``w, cell, n``: for each word that is no unit the classes of units after and before it."""
-    shared = train.sparkSession.sparkContext.broadcast((units, of))
+def _far_pairs(encoded: DataFrame, units: Units) -> DataFrame:
+    """``a, b, n``: neighbours by id where neither is a unit."""
+    size, own = units.size, units.size - GROUPS
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, of = shared.value
-        local, keys, held = _Local(units), [], 0
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare, ids = _lines(batch["units"], size) >= own, _numbers(batch["rare"], "<i8")
+            at = np.cumsum(rare)[:-1][rare[:-1] & rare[1:]] - 1
+            columns = ids[at], ids[at + 1], np.ones(len(at), np.int64)
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["a", "b", "n"])
+
+    found = encoded.select("units", "rare").mapInArrow(pairs, "a long, b long, n long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
-        def rows() -> Iterator[pa.RecordBatch]:
-            found, n = np.unique(np.concatenate(keys), return_counts=True)
-            wide = np.array(local.id, np.int64)
-            for at in range(0, len(found), 100_000):
-                some = found[at : at + 100_000]
-                columns = [wide[some >> LOW], (some & ((1 << LOW) - 1)).astype(np.int32), n[at : at + 100_000]]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["w", "cell", "n"])
 
+def _beside_units(train: DataFrame, units: Units, of: np.ndarray) -> DataFrame:
+    """``w, cells``: each word that is no unit with its counts by the classes of units after and before it.
+
+    ``train`` has texts, as they are or encoded. A word has a row from each batch it is in; the counts,
+    at most two a class, are the bytes of numbers with the cell in their low bits.
+    """
+    encoded = _encoded(train, units) if "text" in train.columns else train
+    shared = train.sparkSession.sparkContext.broadcast(of)
+    size, own = units.size, units.size - GROUPS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                u = local.read(utf8(batch["text"].slice(at, 500)))
-                unit = np.array(local.unit, np.int64)[u]
-                own, cls, inside = unit < units.size - GROUPS, of[unit], _within(u)
-                after = inside & ~own[:-1] & own[1:]
-                before = inside & own[:-1] & ~own[1:]
-                keys += [(u[:-1] << LOW | cls[1:] * 2)[after], (u[1:] << LOW | cls[:-1] * 2 + 1)[before]]
-                held += len(u)
-                if held >= WINDOW or len(local.id) >= 2 * FLUSH:
-                    yield from rows()
-                    local, keys, held = _Local(units), [], 0
-        if keys:
-            yield from rows()
+            line = _lines(batch["units"], size)
+            words, nth = np.unique(_numbers(batch["rare"], "<i8"), return_inverse=True)
+            rare, cell = line >= own, of[line] * 2
+            word = np.zeros(len(line), np.int64)
+            word[rare] = nth << LOW
+            after, before = np.flatnonzero(rare[:-1] & ~rare[1:]), np.flatnonzero(~rare[:-1] & rare[1:])
+            key = np.concatenate([word[after] + cell[after + 1], word[before + 1] + cell[before] + 1])
+            key, n = np.unique(key, return_counts=True)
+            ends = np.cumsum(np.bincount(key >> LOW, minlength=len(words)))
+            cells = _bytes_of((n << LOW) + (key & (1 << LOW) - 1), ends)
+            yield pa.RecordBatch.from_arrays([pa.array(words), cells], names=["w", "cells"])
 
-    # Tasks have summed what they have; one exchange by word serves the sum and the lists after it.
-    found = train.select("text").mapInArrow(count, "w long, cell int, n long")
-    return found.repartition("w").groupBy("w", "cell").agg(F.sum("n").alias("n"))
+    return encoded.select("units", "rare").mapInArrow(count, "w long, cells binary")
 
 
 def _cells(df: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator], size: int) -> np.ndarray:
-    """Sums of ``size`` cells: added up in each task, then over the tasks."""
+    """Sums of ``size`` cells: added up in each task, then over the tasks, as bytes of a block of them.
+
+    ``cells_of`` gives cells and what each adds, or None where it is 1.
+    """
+    block = max(16, min(1024, size // 64))
+
+    def rows(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        cells = np.flatnonzero(total)
+        blocks, first = np.unique(cells // block, return_index=True)
+        parts = [_bytes_of(x, np.append(first[1:], len(cells))) for x in ((cells % block).astype("<u2"), total[cells])]
+        if len(blocks):
+            yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int64)), *parts], names=["block", "cell", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
             for cells, n in cells_of(batch):
-                np.add.at(total, cells, n)
-        cells = np.flatnonzero(total)
-        for at in range(0, len(cells), 100_000):
-            some = cells[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(total[some])], names=["cell", "n"]
-            )
+                if n is None:
+                    total += np.bincount(cells, minlength=size)
+                else:
+                    np.add.at(total, cells, n)
+        yield from rows(total)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            add(total, batch)
+        yield from rows(total)
 
-    sums = df.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    total = np.zeros(size, np.float64)
-    found = sums.toArrow()  # at most size numbers
-    total[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return total
+    def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        for at, cells, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            total[at * block + np.frombuffer(cells, "<u2").astype(np.int64)] += np.frombuffer(n, "<i8")
+
+    schema = "block long, cell binary, n binary"
+    sums = df.mapInArrow(count, schema).repartition("block").mapInArrow(added, schema)
+    total = np.zeros(size, np.int64)
+    for batch in sums.toArrow().to_batches():  # at most size numbers
+        add(total, batch)
+    return total.astype(np.float64)
 
 
 def _packed(sides: DataFrame, size: int) -> DataFrame:
@@ -253,7 +376,7 @@ def _packed(sides: DataFrame, size: int) -> DataFrame:
 
     Passes go through them many times, and read bytes far faster than rows.
     """
-    narrowest = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+    narrowest = np.dtype(_width(size))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -281,22 +404,19 @@ def _packed(sides: DataFrame, size: int) -> DataFrame:
 
 def _unpacked(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``w, side, v, n`` of packed rows."""
-    kinds = "<u4", "<u2" if size <= 1 << 16 else "<u4", "<i8"
-    key, v, n = (
-        np.frombuffer(b"".join(c.to_pylist()), kind).astype(np.int64) for c, kind in zip(batch.columns, kinds, strict=True)
-    )
+    kinds = "<u4", _width(size), "<i8"
+    key, v, n = (_numbers(c, kind).astype(np.int64) for c, kind in zip(batch.columns, kinds, strict=True))
     return key >> 1, key & 1, v, n
 
 
-def _head_bigrams(sides: DataFrame, units: np.ndarray, size: int) -> np.ndarray:
-    """Counts of pairs of the first ``size`` units and groups, a bounded square, from packed rows."""
+def _head_bigrams(lines: DataFrame, units: np.ndarray, size: int) -> np.ndarray:
+    """Counts of pairs of the first ``size`` units and groups, a bounded square, from encoded texts."""
 
-    def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        w, side, v, n = _unpacked(batch, len(units))
-        right = side == 0
-        yield units[w[right]] * size + units[v[right]], n[right]
+    def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, None]]:
+        line = units[_lines(batch["units"], len(units))]
+        yield line[:-1] * size + line[1:], None
 
-    return _cells(sides, cells, size * size).reshape(size, size)
+    return _cells(lines, cells, size * size).reshape(size, size)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -403,6 +523,36 @@ class UnitExchange:
         return steps
 
 
+class TextExchange(UnitExchange):
+    """The same moves by passes over the encoded texts, whose pairs are then never gathered."""
+
+    def __init__(self, lines: DataFrame, of: np.ndarray, turn: np.ndarray, classes: int) -> None:
+        super().__init__(lines.select("units"), of, turn, classes)
+
+    def _measure(self, of: np.ndarray, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        size, k, mine = len(of), self.classes, np.flatnonzero(self.turn % parts == part)
+        row = np.full(size, -1, np.int64)
+        row[mine] = k * k + np.arange(len(mine)) * 2 * k
+        shared = self.sides.sparkSession.sparkContext.broadcast((of, row))
+
+        def cells(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, None]]:
+            of, row = shared.value
+            lines, found = _lines(batch["units"], size), []
+            for at in range(0, len(lines) - 1, PIECE):
+                line = lines[at : at + PIECE + 1]
+                cls, rows = of[line], row[line]
+                some = np.flatnonzero(rows >= 0)
+                right, left = some[some < len(line) - 1], some[some > 0]
+                found += [cls[:-1] * k + cls[1:], rows[right] + cls[right + 1], rows[left] + k + cls[left - 1]]
+            yield np.concatenate(found or [np.zeros(0, np.int64)]), None
+
+        found = _cells(self.sides, cells, k * k + len(mine) * 2 * k)
+        shared.unpersist()
+        beside = np.zeros((size, 2, k))
+        beside[mine] = found[k * k :].reshape(len(mine), 2, k)
+        return found[: k * k].reshape(k, k), beside
+
+
 class RareExchange:
     """Classes of the words that are no units, each moved for itself, in batches.
 
@@ -417,13 +567,14 @@ class RareExchange:
         """``inner`` is the table of classes of pairs of units, ``groups`` has the first classes."""
         self.spark: SparkSession = near.sparkSession
         self.far, self.inner, self.classes = far, inner, classes
-        packed = F.collect_list(F.shiftleft("n", LOW) + F.col("cell"))  # two a class at most
-        cells = near.groupBy("w").agg(packed.alias("cells"))
-        alone = far.select(F.col("a").alias("w")).union(far.select("b")).distinct()
-        every = alone.join(cells, "w", "full")
-        group = F.col("w").bitwiseAND(255).cast("int") + 1
-        first = F.element_at(F.array(*(F.lit(int(c)) for c in groups)), group)
-        self._keep(every.select("w", first.cast("int").alias("cls"), "cells", F.lit(False).alias("moved")))
+        def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for w, cells in _listed(batches):
+                cls = pa.array(groups[w & 255].astype(np.int32))
+                columns = [pa.array(w), cls, cells, pa.array(np.zeros(len(w), bool))]
+                yield pa.RecordBatch.from_arrays(columns, names=["w", "cls", "cells", "moved"])
+
+        ordered = near.select("w", "cells").repartition("w").sortWithinPartitions("w")
+        self._keep(ordered.mapInArrow(first, "w long, cls int, cells array<long>, moved boolean"))
         self._count()
 
     def _keep(self, state: DataFrame) -> None:
@@ -510,6 +661,31 @@ class RareExchange:
         return steps
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.ListArray]]:
+    """Each word of rows ``w, cells`` in order of ``w`` once, with the sums of its cells.
+
+    Of a word that may go on in the next batch, only the sums are held.
+    """
+    none = np.zeros(0, np.int64)
+    held = none, none, none  # words, numbers of each, and the numbers
+    for batch in chain(batches, [None]):
+        w, sizes, e = held
+        if batch is not None:
+            w = np.concatenate([w, batch["w"].to_numpy()])
+            sizes = np.concatenate([sizes, pc.binary_length(batch["cells"]).to_numpy() // 8])
+            e = np.concatenate([e, _numbers(batch["cells"], "<i8")])
+        new = np.concatenate([[True], w[1:] != w[:-1]])[: len(w)]
+        run, w = np.repeat(np.cumsum(new) - 1, sizes), w[new]
+        key, at = np.unique((run << LOW) + (e & (1 << LOW) - 1), return_inverse=True)
+        sums = np.zeros(len(key), np.int64)
+        np.add.at(sums, at, e >> LOW)
+        e, sizes = (sums << LOW) + (key & (1 << LOW) - 1), np.bincount(key >> LOW, minlength=len(w))
+        done = max(len(w) - (batch is not None), 0)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        held = w[done:], sizes[done:], e[ends[done] :]
+        yield w[:done], pa.ListArray.from_arrays(pa.array(ends[: done + 1], pa.int32()), pa.array(e[: ends[done]]))
+
+
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Row and value of everything in the lists; a null is an empty list."""
     lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -596,9 +772,9 @@ class ClassModel:
         #: A word of the class has probability (its count + 1) / (tokens + types + 1).
         self.room = np.log10(tokens + kinds + 1)
 
-    def path(self, classes: np.ndarray) -> float:
-        """log10 of the classes of a text, less the room of each; counts are still to be added."""
-        return float(self.step[classes[:-1], classes[1:]].sum() - self.room[classes[1:]].sum())
+    def path(self, classes: np.ndarray) -> np.ndarray:
+        """log10 of each class after the one before it, less its room; counts are still to be added."""
+        return self.step[classes[:-1], classes[1:]] - self.room[classes[1:]]
 
 
 def class_scores(
@@ -626,122 +802,129 @@ def class_scores(
     train = rows.filter(~F.col("held_out"))
     counts = written(_word_counts(train), "counts")
     ends = train.count()
-    summed = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    n = (summed["n"] or 0) + ends
-    v = summed["v"] + (1 if ends else 0)
-    by_count = (F.desc("c"), F.col("word"))
-    frequent = counts.orderBy(*by_count).limit(max(head, hot)).toArrow()["word"].to_pylist()
-    ids = {word: i for i, word in enumerate(frequent, 1)}
+    # How many words have each count: their number, their sum, and from which count words are frequent.
+    c, words = np.array(sorted(map(tuple, counts.groupBy("c").count().collect())), np.int64).reshape(-1, 2).T
+    n = int((c * words).sum()) + ends
+    v = int(words.sum()) + (1 if ends else 0)
+    reached = np.cumsum(words[::-1])[::-1]  # words that occur so often at least
+    enough = c[reached >= max(head, hot)]
+    top = counts.filter(F.col("c") >= (int(enough[-1]) if len(enough) else 1))
+    top = top.orderBy(F.desc("c"), F.col("word")).limit(max(head, hot)).toArrow()
+    frequent = top["word"].to_pylist()
     units, few = Units(frequent), Units(frequent[:head])
-    pairs = written(_pairs(train, units), "pairs")
-    of_units = pairs.filter(F.col("a") < RARE)
-    ways = [
-        of_units.select(F.col(w).alias("w"), F.lit(side).alias("side"), F.col(v).alias("v"), "n")
-        for w, v, side in (("a", "b", 0), ("b", "a", 1))
-    ]
-    sides = written(_packed(ways[0].unionByName(ways[1]).repartition("w"), units.size), "sides")
+    own = units.size - GROUPS
+    encoded = written(_encoded(rows.select("doc_id", "held_out", "text"), units), "encoded")
+    lines = encoded.filter(~F.col("held_out")).select("units", "rare")
     few_of = np.array([END, *map(few.__getitem__, frequent), *range(few.size - GROUPS, few.size)], np.int64)
-    model = ClassModel(few, _head_bigrams(sides, few_of, few.size), np.zeros(few.size), classes)
+    bigrams = _head_bigrams(lines.select("units"), few_of, few.size)
+    model = ClassModel(few, bigrams, np.zeros(few.size), classes)
     turn = np.array([0, *(rare_id(word) >> 8 for word in frequent), *range(GROUPS)], np.int64)
-    unit_moves = UnitExchange(sides, model.of[few_of], turn, classes)
+    unit_moves = TextExchange(lines, model.of[few_of], turn, classes)
     unit_moves.run(sweeps)
-    of, own = unit_moves.of, units.size - GROUPS
+    of = unit_moves.of
+    release_shuffles(docs.sparkSession)
 
-    def inner(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        w, side, v, n = _unpacked(batch, len(of))
-        some = (side == 0) & (w < own) & (v < own)
-        yield of[w[some]] * classes + of[v[some]], n[some]
+    def inner(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, None]]:
+        line = _lines(batch["units"], len(of))
+        some = (line[:-1] < own) & (line[1:] < own)
+        yield of[line[:-1][some]] * classes + of[line[1:][some]], None
 
-    table = _cells(sides, inner, classes * classes).reshape(classes, classes)
-    far = pairs.filter(F.col("a") >= RARE)
-    rare_moves = RareExchange(_beside_units(train, units, of), far, table, of[own:], classes)
+    table = _cells(lines.select("units"), inner, classes * classes).reshape(classes, classes)
+    far = written(_far_pairs(lines, units), "pairs")
+    rare_moves = RareExchange(_beside_units(lines, units, of), far, table, of[own:], classes)
     rare_moves.run()
+    release_shuffles(docs.sparkSession)
     kinds = np.zeros(classes)
     if ends:
         np.add.at(kinds, of[:own], 1)
     for cls, size in rare_moves.state.groupBy("cls").count().collect():
         kinds[cls] += size
     model.fit(rare_moves.table, kinds)
-    model.groups = of[own:]
     rare_of = rare_moves.state.select(F.col("w").alias("id"), "cls")
-    classed = written(
-        counts.withColumn("id", _rare_id("word")).join(rare_of, "id", "left").select("word", "c", "cls"), "classed"
-    )
-    have = {}
-    for batch in classed.orderBy(*by_count).limit(max(counted, head, hot)).toArrow().to_batches():
-        for word, c, cls in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            have[word] = (c, int(of[ids[word]]) if word in ids else cls)
-    shared = docs.sparkSession.sparkContext.broadcast((model, have))
-    walked_schema = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, counted double, "
-    walked_schema += "classes binary, rare array<struct<at: long, word: binary>>"
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, have = shared.value
-        group_class, unseen = network.groups, {}
-        rare_type = pa.list_(pa.struct([("at", pa.int64()), ("word", pa.binary())]))
-        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), rare_type]
-        names = ["uid", "doc_id", "held_out", "n_tokens", "n_known", "counted", "classes", "rare"]
-        uid = TaskContext.get().partitionId() << 40
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch, out = whole.slice(at, 1000), []
-                heads = zip(batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), strict=True)
-                for (name, held_out), text in zip(heads, utf8(batch["text"]), strict=True):
-                    words = _words(text)
-                    found = list(map(have.get, words, repeat((0, 0))))
-                    both = np.array([(END, END), *found, (ends, END)], np.int64)
-                    c, cls = both[1:, 0], both[:, 1].astype(np.uint8)
-                    rare = []
-                    for i in np.flatnonzero(c[:-1] == 0).tolist():
-                        # Until the join finds it, the word counts as never seen.
-                        ending = words[i][-2:]
-                        if ending not in unseen:
-                            unseen[ending] = group_class[group_of(ending)]
-                        cls[i + 1] = unseen[ending]
-                        rare.append({"at": i + 1, "word": words[i]})
-                    seen = int(np.count_nonzero(c))
-                    logs = float(np.log10(c + 1).sum())
-                    out.append((uid, name, held_out, len(words) + 1, seen, logs, cls.tobytes(), rare))
-                    uid += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names
-                )
+    by_id = counts.select(_rare_id("word").alias("id"), _tail("word").alias("tail"), "c")
+    classed = written(by_id.join(rare_of, "id"), "classed")
+    # Of the other words, the most frequent are broadcast in order of their ids.
+    few_enough = c[reached <= counted]
+    least = int(few_enough[0]) if len(few_enough) else n + 1
+    have = classed.filter(F.col("c") >= least).toArrow()
+    have = np.stack([have[x].to_numpy().astype(np.int64) for x in ("id", "tail", "c", "cls")])
+    have = have[:, np.argsort(have[0], kind="stable")]
+    of_units = np.concatenate([[ends], top["c"].to_numpy(), np.zeros(GROUPS, np.int64)])
+    shared = docs.sparkSession.sparkContext.broadcast((model, of, of_units, have))
+
+    def known(ids: np.ndarray, tails: np.ndarray, have: np.ndarray) -> np.ndarray:
+        """Where each word stands in ``have``, -1 if nowhere."""
+        if not have.shape[1]:
+            return np.full(len(ids), -1)
+        at = np.minimum(np.searchsorted(have[0], ids), have.shape[1] - 1)
+        return np.where((have[0, at] == ids) & (have[1, at] == tails), at, -1)
+
+    def sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words that are neither units nor broadcast, with their places."""
+        have = shared.value[3]
+        for batch in batches:
+            unit = _numbers(batch["units"], _width(len(of)))
+            ids, tails = (_numbers(batch[c], "<i8") for c in ("rare", "tails"))
+            ends = np.cumsum(pc.binary_length(batch["units"]).to_numpy()) // unit.itemsize
+            at = np.flatnonzero(unit >= own)
+            text = np.searchsorted(ends, at, side="right")
+            some = known(ids, tails, have) < 0
+            at, text = at[some], text[some]
+            columns = [
+                batch["uid"].take(pa.array(text)),
+                *map(pa.array, (at - np.concatenate([[0], ends])[text] + 1, ids[some], tails[some])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "at", "id", "tail"])
 
-    walked = written(rows.select("doc_id", "held_out", "text").mapInArrow(walk, walked_schema), "walked")
     # Rare words are many, but none of them is frequent, so no key of this join is hot.
-    rare = walked.select("uid", F.explode("rare").alias("r")).select("uid", "r.at", "r.word")
-    rare = rare.join(classed, "word").groupBy("uid").agg(
+    rare = encoded.select("uid", "units", "rare", "tails").mapInArrow(sought, "uid long, at long, id long, tail long")
+    rare = rare.join(classed, ["id", "tail"]).groupBy("uid").agg(
         F.count("*").alias("more"),
-        F.sum(F.log10(F.col("c") + 1)).alias("logs"),
+        F.sum(F.log10(F.col("c") + 1)).alias("rare_logs"),
         F.collect_list(F.shiftleft("at", 8) + F.col("cls")).alias("seen"),
     )
 
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, _ = shared.value
-        for batch in batches:
-            paths = []
-            for classes, seen in zip(batch["classes"].to_pylist(), batch["seen"], strict=True):
-                cls = np.frombuffer(classes, np.uint8).copy()
-                if seen.is_valid:
-                    at = seen.values.to_numpy()
-                    cls[at >> 8] = at & 255
-                paths.append(network.path(cls))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(paths, pa.float64())], names=[*batch.schema.names[:-2], "path"]
-            )
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text's classes, and what its units and broadcast words give; the others count as never seen."""
+        _, of, of_units, have = shared.value
+        for batch in filter(len, batches):
+            unit = _numbers(batch["units"], _width(len(of)))
+            ends = np.cumsum(pc.binary_length(batch["units"]).to_numpy()) // unit.itemsize
+            begins = np.concatenate([[0], ends[:-1]])
+            cls, c = of[unit].astype(np.uint8), of_units[unit]
+            found = known(*(_numbers(batch[x], "<i8") for x in ("rare", "tails")), have)
+            at = np.flatnonzero(unit >= own)[found >= 0]
+            c[at], cls[at] = have[2, found[found >= 0]], have[3, found[found >= 0]]
+            n_known = np.add.reduceat((c > 0).astype(np.int64), begins)
+            rest = ends - begins, n_known, np.add.reduceat(np.log10(c + 1), begins)
+            columns = [*(batch[x] for x in ("uid", "doc_id", "held_out")), *map(pa.array, rest), _bytes_of(cls, ends)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    logs = F.col("counted") + F.coalesce("logs", F.lit(0.0))
-    merged = walked.drop("rare").join(rare, "uid", "left").select(
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = shared.value[0]
+        for batch in filter(len, batches):
+            ends = np.cumsum(pc.binary_length(batch["classes"]).to_numpy())
+            begins = np.concatenate([[0], ends[:-1]])
+            cls = np.concatenate([[END], _numbers(batch["classes"], "u1")])
+            text, seen = _flat(batch["seen"])
+            cls[begins[text] + (seen >> 8)] = seen & 255
+            paths = pa.array(np.add.reduceat(network.path(cls), begins))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], paths], names=[*batch.schema.names[:-2], "path"])
+
+    names = ["uid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "classes"]
+    walked = encoded.select("uid", "doc_id", "held_out", "units", "rare", "tails").mapInArrow(
+        walk, "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, classes binary"
+    )
+    followed = walked.join(rare, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        logs.alias("logs"),
+        (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))).alias("logs"),
         "classes",
         "seen",
-    )
-    followed = merged.mapInArrow(
+    ).mapInArrow(
         follow,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, logs double, path double",
     )

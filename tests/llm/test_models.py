@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -9,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -274,6 +276,81 @@ def test_packed_pairs_are_the_pairs(spark, size, monkeypatch):
     assert sorted(zip(*(np.concatenate(c).tolist() for c in zip(*found, strict=True)), strict=True)) == sorted(rows)
 
 
+@pytest.mark.parametrize("hot", [0, 7, 70_000])
+def test_encoded_texts_hold_every_word(spark, hot):
+    """Units, ids and hashes of all words, whatever the white space and the width of the numbers."""
+    rows = awkward() + [(500, " \tA\x0bb\x0c\x1cc\x85d\u2003e "), (501, "x"), (502, " ")] + [(600 + i, prose(50, i)) for i in range(9)]
+    words = sorted({w for _, t in rows for w in lower_words(t)})
+    units = brown.Units((words + [b"<%d>" % i for i in range(hot)])[:hot] if hot != 7 else words[::3])
+    got = brown._encoded(table(spark, rows), units).collect()
+    kind, seen, want = brown._width(units.size), [], []
+    assert kind == ("<u4" if hot == 70_000 else "<u2") and len({r.uid for r in got}) == len(rows)
+    for r in got:
+        ids = list(zip(np.frombuffer(r.rare, "<i8").tolist(), np.frombuffer(r.tails, "<i8").tolist()))
+        seen.append((str(r.doc_id), np.frombuffer(r.units, kind).tolist(), ids))
+    for i, t in rows:
+        x = lower_words(t)
+        md5 = [(brown.rare_id(w), int(hashlib.md5(w).hexdigest()[13:28], 16)) for w in x if units[w] >= units.size - brown.GROUPS]
+        want.append((str(i), [*(units[w] for w in x), 0], md5))
+    assert sorted(seen) == sorted(want)
+    both = spark.createDataFrame([(w,) for w in words], "word binary").select("word", brown._rare_id("word"), brown._tail("word"))
+    assert all(tuple(brown._hashes([bytes(w)])[0]) == (a, b) for w, a, b in both.collect())
+
+
+def test_passes_over_texts_move_units_as_their_pairs_do(spark, monkeypatch, hot=30):
+    """Every pass over the encoded texts gives the counts of the pairs, so the moves are the same."""
+    monkeypatch.setattr(brown, "PIECE", 50)
+    texts = [t.encode().split() for t in two_kinds()] + [[], [b"the"], [b"q1", b"q2", b"q1", b"q2", b"q3"]]
+    train, _, units, pairs, moves = clustered(spark, texts, hot)
+    encoded = brown._encoded(train, units)
+    other = brown.TextExchange(encoded, moves.of, moves.turn, moves.classes)
+    assert other.run(4) == moves.run(4)
+    assert (other.of == moves.of).all() and (other.table == moves.table).all()
+    found = brown._far_pairs(encoded, units).collect()
+    assert sorted(found) == sorted(pairs.filter(F.col("a") >= brown.RARE).collect()) and len(found) == 3
+
+
+def test_sums_of_cells_are_whole(spark):
+    """Blocks from many tasks, of one to all cells, and numbers beyond 32 bits."""
+    rows = [(i % 5000, 1 + i * (1 << 33)) for i in range(9000)]
+    want = np.zeros(5000)
+    np.add.at(want, [c for c, _ in rows], [float(n) for _, n in rows])
+    df = spark.createDataFrame(rows, "c long, n long").repartition(7)
+    assert (brown._cells(df, lambda b: [(b["c"].to_numpy(), b["n"].to_numpy())], 5000) == want).all()
+    ones = brown._cells(df.filter("c < 3"), lambda b: [(b["c"].to_numpy(), None)], 5000)
+    assert ones[:3].tolist() == [2, 2, 2] and ones.sum() == 6
+    assert not brown._cells(df.filter("false"), lambda b: [(b["c"].to_numpy(), None)], 5000).any()
+
+
+def test_pairs_of_units_are_not_gathered(spark, monkeypatch):
+    """Their table and its sums cost more than all else: the scores come without it."""
+    monkeypatch.setattr(brown, "_pairs", None)
+    monkeypatch.setattr(brown, "_packed", None)
+    rows = [(i, t) for i, t in enumerate(two_kinds())]
+    assert class_scores(table(spark, rows), head=10, classes=6, hot=20, counted=30).count() == 40
+
+
+def test_lists_of_words_go_on_in_the_next_batch():
+    """Words of many rows, cut anywhere: each comes once, with its sums."""
+    rng = random.Random(7)
+    rows = sorted((rng.randrange(6), [(rng.randrange(1, 9) << brown.LOW) + rng.randrange(5) for _ in range(rng.randrange(4))]) for _ in range(200))
+    want = {w: Counter() for w, _ in rows}
+    for w, cells in rows:
+        for e in cells:
+            want[w][e & 4095] += e >> brown.LOW
+    for size in (1, 3, 64, 300):
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in rows[at : at + size]]), pa.array([np.array(x, "<i8").tobytes() for _, x in rows[at : at + size]])],
+                names=["w", "cells"],
+            )
+            for at in range(0, len(rows), size)
+        ]
+        got = [(w, {e & 4095: e >> brown.LOW for e in x}) for ws, cells in brown._listed(iter(batches)) for w, x in zip(ws.tolist(), cells.to_pylist(), strict=True)]
+        assert got == sorted(want.items())
+    assert sum(len(w) for w, _ in brown._listed(iter([]))) == 0
+
+
 def test_every_training_word_has_a_class_of_its_own(spark, hot=9):
     texts = [t.encode().split() for t in two_kinds()] + [[], [b"the"]]
     train, frequent, units, pairs, moves = clustered(spark, texts, hot)
