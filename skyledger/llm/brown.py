@@ -40,8 +40,10 @@ END = 0
 HOT = 50_000
 #: Ids of the other words begin here; the last byte is the group.
 RARE = 1 << 61
-#: Tokens that a task counts before it passes the counts on, and texts that it encodes at a time.
-WINDOW, TEXTS = 4_000_000, 4000
+#: Tokens that a task counts before it passes the counts on.
+WINDOW = 4_000_000
+#: Texts that a task reads at a time, and the bytes that those have where texts are long.
+TEXTS, TEXT_BYTES = 4000, 16 << 20
 #: Neighbours that a pass looks at together.
 PIECE = 1 << 16
 #: Bits below a count that hold a class and the side it is on.
@@ -91,6 +93,14 @@ def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(pa.array(full)).cast(pa.binary()), np.diff(before)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: arrays of numbers take far more memory than texts and bytes."""
+    for batch in batches:
+        step = min(TEXTS, 1 + batch.num_rows * TEXT_BYTES // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def _word_counts(train: DataFrame) -> DataFrame:
     """``word, c``: tasks count what fits, the sums are aggregated."""
 
@@ -101,14 +111,13 @@ def _word_counts(train: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(seen[at : at + 50_000].flatten(), names=["word", "c"])
 
         held, tokens = [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                words, _ = _split(batch["text"].slice(at, TEXTS))
-                held.append(words)
-                tokens += len(words)
-                if tokens >= WINDOW:
-                    yield from rows()
-                    held, tokens = [], 0
+        for batch in _slices(batches):
+            words, _ = _split(batch["text"])
+            held.append(words)
+            tokens += len(words)
+            if tokens >= WINDOW:
+                yield from rows()
+                held, tokens = [], 0
         yield from rows()
 
     parts = train.select("text").mapInArrow(count, "word binary, c long")
@@ -172,36 +181,34 @@ def _encoded(rows: DataFrame, units: Units) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = pa.array(shared.value, pa.binary())
         uid = TaskContext.get().partitionId() << 40
-        for whole in batches:
-            for at in range(0, whole.num_rows, TEXTS):
-                batch = whole.slice(at, TEXTS)
-                words, n = _split(batch["text"])
-                codes = words.dictionary_encode()
-                found = pc.index_in(codes.dictionary, value_set=frequent).fill_null(-1).to_numpy()
-                unit = found.astype(np.int64) + 1
-                others = np.flatnonzero(found < 0)
-                hashes = np.zeros((len(found), 2), np.int64)
-                if len(others):
-                    hashes[others] = _hashes(codes.dictionary.take(pa.array(others)).to_pylist())
-                    unit[others] = own + (hashes[others, 0] & 255)
-                codes = codes.indices.to_numpy()
-                of_words = unit[codes].astype(kind)
-                is_rare = of_words >= own
-                lines = np.full(len(codes) + len(n), END, kind)
-                lines[np.arange(len(codes)) + np.repeat(np.arange(len(n)), n)] = of_words
-                ends = np.cumsum(n)
-                rare = hashes[codes[is_rare]]
-                rare_ends = np.concatenate([[0], np.cumsum(is_rare)])[ends]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch[c] for c in names),
-                        pa.array(np.arange(uid, uid + len(n))),
-                        _bytes_of(lines, ends + np.arange(1, len(n) + 1)),
-                        *(_bytes_of(np.ascontiguousarray(rare[:, i]), rare_ends) for i in (0, 1)),
-                    ],
-                    names=[*names, "uid", "units", "rare", "tails"],
-                )
-                uid += len(n)
+        for batch in _slices(batches):
+            words, n = _split(batch["text"])
+            codes = words.dictionary_encode()
+            found = pc.index_in(codes.dictionary, value_set=frequent).fill_null(-1).to_numpy()
+            unit = found.astype(np.int64) + 1
+            others = np.flatnonzero(found < 0)
+            hashes = np.zeros((len(found), 2), np.int64)
+            if len(others):
+                hashes[others] = _hashes(codes.dictionary.take(pa.array(others)).to_pylist())
+                unit[others] = own + (hashes[others, 0] & 255)
+            codes = codes.indices.to_numpy()
+            of_words = unit[codes].astype(kind)
+            is_rare = of_words >= own
+            lines = np.full(len(codes) + len(n), END, kind)
+            lines[np.arange(len(codes)) + np.repeat(np.arange(len(n)), n)] = of_words
+            ends = np.cumsum(n)
+            rare = hashes[codes[is_rare]]
+            rare_ends = np.concatenate([[0], np.cumsum(is_rare)])[ends]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch[c] for c in names),
+                    pa.array(np.arange(uid, uid + len(n))),
+                    _bytes_of(lines, ends + np.arange(1, len(n) + 1)),
+                    *(_bytes_of(np.ascontiguousarray(rare[:, i]), rare_ends) for i in (0, 1)),
+                ],
+                names=[*names, "uid", "units", "rare", "tails"],
+            )
+            uid += len(n)
 
     names = kept.columns
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
@@ -291,7 +298,7 @@ def _far_pairs(encoded: DataFrame, units: Units) -> DataFrame:
     size, own = units.size, units.size - GROUPS
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rare, ids = _lines(batch["units"], size) >= own, _numbers(batch["rare"], "<i8")
             at = np.cumsum(rare)[:-1][rare[:-1] & rare[1:]] - 1
             columns = ids[at], ids[at + 1], np.ones(len(at), np.int64)
@@ -313,7 +320,7 @@ def _beside_units(train: DataFrame, units: Units, of: np.ndarray) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             line = _lines(batch["units"], size)
             words, nth = np.unique(_numbers(batch["rare"], "<i8"), return_inverse=True)
             rare, cell = line >= own, of[line] * 2
@@ -344,14 +351,17 @@ def _cells(df: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator], size:
             yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int64)), *parts], names=["block", "cell", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for batch in batches:
+        total, ones = np.zeros(size, np.int64), [np.zeros(0, np.int64)]
+        for batch in _slices(batches):
             for cells, n in cells_of(batch):
-                if n is None:
-                    total += np.bincount(cells, minlength=size)
-                else:
+                if n is not None:
                     np.add.at(total, cells, n)
-        yield from rows(total)
+                    continue
+                ones.append(cells)
+                if sum(map(len, ones)) >= WINDOW:
+                    total += np.bincount(np.concatenate(ones), minlength=size)
+                    ones = ones[:1]
+        yield from rows(total + np.bincount(np.concatenate(ones), minlength=size))
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
@@ -544,7 +554,7 @@ class TextExchange(UnitExchange):
                 some = np.flatnonzero(rows >= 0)
                 right, left = some[some < len(line) - 1], some[some > 0]
                 found += [cls[:-1] * k + cls[1:], rows[right] + cls[right + 1], rows[left] + k + cls[left - 1]]
-            yield np.concatenate(found or [np.zeros(0, np.int64)]), None
+            yield from ((cells, None) for cells in found)
 
         found = _cells(self.sides, cells, k * k + len(mine) * 2 * k)
         shared.unpersist()
@@ -618,7 +628,8 @@ class RareExchange:
                         rows, e = _flat(batch[column])
                         cell = e & ((1 << LOW) - 1)
                         np.add.at(sums, (rows, cell & 1, cell >> 1), e >> LOW)
-                    new = np.where((w >> 8) % parts == part, _moves(table, sums[:, 0], sums[:, 1], old), old)
+                    new, mine = old.astype(np.int64), (w >> 8) % parts == part
+                    new[mine] = _moves(table, sums[mine, 0], sums[mine, 1], old[mine])
                     columns = [batch["w"], pa.array(new, pa.int32()), batch["cells"], pa.array(new != old)]
                     yield pa.RecordBatch.from_arrays(columns, names=["w", "cls", "cells", "moved"])
 
@@ -626,7 +637,8 @@ class RareExchange:
             self.known.select(F.col(w).alias("w"), (F.col(c) * 2 + side).alias("cell"), "n")
             for w, c, side in (("a", "cb", 0), ("b", "ca", 1))
         ]
-        beside = sides[0].unionByName(sides[1]).repartition("w").groupBy("w", "cell").agg(F.sum("n").alias("n"))
+        moving = F.shiftright("w", 8) % parts == part
+        beside = sides[0].unionByName(sides[1]).filter(moving).repartition("w").groupBy("w", "cell").agg(F.sum("n").alias("n"))
         beside = beside.groupBy("w").agg(F.collect_list(F.shiftleft("n", LOW) + F.col("cell")).alias("m"))
         joined = self.state.drop("moved").join(beside, "w", "left")
         self._keep(joined.mapInArrow(move, "w long, cls int, cells array<long>, moved boolean"))
@@ -815,11 +827,14 @@ def class_scores(
     own = units.size - GROUPS
     encoded = written(_encoded(rows.select("doc_id", "held_out", "text"), units), "encoded")
     lines = encoded.filter(~F.col("held_out")).select("units", "rare")
+    # A pass over the units alone reads a third of each file: fewer tasks, each with more of them.
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, lines.rdd.getNumPartitions() // 3)
+    passes = lines.select("units").coalesce(parts)
     few_of = np.array([END, *map(few.__getitem__, frequent), *range(few.size - GROUPS, few.size)], np.int64)
-    bigrams = _head_bigrams(lines.select("units"), few_of, few.size)
+    bigrams = _head_bigrams(passes, few_of, few.size)
     model = ClassModel(few, bigrams, np.zeros(few.size), classes)
     turn = np.array([0, *(rare_id(word) >> 8 for word in frequent), *range(GROUPS)], np.int64)
-    unit_moves = TextExchange(lines, model.of[few_of], turn, classes)
+    unit_moves = TextExchange(passes, model.of[few_of], turn, classes)
     unit_moves.run(sweeps)
     of = unit_moves.of
     release_shuffles(docs.sparkSession)
@@ -829,7 +844,7 @@ def class_scores(
         some = (line[:-1] < own) & (line[1:] < own)
         yield of[line[:-1][some]] * classes + of[line[1:][some]], None
 
-    table = _cells(lines.select("units"), inner, classes * classes).reshape(classes, classes)
+    table = _cells(passes, inner, classes * classes).reshape(classes, classes)
     far = written(_far_pairs(lines, units), "pairs")
     rare_moves = RareExchange(_beside_units(lines, units, of), far, table, of[own:], classes)
     rare_moves.run()
@@ -862,7 +877,7 @@ def class_scores(
     def sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words that are neither units nor broadcast, with their places."""
         have = shared.value[3]
-        for batch in batches:
+        for batch in _slices(batches):
             unit = _numbers(batch["units"], _width(len(of)))
             ids, tails = (_numbers(batch[c], "<i8") for c in ("rare", "tails"))
             ends = np.cumsum(pc.binary_length(batch["units"]).to_numpy()) // unit.itemsize
@@ -887,7 +902,7 @@ def class_scores(
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each text's classes, and what its units and broadcast words give; the others count as never seen."""
         _, of, of_units, have = shared.value
-        for batch in filter(len, batches):
+        for batch in _slices(batches):
             unit = _numbers(batch["units"], _width(len(of)))
             ends = np.cumsum(pc.binary_length(batch["units"]).to_numpy()) // unit.itemsize
             begins = np.concatenate([[0], ends[:-1]])
@@ -902,7 +917,7 @@ def class_scores(
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = shared.value[0]
-        for batch in filter(len, batches):
+        for batch in _slices(batches):
             ends = np.cumsum(pc.binary_length(batch["classes"]).to_numpy())
             begins = np.concatenate([[0], ends[:-1]])
             cls = np.concatenate([[END], _numbers(batch["classes"], "u1")])
